@@ -38,10 +38,13 @@ def _buckets_for(spark) -> int:
 
 def running_sum(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str],
                 partition_cols: Sequence[str] = (), buckets: int | None = None,
-                prefix: str = "cum_") -> DataFrame:
+                prefix: str = "cum_", with_next: bool = False) -> DataFrame:
     """Add ``cum_<c>``: inclusive running sum of each ``c`` ordered by ``order_cols``
     within ``partition_cols``. ``order_cols`` must be unique within a partition.
-    The first order column is numeric and drives the bucketing."""
+    The first order column is numeric and drives the bucketing.
+
+    ``with_next`` also adds ``next_<lead>``: the next value of the first order
+    column in the same partition (null for the last row)."""
     spark = df.sparkSession
     pc = list(partition_cols)
     oc = list(order_cols)
@@ -53,7 +56,8 @@ def running_sum(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str
     if len(bounds_rows) * b > MAX_BOUND_CELLS:
         # many small groups: a window per group is already spread over the cluster
         w = Window.partitionBy(*pc).orderBy(*oc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.select("*", *[F.sum(c).over(w).alias(prefix + c) for c in sum_cols])
+        nxt = [F.lead(lead).over(Window.partitionBy(*pc).orderBy(*oc)).alias(f"next_{lead}")] if with_next else []
+        return df.select("*", *[F.sum(c).over(w).alias(prefix + c) for c in sum_cols], *nxt)
 
     if pc:
         bschema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in pc) + ", _b array<double>"
@@ -66,26 +70,35 @@ def running_sum(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str
         lit = F.array(*[F.lit(v) for v in arr]) if arr else F.array().cast("array<double>")
         x = df.withColumn("_bkt", F.size(F.filter(lit, lambda v: v < F.col(lead).cast("double"))))
 
-    tot_rows = x.groupBy(*pc, "_bkt").agg(*[F.sum(c).alias(c) for c in sum_cols]).collect()
+    tot_rows = x.groupBy(*pc, "_bkt").agg(*[F.sum(c).alias(c) for c in sum_cols],
+                                          F.min(lead).alias("_first")).collect()
     # exclusive prefix offsets per group, computed on the driver (<= groups x buckets rows)
     tot_rows.sort(key=lambda r: (tuple((v is None, v) for v in (r[c] for c in pc)), r["_bkt"]))
     off, run, last = [], {}, None
-    for r in tot_rows:
+    for idx, r in enumerate(tot_rows):
         g = tuple(r[c] for c in pc)
         if g != last:
             run = {c: 0 for c in sum_cols}
             last = g
-        off.append(g + (r["_bkt"],) + tuple(run[c] for c in sum_cols))
+        nxt_first = None
+        if idx + 1 < len(tot_rows) and tuple(tot_rows[idx + 1][c] for c in pc) == g:
+            nxt_first = tot_rows[idx + 1]["_first"]
+        off.append(g + (r["_bkt"],) + tuple(run[c] for c in sum_cols) + (nxt_first,))
         for c in sum_cols:
             run[c] += r[c] or 0
     oschema = ", ".join(
         [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in pc] + ["_bkt int"]
-        + [f"`_o_{c}` {df.schema[c].dataType.simpleString() if df.schema[c].dataType.simpleString() in ('bigint', 'double') else 'double'}" for c in sum_cols])
+        + [f"`_o_{c}` {df.schema[c].dataType.simpleString() if df.schema[c].dataType.simpleString() in ('bigint', 'double') else 'double'}" for c in sum_cols]
+        + [f"`_nf` {df.schema[lead].dataType.simpleString()}"])
     offsets = spark.createDataFrame(off, oschema) if off else spark.createDataFrame([], oschema)
     x = x.join(F.broadcast(offsets), pc + ["_bkt"])
     w = Window.partitionBy(*pc, "_bkt").orderBy(*oc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    nxt = []
+    if with_next:
+        wl = Window.partitionBy(*pc, "_bkt").orderBy(*oc)
+        nxt = [F.coalesce(F.lead(lead).over(wl), F.col("_nf")).alias(f"next_{lead}")]
     out = x.select(*[F.col(f"`{c}`") for c in df.columns],
-                   *[(F.col(f"_o_{c}") + F.sum(c).over(w)).alias(prefix + c) for c in sum_cols])
+                   *[(F.col(f"_o_{c}") + F.sum(c).over(w)).alias(prefix + c) for c in sum_cols], *nxt)
     return out
 
 
