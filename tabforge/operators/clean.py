@@ -76,8 +76,16 @@ def remove_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5, mode: st
 
 # --- record checks ----------------------------------------------------------
 
-def _append(errors: Column, cond: Column, msg: Column) -> Column:
-    return F.when(cond, F.concat(errors, F.array(msg))).otherwise(errors)
+def add_errors(df: DataFrame, checks: Sequence[tuple[Column, Column]], errors: str = "errors") -> DataFrame:
+    """Append the message of every failed check to the ``errors`` array, in check order.
+
+    The previous array is referenced once, so chaining many checks keeps the
+    expression linear in their number."""
+    prev = F.col(errors) if errors in df.columns else F.array().cast("array<string>")
+    if not checks:
+        return df.withColumn(errors, prev)
+    new = F.filter(F.array(*[F.when(cond, msg) for cond, msg in checks]), lambda x: x.isNotNull())
+    return df.withColumn(errors, F.concat(prev, new))
 
 
 def required_check(df: DataFrame, fields: Sequence[str], errors: str = "errors") -> DataFrame:
@@ -85,27 +93,19 @@ def required_check(df: DataFrame, fields: Sequence[str], errors: str = "errors")
     missing = [f for f in fields if f not in df.columns]
     if missing:
         raise ValueError(f"Missing required fields: {missing}")
-    e = F.col(errors) if errors in df.columns else F.array().cast("array<string>")
-    for f in fields:
-        e = _append(e, F.col(f).isNull(), F.lit(f"missing:{f}"))
-    return df.withColumn(errors, e)
+    return add_errors(df, [(F.col(f).isNull(), F.lit(f"missing:{f}")) for f in fields], errors)
 
 
 def range_check(df: DataFrame, ranges: Mapping[str, tuple[float, float]], errors: str = "errors") -> DataFrame:
     """Inclusive allowed range per numeric field (null values are left to P9)."""
-    e = F.col(errors) if errors in df.columns else F.array().cast("array<string>")
-    for f, (lo, hi) in ranges.items():
-        v = F.col(f)
-        e = _append(e, v.isNotNull() & ~v.between(lo, hi), F.lit(f"range:{f}"))
-    return df.withColumn(errors, e)
+    return add_errors(df, [(F.col(f).isNotNull() & ~F.col(f).between(lo, hi), F.lit(f"range:{f}"))
+                           for f, (lo, hi) in ranges.items()], errors)
 
 
 def cross_field_check(df: DataFrame, pairs: Sequence[tuple[str, str]], errors: str = "errors") -> DataFrame:
     """``a <= b`` for each pair; equality passes."""
-    e = F.col(errors) if errors in df.columns else F.array().cast("array<string>")
-    for a, b in pairs:
-        e = _append(e, F.col(a) > F.col(b), F.lit(f"cross:{a}>{b}"))
-    return df.withColumn(errors, e)
+    return add_errors(df, [(F.coalesce(F.col(a) > F.col(b), F.lit(False)), F.lit(f"cross:{a}>{b}")) for a, b in pairs],
+                      errors)
 
 
 def split_rejected(df: DataFrame, errors: str = "errors") -> tuple[DataFrame, DataFrame]:
@@ -140,10 +140,9 @@ def map_lookup(df: DataFrame, col: str, mapping: Mapping[str, str], out: str | N
         dim = df.sparkSession.createDataFrame(list(mapping.items()), "_key string, _canon string")
         res = df.withColumn("_key", key).join(F.broadcast(dim), "_key", "left").drop("_key")
     if errors:
-        e = F.col(errors) if errors in df.columns else F.array().cast("array<string>")
-        res = res.withColumn(errors, _append(e, F.col("_canon").isNull(),
-                                             F.concat(F.lit(f"invalid:{col}:'"), F.coalesce(F.col(col).cast("string"), F.lit("None")),
-                                                      F.lit(f"' valid: [{valid}]"))))
+        msg = F.concat(F.lit(f"invalid:{col}:'"), F.coalesce(F.col(col).cast("string"), F.lit("None")),
+                       F.lit(f"' valid: [{valid}]"))
+        res = add_errors(res, [(F.col("_canon").isNull(), msg)], errors)
     return res.withColumn(out, F.col("_canon")).drop("_canon")
 
 
@@ -159,14 +158,11 @@ def outside_domain(df: DataFrame, col: str, domain: DataFrame, domain_col: str |
 
 def parse_numbers(df: DataFrame, fields: Sequence[str], errors: str = "errors") -> DataFrame:
     """F3 over several fields: text -> double, unparsable text -> error entry."""
-    e = F.col(errors) if errors in df.columns else F.array().cast("array<string>")
     out = df
     for f in fields:
-        raw = F.col(f)
-        val = parse_number(raw)
-        e = _append(e, raw.isNotNull() & val.isNull(), F.lit(f"number:{f}"))
-        out = out.withColumn(f"_num_{f}", val)
-    out = out.withColumn(errors, e)
+        out = out.withColumn(f"_num_{f}", parse_number(F.col(f)))
+    out = add_errors(out, [(F.col(f).isNotNull() & F.col(f"_num_{f}").isNull(), F.lit(f"number:{f}")) for f in fields],
+                     errors)
     for f in fields:
         out = out.withColumn(f, F.col(f"_num_{f}")).drop(f"_num_{f}")
     return out

@@ -64,10 +64,11 @@ def apply_label_encoder(df: DataFrame, encoder: DataFrame | Mapping[str, Mapping
         if unknown == "minus_one":
             code = F.coalesce(code, F.lit(-1))
         elif unknown == "error":
+            from .clean import add_errors
             valid = sorted(levels)
-            out = out.withColumn(errors, F.when(code.isNull(), F.concat(F.col(errors), F.array(F.concat(
-                F.lit(f"invalid:{c}:'"), F.coalesce(src, F.lit("None")), F.lit(f"' valid: {valid}")))))
-                .otherwise(F.col(errors)))
+            msg = F.concat(F.lit(f"invalid:{c}:'"), F.coalesce(src, F.lit("None")), F.lit(f"' valid: {valid}"))
+            out = add_errors(out.withColumn(f"_code_{c}", code), [(F.col(f"_code_{c}").isNull(), msg)], errors)
+            code = F.col(f"_code_{c}")
         out = out.withColumn(c, code.cast("int"))
         if f"_code_{c}" in out.columns:
             out = out.drop(f"_code_{c}")

@@ -33,7 +33,8 @@ def anova_f(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     for c in cols:
         B, S, Q = F.col(f"_B_{c}"), F.col(f"_S_{c}"), F.col(f"_Q_{c}")
         T = S * S / F.col("N")
-        f = ((B - T) / (F.col("k") - 1)) / ((Q - B) / (F.col("N") - F.col("k")))
+        # constant features (no spread inside classes) give null, like the NaN of a 0/0 score
+        f = F.try_divide(F.try_divide(B - T, F.col("k") - 1), F.try_divide(Q - B, F.col("N") - F.col("k")))
         exprs.append(f.alias(f"_f_{c}"))
     pairs = ", ".join(f"'{c}', `_f_{c}`" for c in cols)
     return tot.select(*exprs).selectExpr(f"stack({len(cols)}, {pairs}) as (feature, f_score)")
