@@ -111,7 +111,7 @@ def cross_validate(name: str, df: DataFrame, features: Sequence[str], label: str
 
 
 def train_all(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, models: Sequence[str] = DEFAULT_MODELS,
-              fold_col: str | None = "fold", k: int = 5, seed: int = RANDOM_STATE, parallelism: int = 4):
+              fold_col: str | None = "fold", k: int = 5, seed: int = RANDOM_STATE, parallelism: int = 6):
     """M11 + K3: cross-validate, fit, score train and test, diagnose; best = highest CV mean
     (strictly greater, first in order wins ties).
 

@@ -117,7 +117,9 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 
     Returns (by..., column, n, <name_i>...)."""
     names = list(names or [f"q{int(round(p * 1000)):03d}" for p in probs])
-    vc = value_counts_long(df, cols, by)
+    # the collapsed value counts are read three times below: stage them once in the shared folder
+    from ..session import materialize
+    vc = materialize(value_counts_long(df, cols, by), "value-counts")
     grp = list(by) + ["column"]
     cum = running_sum(vc, ["value"], ["n"], grp)
     tot = vc.groupBy(*grp).agg(F.sum("n").alias("_N"))

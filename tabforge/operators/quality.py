@@ -7,6 +7,7 @@ to the executors as literals.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -225,7 +226,13 @@ def leakage_check(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
 
 def validate(df: DataFrame, spec: QualitySpec, raise_on_schema: bool = True) -> DataFrame:
     """L2: eight checks in fixed order as one long report table
-    (check, column, metric, value, passed). Only the schema check raises."""
+    (check, column, metric, value, passed). Only the schema check raises.
+
+    The input is persisted once and read by four jobs: one wide aggregate for
+    shape, nulls, skewness, types and leakage; one grouped pass for duplicates;
+    one for class counts; the quantile machinery (plus one count pass) for
+    outliers. Only the report rows (a few per column) reach the driver."""
+    from pyspark import StorageLevel
     spark = df.sparkSession
     sc = schema_check(df, spec.expected_columns)
     if not sc["passed"] and raise_on_schema:
@@ -233,29 +240,52 @@ def validate(df: DataFrame, spec: QualitySpec, raise_on_schema: bool = True) ->
     rows = [("1_schema", c, "missing", 1.0, False) for c in sc["missing_cols"]]
     rows += [("1_schema", c, "extra", 1.0, True) for c in sc["extra_cols"]]
     rows.append(("1_schema", None, "n_expected", float(len(spec.expected_columns)), sc["passed"]))
-    parts = [spark.createDataFrame(rows, "check string, column string, metric string, value double, passed boolean")]
-
-    nc = null_counts(df)
-    parts.append(nc.select(F.lit("2_nulls").alias("check"), "column", F.lit("null_count").alias("metric"),
-                           F.col("null_count").cast("double").alias("value"), (F.col("null_count") == 0).alias("passed")))
-    dc = duplicate_count(df)
-    parts.append(dc.select(F.lit("3_duplicates"), F.lit(None).cast("string"), F.lit("duplicate_count"),
-                           F.col("duplicate_count").cast("double"), "passed"))
-    im = imbalance(df, spec.target, spec.imbalance_threshold)
-    parts.append(im.select(F.lit("4_imbalance"), F.lit(spec.target), F.lit("minority_pct"), "minority_pct", "passed"))
-    sk = skewness(df, spec.numeric_cols, spec.skew_threshold)
-    parts.append(sk.select(F.lit("5_skewness"), "column", F.lit("skewness"), "skewness_2dp", "passed"))
-    oc = outlier_counts(df, spec.outlier_cols, spec.iqr_multiplier)
-    parts.append(oc.select(F.lit("6_outliers"), "column", F.lit("n_outliers"), F.col("n_outliers").cast("double"),
-                           "passed"))
-    ti = type_issues(df, [c for c in spec.numeric_cols if c in df.columns],
-                     [c for c in spec.categorical_cols if c in df.columns])
-    parts.append(ti.select(F.lit("7_datatypes"), "column", F.lit("unparsable"), F.col("unparsable").cast("double"),
-                           "passed"))
-    if spec.leakage_cols:
-        lk = leakage_check(df, spec.leakage_cols, spec.target)
-        parts.append(lk.select(F.lit("8_leakage"), "column", F.lit("corr_with_target"), "corr", F.lit(True)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p.toDF(*out.columns))
-    return out
+
+    x = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        num = [c for c in spec.numeric_cols if c in x.columns]
+        cat = [c for c in spec.categorical_cols if c in x.columns]
+        leak = [c for c in spec.leakage_cols if c in x.columns]
+        aggs = [F.count(F.lit(1)).alias("_rows")]
+        aggs += [F.count_if(_missing(x, c)).alias(f"_null_{c}") for c in x.columns]
+        for c in num:
+            v = F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
+            aggs += [F.count(v).alias(f"_sn_{c}"), F.skewness(v).alias(f"_sg_{c}"), F.stddev_pop(v).alias(f"_ss_{c}")]
+            if not is_numeric_type(x.schema[c].dataType):
+                t = F.col(c).cast("string")
+                aggs.append(F.count_if(t.isNotNull() & t.try_cast("double").isNull()).alias(f"_u_{c}"))
+        aggs += [F.corr(F.col(c).cast("double"), F.col(spec.target).cast("double")).alias(f"_r_{c}") for c in leak]
+        one = x.agg(*aggs).collect()[0]
+
+        for c in x.columns:
+            n = one[f"_null_{c}"]
+            rows.append(("2_nulls", c, "null_count", float(n), n == 0))
+        d = duplicate_count(x).collect()[0]
+        rows.append(("3_duplicates", None, "duplicate_count", float(d["duplicate_count"]), bool(d["passed"])))
+        im = imbalance(x, spec.target, spec.imbalance_threshold).collect()[0]
+        rows.append(("4_imbalance", spec.target, "minority_pct", im["minority_pct"], bool(im["passed"])))
+        for c in num:
+            n, g, sd = one[f"_sn_{c}"], one[f"_sg_{c}"], one[f"_ss_{c}"]
+            if n < 3:
+                k = None
+            elif sd == 0:
+                k = 0.0
+            else:
+                k = g * math.sqrt(n * (n - 1)) / (n - 2)
+            k2 = None if k is None else float(spark.range(1).select(F.round(F.lit(k), 2)).first()[0])
+            rows.append(("5_skewness", c, "skewness", k2, k2 is not None and abs(k2) <= spec.skew_threshold))
+        oc = outlier_counts(x, [c for c in spec.outlier_cols if c in x.columns], spec.iqr_multiplier).collect()
+        for r in sorted(oc, key=lambda r: spec.outlier_cols.index(r["column"])):
+            rows.append(("6_outliers", r["column"], "n_outliers", float(r["n_outliers"]), bool(r["passed"])))
+        for c in num:
+            ok = is_numeric_type(x.schema[c].dataType)
+            u = 0 if ok else one[f"_u_{c}"]
+            rows.append(("7_datatypes", c, "unparsable", float(u), ok and u == 0))
+        for c in cat:
+            ok = not is_numeric_type(x.schema[c].dataType)
+            rows.append(("7_datatypes", c, "unparsable", 0.0, ok))
+        for c in spec.leakage_cols:
+            rows.append(("8_leakage", c, "corr_with_target", one[f"_r_{c}"] if c in leak else None, True))
+    finally:
+        x.unpersist()
+    return spark.createDataFrame(rows, "check string, column string, metric string, value double, passed boolean")

@@ -7,6 +7,7 @@ pass. The model is loaded once per job, not per record.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -67,7 +68,9 @@ def score(df: DataFrame, model: PipelineModel, spec: ScoringSpec, model_name: st
         for f in spec.alias_maps:
             if f in base.columns:
                 base = base.withColumn(f"raw_{f}", F.col(f).cast("string"))
-    x = check(normalize(base, spec, errors), spec, errors)
+    # One pass over the input feeds both outputs: without the barrier the optimizer would push
+    # the routing filter below the projections and evaluate every derived column once per reference.
+    x = check(normalize(base, spec, errors), spec, errors).persist(StorageLevel.MEMORY_AND_DISK)
     ok, bad = C.split_rejected(x, errors)
     pred = model.transform(ok)
     extra = [c for c in pred.columns if c not in ok.columns and c not in ("prediction", "probability")]

@@ -73,7 +73,34 @@ def l1_ingest(spark, sf):
     return PL.ingest(read(spark, sf, "documents").select("text", "lang", "source"))
 
 
-@register("l2_validation_report")
+def _l2_sql():
+    cols = DOC_QUALITY.expected_columns
+    num = DOC_NUMERIC
+    parts = ["SELECT '1_schema' AS \"check\", CAST(NULL AS VARCHAR) AS \"column\", 'n_expected' AS metric, "
+             "CAST(9 AS DOUBLE) AS value, true AS passed"]
+    parts += [f"SELECT '2_nulls', '{c}', 'null_count', CAST(count_if({c} IS NULL) AS DOUBLE), count_if({c} IS NULL) = 0 "
+              f"FROM doc_raw" for c in cols]
+    parts.append("SELECT '3_duplicates', NULL, 'duplicate_count', CAST(coalesce(sum(n - 1), 0) AS DOUBLE), "
+                 "coalesce(sum(n - 1), 0) = 0 FROM (SELECT count(*) AS n FROM doc_raw GROUP BY ALL_COLS)".replace(
+                     "ALL_COLS", ", ".join(cols)))
+    parts.append("SELECT '4_imbalance', 'quality', 'minority_pct', round(round((mn / t) * 100, 2), 6), mn / t >= 0.2 "
+                 "FROM (SELECT min(n) FILTER (WHERE quality IS NOT NULL) AS mn, sum(n) AS t FROM "
+                 "(SELECT quality, count(*) AS n FROM doc_raw GROUP BY quality))")
+    parts += [f"SELECT '5_skewness', '{c}', 'skewness', round(round(skewness(CAST({c} AS DOUBLE)), 2), 6), "
+              f"abs(round(skewness(CAST({c} AS DOUBLE)), 2)) <= 1.0 FROM doc_raw" for c in num]
+    parts += [f"SELECT '6_outliers', '{c}', 'n_outliers', CAST(count_if(CAST(d.{c} AS DOUBLE) < f.lower OR "
+              f"CAST(d.{c} AS DOUBLE) > f.upper) AS DOUBLE), count_if(CAST(d.{c} AS DOUBLE) < f.lower OR "
+              f"CAST(d.{c} AS DOUBLE) > f.upper) = 0 FROM doc_raw d, fences f WHERE f.\"column\" = '{c}'" for c in num]
+    parts += [f"SELECT '7_datatypes', '{c}', 'unparsable', CAST(0 AS DOUBLE), true" for c in num + ["lang", "source"]]
+    parts.append("SELECT '8_leakage', 'toxic', 'corr_with_target', round(corr(CAST(toxic AS DOUBLE), "
+                 "CAST(quality AS DOUBLE)), 6), true FROM doc_raw")
+    fences = ("fences AS (SELECT \"column\", q1 - 1.5 * (q3 - q1) AS lower, q3 + 1.5 * (q3 - q1) AS upper FROM ("
+              + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", quantile_cont(CAST({c} AS DOUBLE), 0.25) AS q1, "
+                                   f"quantile_cont(CAST({c} AS DOUBLE), 0.75) AS q3 FROM doc_raw" for c in num) + "))")
+    return with_(DOC_RAW_SQL, fences) + "\nUNION ALL ".join(parts)
+
+
+@register("l2_validation_report", _l2_sql())
 def l2_validation_report(spark, sf):
     return PL.validate(doc_raw(spark, sf), DOC_QUALITY)
 
