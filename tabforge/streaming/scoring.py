@@ -58,7 +58,20 @@ def run_scoring_stream(spark: SparkSession, source_dir: str, schema: T.StructTyp
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return spark.read.parquet(predictions_path), spark.read.parquet(quarantine_path)
+    # output schemas come from the same scoring plan applied to an empty input
+    empty_scored, empty_rejected = SC.score(spark.createDataFrame([], schema), model, spec, model_name)
+    return (_read_or_empty(spark, predictions_path, empty_scored.withColumn("batch_id", F.lit(0).cast("bigint"))),
+            _read_or_empty(spark, quarantine_path, empty_rejected.withColumn("batch_id", F.lit(0).cast("bigint"))))
+
+
+def _read_or_empty(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """A sink that received no rows has no files; return an empty table of the right schema then."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(p) and len(fs.globStatus(jvm.org.apache.hadoop.fs.Path(path + "/batch_id=*"))) > 0:
+        return spark.read.parquet(path)
+    return spark.createDataFrame([], like.schema)
 
 
 def live_or_fallback(spark: SparkSession, predictions_path: str, fallback: DataFrame, ts_col: str = "timestamp",
