@@ -48,8 +48,8 @@ def _rff_stage(df: DataFrame, cols: Sequence[str], components: int, seed: int) -
     scale = math.sqrt(2.0 / components)
     exprs = []
     for j in range(components):
-        lin = " + ".join(f"({w[j, i]!r}) * CAST(`{c}` AS DOUBLE)" for i, c in enumerate(cols))
-        exprs.append(f"{scale!r} * cos({lin} + ({b[j]!r})) AS `_rff{j}`")
+        lin = " + ".join(f"({float(w[j, i])!r}) * CAST(`{c}` AS DOUBLE)" for i, c in enumerate(cols))
+        exprs.append(f"{float(scale)!r} * cos({lin} + ({float(b[j])!r})) AS `_rff{j}`")
     return SQLTransformer(statement=f"SELECT *, {', '.join(exprs)} FROM __THIS__")
 
 
