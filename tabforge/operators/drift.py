@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..spec import DRIFT_SHARE
+from ..session import materialize
 from .ordered import melt, running_sum
 
 SMALL_SET = 1000
@@ -41,6 +42,7 @@ def numeric_cdf_table(reference: DataFrame, current: DataFrame, cols: Sequence[s
     lng = t.selectExpr(f"stack({len(cols)}, {pairs}) as (`column`, `value`)", "_a", "_b")
     lng = lng.where(F.col("value").isNotNull() & ~F.isnan("value"))
     g = lng.groupBy("column", "value").agg(F.sum("_a").cast("bigint").alias("a"), F.sum("_b").cast("bigint").alias("b"))
+    g = materialize(g, "drift-counts")  # both sets scanned once; every later step reads the collapsed counts
     tot = g.groupBy("column").agg(F.sum("a").alias("na"), F.sum("b").alias("nb"))
     c = running_sum(g, ["value"], ["a", "b"], ["column"], with_next=True)
     c = c.join(F.broadcast(tot), "column")  # one row per column
@@ -67,10 +69,12 @@ def numeric_drift_stats(reference: DataFrame, current: DataFrame, cols: Sequence
     w = F.when(F.col("next_value").isNotNull(), F.abs(F.col("Fa") - F.col("Fb")) * (F.col("next_value") - F.col("value")))
     st = c.groupBy("column").agg(F.max(F.abs(F.col("Fa") - F.col("Fb"))).alias("ks_stat"),
                                  F.coalesce(F.sum(w), F.lit(0.0)).alias("wasserstein"),
-                                 F.first("na").alias("n_ref"), F.first("nb").alias("n_cur"))
-    pairs = ", ".join(f"'{c}', cast(`{c}` as double)" for c in cols)
-    sd = reference.selectExpr(f"stack({len(cols)}, {pairs}) as (`column`, `value`)").where(
-        F.col("value").isNotNull() & ~F.isnan("value")).groupBy("column").agg(F.stddev_pop("value").alias("ref_std"))
+                                 F.first("na").alias("n_ref"), F.first("nb").alias("n_cur"),
+                                 (F.sum(F.col("a") * F.col("value")) / F.first("na")).alias("_mean"))
+    # population std of the reference set from the same collapsed counts (second, centred pass)
+    sd = c.join(st.select("column", "_mean"), "column").groupBy("column").agg(
+        F.sqrt(F.sum(F.col("a") * (F.col("value") - F.col("_mean")) * (F.col("value") - F.col("_mean")))
+               / F.first("na")).alias("ref_std"))
     return st.join(sd, "column").select(
         "column", "ks_stat", "wasserstein", "ref_std",
         (F.col("wasserstein") / F.when(F.col("ref_std") == 0, F.lit(1.0)).otherwise(F.col("ref_std"))).alias("wasserstein_norm"),
