@@ -17,7 +17,7 @@ from .quality import collect_fences
 
 # maps with more entries than this are joined (broadcast, size-checked) instead of inlined
 MAX_INLINE_MAP = 10_000
-MAX_BROADCAST_ROWS = 5_000_000
+MAX_BROADCAST_ROWS = 1_000_000
 
 
 def rename_positional(df: DataFrame, names: Sequence[str]) -> DataFrame:

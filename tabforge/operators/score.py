@@ -59,6 +59,12 @@ def review(pred: DataFrame, spec: ScoringSpec, model_name: str) -> DataFrame:
 
 def score(df: DataFrame, model: PipelineModel, spec: ScoringSpec, model_name: str,
           errors: str = "errors", keep_raw: bool = True) -> tuple[DataFrame, DataFrame]:
+    scored, rejected, _ = score_with_handle(df, model, spec, model_name, errors, keep_raw)
+    return scored, rejected
+
+
+def score_with_handle(df: DataFrame, model: PipelineModel, spec: ScoringSpec, model_name: str,
+                      errors: str = "errors", keep_raw: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(scored, rejected). Rejected rows keep their raw input and the error list; scored rows keep
     the normalized input (and a raw copy of changed text fields), then the review columns."""
     base = df
@@ -75,4 +81,4 @@ def score(df: DataFrame, model: PipelineModel, spec: ScoringSpec, model_name: st
     pred = model.transform(ok)
     extra = [c for c in pred.columns if c not in ok.columns and c not in ("prediction", "probability")]
     pred = pred.drop(*extra)
-    return review(pred, spec, model_name).drop("probability"), bad
+    return review(pred, spec, model_name).drop("probability"), bad, x

@@ -34,14 +34,17 @@ def start_scoring_stream(spark: SparkSession, source_dir: str, schema: T.StructT
     src = reader.load(source_dir)
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        scored, rejected = SC.score(batch, model, spec, model_name)
+        scored, rejected, checked = SC.score_with_handle(batch, model, spec, model_name)
         scored = scored.withColumn("batch_id", F.lit(epoch_id).cast("bigint"))
         rejected = rejected.withColumn("batch_id", F.lit(epoch_id).cast("bigint"))
-        # idempotent per epoch: a replayed batch overwrites its own partition only
-        (scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(predictions_path))
-        (rejected.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(quarantine_path))
+        try:
+            # idempotent per epoch: a replayed batch overwrites its own partition only
+            (scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("batch_id").parquet(predictions_path))
+            (rejected.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("batch_id").parquet(quarantine_path))
+        finally:
+            checked.unpersist()  # release the batch's cached rows before the next trigger
 
     w = src.writeStream.foreachBatch(write_batch).option(
         "checkpointLocation", checkpoint_path or scratch_path(spark, "stream-ckpt"))
