@@ -11,7 +11,7 @@ Plan:
    k+1 entries by (squared distance, id).
 4. Exactness check: every point outside the 3^g block is farther than one cell
    width in the grid dimensions, so an entry list whose last distance is within
-   the width is exact. Unresolved vectors retry with doubled width; once the
+   the width is exact. Unresolved vectors retry with a four times wider cell; once the
    block covers the whole range everything is resolved.
 
 Output: (id, nbr_rank 1..k, nbr_id, dist2). Ties are broken by neighbour id.
@@ -42,6 +42,8 @@ def knn_exact(df: DataFrame, id_col: str, cols: Sequence[str], k: int = 5, grid_
     cols = list(cols)
     spark = df.sparkSession
     pts = df.select(F.col(id_col).alias("id"), *[F.col(c).cast("double").alias(c) for c in cols])
+    if checkpoint:  # one pass over the source; every later step reads this narrow table
+        pts = materialize(pts, "knn-points")
     n = pts.count()
     k = min(k, max(n - 1, 0))
     if k == 0:
@@ -87,7 +89,7 @@ def knn_exact(df: DataFrame, id_col: str, cols: Sequence[str], k: int = 5, grid_
     w = Window.partitionBy("_q").orderBy("dist2", "nbr_id")
     r = 0
     while True:
-        hr = h * (2 ** r)
+        hr = h * (4 ** r)
         # once the width covers the whole range, every vector lies in the 3^g block of every query
         final = all(hr >= span[c] for c in gd)
         cells_d = [F.floor(F.col(c) / F.lit(hr)).cast("bigint").alias(f"g{j}") for j, c in enumerate(gd)]
@@ -104,16 +106,15 @@ def knn_exact(df: DataFrame, id_col: str, cols: Sequence[str], k: int = 5, grid_
         if final:
             results.append(top)
             break
-        lim = hr * hr
         st = top.groupBy("_q").agg(F.max("_r").alias("_cnt"), F.max("dist2").alias("_far"))
-        ok = st.where((F.col("_cnt") >= k + 1) & (F.col("_far") <= F.lit(lim))).select("_q")
-        good = top.join(ok, "_q", "left_semi")
+        flagged = top.join(st, "_q").withColumn("_ok", (F.col("_cnt") >= k + 1) & (F.col("_far") <= F.lit(hr * hr)))
+        flagged = flagged.drop("_cnt", "_far")
         if checkpoint:
-            good = materialize(good, "knn-round")
-        results.append(good)
-        pending = pending.join(ok.withColumnRenamed("_q", "_v"), "_v", "left_anti")
-        if checkpoint:
-            pending = materialize(pending, "knn-pending")
+            flagged = materialize(flagged, "knn-round")
+        results.append(flagged.where(F.col("_ok")).drop("_ok"))
+        # unresolved vectors retry with a wider cell; their coordinates are the fields of the key
+        pending = flagged.where(~F.col("_ok")).select("_q").distinct().select(
+            F.col("_q").alias("_v"), *[F.col(f"_q.{c}").alias(c) for c in cols])
         if pending.limit(1).count() == 0:
             break
         r += 1
