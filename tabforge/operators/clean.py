@@ -67,11 +67,15 @@ def remove_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5, mode: st
             lo, hi = fences[c]
             cond = cond & F.col(c).cast("double").between(F.lit(lo), F.lit(hi))
         return df.where(cond)
-    out = df
+    # The fence of column j depends only on the fenced columns of surviving rows, so the k passes
+    # run on a staged narrow copy of those columns; the source is then filtered once.
+    from ..session import materialize
+    narrow = materialize(df.select(*[F.col(c).cast("double").alias(c) for c in cols]), "fence-columns")
+    cond = F.lit(True)
     for c in cols:
-        lo, hi = collect_fences(out, [c], k, method)[c]
-        out = out.where(F.col(c).cast("double").between(F.lit(lo), F.lit(hi)))
-    return out
+        lo, hi = collect_fences(narrow.where(cond), [c], k, method)[c]
+        cond = cond & F.col(c).cast("double").between(F.lit(lo), F.lit(hi))
+    return df.where(cond)
 
 
 # --- record checks ----------------------------------------------------------

@@ -27,6 +27,9 @@ def smote(df: DataFrame, id_col: str, label: str, features: Sequence[str], k: in
     """U1 output: original rows (flag false) plus synthetic rows (flag true, negative ids)."""
     feats = list(features)
     base = df.select(F.col(id_col), F.col(label), *[F.col(c).cast("double").alias(c) for c in feats])
+    if checkpoint:  # the source is read once; neighbours, ranks and interpolation read the staged copy
+        from ..session import materialize
+        base = materialize(base, "smote-input")
     counts = {r[label]: int(r["count"]) for r in base.where(F.col(label).isNotNull()).groupBy(label).count().collect()}
     if not counts:
         return base.withColumn(flag, F.lit(False))

@@ -105,7 +105,37 @@ def l2_validation_report(spark, sf):
     return PL.validate(doc_raw(spark, sf), DOC_QUALITY)
 
 
-@register("l3_transform")
+def _l3_sql():
+    from .q_resample import smote_sql
+
+    def fence(src, col, name):
+        q = lambda p: f"quantile_cont(CAST({col} AS DOUBLE), {p})"
+        return (f"{name} AS (SELECT {q(0.25)} - 1.5 * ({q(0.75)} - {q(0.25)}) AS lo, "
+                f"{q(0.75)} + 1.5 * ({q(0.75)} - {q(0.25)}) AS hi FROM {src})")
+    ctes = [DOC_RAW_SQL, fence("doc_raw", "n_chars", "f1"),
+            "s1 AS (SELECT d.* FROM doc_raw d, f1 WHERE CAST(d.n_chars AS DOUBLE) BETWEEN f1.lo AND f1.hi)",
+            fence("s1", "n_words", "f2"),
+            "s2 AS (SELECT d.* FROM s1 d, f2 WHERE CAST(d.n_words AS DOUBLE) BETWEEN f2.lo AND f2.hi)",
+            fence("s2", "n_digits", "f3"),
+            "s3 AS (SELECT d.* FROM s2 d, f3 WHERE CAST(d.n_digits AS DOUBLE) BETWEEN f3.lo AND f3.hi)",
+            """lv AS (SELECT "column", value, dense_rank() OVER (PARTITION BY "column" ORDER BY value) - 1 AS code FROM (
+                 SELECT DISTINCT 'lang' AS "column", lang AS value FROM s3 WHERE lang IS NOT NULL
+                 UNION ALL SELECT DISTINCT 'source', source FROM s3 WHERE source IS NOT NULL))""",
+            """prep AS (SELECT s3.doc_id, CAST(s3.quality AS INTEGER) AS quality,
+                 CASE WHEN CAST(n_chars AS DOUBLE) > -1 THEN ln(1 + CAST(n_chars AS DOUBLE)) END AS f_n_chars,
+                 CAST(n_words AS DOUBLE) AS f_n_words, CAST(n_lines AS DOUBLE) AS f_n_lines,
+                 CASE WHEN CAST(n_digits AS DOUBLE) > -1 THEN ln(1 + CAST(n_digits AS DOUBLE)) END AS f_n_digits,
+                 CAST(coalesce(a.code, -1) AS DOUBLE) AS f_lang, CAST(coalesce(b.code, -1) AS DOUBLE) AS f_source
+               FROM s3 LEFT JOIN lv a ON a."column" = 'lang' AND a.value = s3.lang
+               LEFT JOIN lv b ON b."column" = 'source' AND b.value = s3.source WHERE s3.quality IS NOT NULL)"""]
+    feats = ["f_n_chars", "f_n_words", "f_n_lines", "f_n_digits", "f_lang", "f_source"]
+    rnd = ", ".join(f"round({c}, 6) AS {c}" for c in feats)
+    return (with_(*ctes) + smote_sql("prep", "doc_id", "quality", feats)
+            + f"\nSELECT doc_id, quality, {rnd}, false AS is_synthetic FROM prep"
+            + f"\nUNION ALL SELECT doc_id, CAST(quality AS INTEGER), {rnd}, is_synthetic FROM gen")
+
+
+@register("l3_transform", _l3_sql())
 def l3_transform(spark, sf):
     spec = TrainSpec(**{**DOC_TRAIN.__dict__, "resample_after_split": False})
     return PL.transform(doc_raw(spark, sf), spec).table

@@ -64,3 +64,24 @@ SELECT quality, max(n) OVER () AS n FROM (SELECT quality, count(*) AS n FROM doc
 def m1_class_counts_after_smote(spark, sf):
     s = smote(doc_raw(spark, sf), "doc_id", "quality", FEATS, k=5, seed=42)
     return s.groupBy("quality").agg(F.count(F.lit(1)).alias("n"))
+
+
+def smote_sql(src: str, id_col: str, label: str, feats: list[str], k: int = 5) -> str:
+    """CTEs (continuing a WITH list) for the same rebalancing in DuckDB, by brute-force neighbours:
+    ends with ``gen`` (synthetic rows: id, label, features, is_synthetic) for the smallest class."""
+    dist = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in feats)
+    return f""",
+cc AS (SELECT {label} AS cls, count(*) AS n FROM {src} WHERE {label} IS NOT NULL GROUP BY {label}),
+minor AS (SELECT cls, n FROM cc ORDER BY n, cls LIMIT 1),
+smo AS (SELECT {id_col} AS id, {", ".join(feats)} FROM {src} WHERE {label} = (SELECT cls FROM minor)),
+snn AS (SELECT * FROM (SELECT a.id, b.id AS nbr_id,
+             row_number() OVER (PARTITION BY a.id ORDER BY {dist}, b.id) AS nbr_rank
+           FROM smo a JOIN smo b ON a.id <> b.id) WHERE nbr_rank <= {k}),
+scnt AS (SELECT (SELECT max(n) FROM cc) - (SELECT n FROM minor) AS m, (SELECT n FROM minor) AS n),
+srk AS (SELECT *, row_number() OVER (ORDER BY {_draw('id')}, id) - 1 AS r FROM smo),
+ssyn AS (SELECT srk.*, srk.r + t.j * scnt.n AS i FROM srk, scnt, range(0, 100000) t(j) WHERE srk.r + t.j * scnt.n < scnt.m),
+spick AS (SELECT ssyn.*, 1 + ({_draw('ssyn.id', 'ssyn.i', "'n'")} % least({k}, (SELECT n FROM minor) - 1)) AS nr,
+                 {_draw('ssyn.id', 'ssyn.i', "'u'")} / CAST(4294967296 AS DOUBLE) AS u FROM ssyn),
+gen AS (SELECT -(p.i + 1) AS {id_col}, (SELECT cls FROM minor) AS {label}, """ + ", ".join(
+        f"p.{c} + p.u * (b.{c} - p.{c}) AS {c}" for c in feats) + f""", true AS is_synthetic
+        FROM spick p JOIN snn ON snn.id = p.id AND snn.nbr_rank = p.nr JOIN smo b ON b.id = snn.nbr_id)"""
