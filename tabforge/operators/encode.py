@@ -24,6 +24,10 @@ def fit_label_encoder(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     pairs = ", ".join(f"'{c}', cast(`{c}` as string)" for c in cols)
     lng = df.selectExpr(f"stack({len(cols)}, {pairs}) as (`column`, `value`)").where(F.col("value").isNotNull())
     distinct = lng.select("column", "value").distinct()
+    # the ranking below holds one column's levels in one task: check their number first
+    most = distinct.groupBy("column").count().agg(F.max("count")).first()[0]
+    if most is not None and most > MAX_LEVELS:
+        raise ValueError(f"{most} levels in one column: too many to encode as codes (limit {MAX_LEVELS})")
     w = Window.partitionBy("column").orderBy("value")
     return distinct.select("column", "value", (F.dense_rank().over(w) - 1).cast("int").alias("code"))
 
