@@ -276,7 +276,7 @@ def s7_split_table(spark, sf):
     return IO.read_split(spark, path, "test").select("doc_id", "quality", "split")
 
 
-@register("s9_report_sink")
+@register("s9_report_sink", _l2_sql())
 def s9_report_sink(spark, sf):
     rep = Q.validate(doc_raw(spark, sf), DOC_QUALITY)
     path = scratch_path(spark, "reports")
