@@ -28,7 +28,7 @@ def melt(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (), name: str
     """Wide -> long: one row per (row, column) with the value cast to double."""
     if not cols:
         raise ValueError("melt needs at least one column")
-    pairs = ", ".join(f"'{c}', cast(`{c}` as double)" for c in cols)
+    pairs = ", ".join(f"'{c}', try_cast(`{c}` as double)" for c in cols)
     return df.selectExpr(*[f"`{k}`" for k in keep], f"stack({len(cols)}, {pairs}) as (`{name}`, `{value}`)")
 
 

@@ -131,12 +131,12 @@ def skewness(df: DataFrame, cols: Sequence[str], threshold: float = 1.0) -> Data
     n < 3 gives null; a constant column gives 0.0 like pandas."""
     aggs = []
     for c in cols:
-        x = F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
+        x = F.when(~F.isnan(F.col(c).try_cast("double")), F.col(c).try_cast("double"))
         aggs += [F.count(x).alias(f"_n_{c}"), F.skewness(x).alias(f"_g_{c}"), F.stddev_pop(x).alias(f"_s_{c}")]
     one = df.agg(*aggs)
     exprs = []
     for c in cols:
-        n = F.col(f"_n_{c}").cast("double")
+        n = F.col(f"_n_{c}").try_cast("double")
         g = F.when(n < 3, F.lit(None)).when(F.col(f"_s_{c}") == 0, F.lit(0.0)).otherwise(
             F.col(f"_g_{c}") * F.sqrt(n * (n - 1)) / (n - 2))
         exprs.append(g.alias(f"_k_{c}"))
@@ -169,7 +169,7 @@ def outlier_counts(df: DataFrame, cols: Sequence[str], k: float = 1.5, method: s
     aggs = []
     for c in cols:
         lo, hi = fences[c]
-        x = F.col(c).cast("double")
+        x = F.col(c).try_cast("double")
         aggs.append(F.count_if((x < F.lit(lo)) | (x > F.lit(hi))).alias(f"_o_{c}"))
     one = df.agg(*aggs)
     lng = _long(one, cols, "n_outliers", "_o_")
@@ -215,7 +215,7 @@ def schema_check(df: DataFrame, expected: Sequence[str]) -> dict:
 def leakage_check(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     """Presence of suspected leakage columns and their correlation with the target."""
     present = [c for c in cols if c in df.columns]
-    aggs = [F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(f"_r_{c}") for c in present]
+    aggs = [F.corr(F.col(c).try_cast("double"), F.col(target).try_cast("double")).alias(f"_r_{c}") for c in present]
     spark = df.sparkSession
     if not present:
         return spark.createDataFrame([(c, False, None) for c in cols], "column string, present boolean, corr double")
@@ -249,12 +249,12 @@ def validate(df: DataFrame, spec: QualitySpec, raise_on_schema: bool = True) ->
         aggs = [F.count(F.lit(1)).alias("_rows")]
         aggs += [F.count_if(_missing(x, c)).alias(f"_null_{c}") for c in x.columns]
         for c in num:
-            v = F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
+            v = F.when(~F.isnan(F.col(c).try_cast("double")), F.col(c).try_cast("double"))
             aggs += [F.count(v).alias(f"_sn_{c}"), F.skewness(v).alias(f"_sg_{c}"), F.stddev_pop(v).alias(f"_ss_{c}")]
             if not is_numeric_type(x.schema[c].dataType):
                 t = F.col(c).cast("string")
                 aggs.append(F.count_if(t.isNotNull() & t.try_cast("double").isNull()).alias(f"_u_{c}"))
-        aggs += [F.corr(F.col(c).cast("double"), F.col(spec.target).cast("double")).alias(f"_r_{c}") for c in leak]
+        aggs += [F.corr(F.col(c).try_cast("double"), F.col(spec.target).try_cast("double")).alias(f"_r_{c}") for c in leak]
         one = x.agg(*aggs).collect()[0]
 
         for c in x.columns:

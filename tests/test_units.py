@@ -139,3 +139,11 @@ def test_empty_table_checks(spark):
     assert Q.shape(df).first()["total_rows"] == 0
     assert {r["null_count"] for r in Q.null_counts(df).collect()} == {0}
     assert Q.duplicate_count(df).first()["duplicate_count"] == 0
+
+
+def test_numbers_stored_as_text_do_not_crash_checks(spark):
+    df = spark.createDataFrame([("1",), ("2",), ("3",), ("4",), ("x",), ("100",)], "v string")
+    ti = Q.type_issues(df, ["v"], []).first()
+    assert ti["unparsable"] == 1 and not ti["passed"]
+    assert Q.skewness(df, ["v"]).first()["skewness"] is not None
+    assert Q.outlier_counts(df, ["v"]).first()["n_outliers"] == 1
