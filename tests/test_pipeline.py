@@ -109,3 +109,15 @@ def test_live_fallback_when_few_rows(spark):
     cur, src = STR.live_or_fallback(spark, scratch_path(spark, "absent"), fb)
     assert src == "test data"
     assert F is not None
+
+
+def test_report_shapes(spark, small_model):
+    import json
+    from tabforge.sources import reports as RP
+    t, _ = small_model
+    comp = json.loads(RP.comparison_report(t.results).toJSON().first())["comparison"]
+    assert set(comp) == {"random_forest"}
+    assert set(comp["random_forest"]) == {"cv_mean", "cv_std", "train_metrics", "test_metrics", "diagnosis"}
+    ev = json.loads(RP.evaluation_report(t.evaluation, t.best).toJSON().first())
+    assert set(ev["confusion_matrix"]) == {"true_negative", "false_positive", "false_negative", "true_positive"}
+    assert "f1_score" in ev["metrics"] and ev["test_samples"] > 0
