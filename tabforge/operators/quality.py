@@ -274,7 +274,8 @@ def validate(df: DataFrame, spec: QualitySpec, raise_on_schema: bool = True) ->
                 k = g * math.sqrt(n * (n - 1)) / (n - 2)
             k2 = None if k is None else float(spark.range(1).select(F.round(F.lit(k), 2)).first()[0])
             rows.append(("5_skewness", c, "skewness", k2, k2 is not None and abs(k2) <= spec.skew_threshold))
-        oc = outlier_counts(x, [c for c in spec.outlier_cols if c in x.columns], spec.iqr_multiplier).collect()
+        oc = outlier_counts(x, [c for c in spec.outlier_cols if c in x.columns], spec.iqr_multiplier,
+                            spec.quantile_method).collect()
         for r in sorted(oc, key=lambda r: spec.outlier_cols.index(r["column"])):
             rows.append(("6_outliers", r["column"], "n_outliers", float(r["n_outliers"]), bool(r["passed"])))
         for c in num:

@@ -73,7 +73,7 @@ def transform(df: DataFrame, spec: TrainSpec, target_mapping: dict | None = None
     applied here only in the reference order (``resample_after_split=False``)."""
     x = C.drop_columns(df, spec.drop_cols) if spec.drop_cols else df
     if spec.outlier_cols:
-        x = C.remove_outliers(x, spec.outlier_cols, mode=spec.outlier_mode)
+        x = C.remove_outliers(x, spec.outlier_cols, mode=spec.outlier_mode, method=spec.quantile_method)
     if target_mapping:
         x = EN.encode_target(x, spec.target, target_mapping)
     x = x.where(F.col(spec.target).isNotNull())

@@ -77,6 +77,8 @@ class QualitySpec:
     imbalance_threshold: float = IMBALANCE_THRESHOLD
     skew_threshold: float = SKEW_THRESHOLD
     iqr_multiplier: float = IQR_MULTIPLIER
+    # "exact" (ranks over distinct values) or "approx" (bounded memory, rank error ~ n/accuracy)
+    quantile_method: str = "exact"
 
 
 @dataclass
@@ -134,3 +136,4 @@ class TrainSpec:
     resample_after_split: bool = True
     models: tuple[str, ...] = ("random_forest", "gbt")
     outlier_mode: str = "sequential"
+    quantile_method: str = "exact"

@@ -147,3 +147,14 @@ def test_numbers_stored_as_text_do_not_crash_checks(spark):
     assert ti["unparsable"] == 1 and not ti["passed"]
     assert Q.skewness(df, ["v"]).first()["skewness"] is not None
     assert Q.outlier_counts(df, ["v"]).first()["n_outliers"] == 1
+
+
+def test_validate_with_approx_quantiles(spark):
+    from tabforge.spec import QualitySpec
+    rng = np.random.default_rng(2)
+    df = spark.createDataFrame([(float(v), int(i % 5 == 0)) for i, v in enumerate(rng.normal(size=2000))], "v double, y int")
+    spec = QualitySpec(expected_columns=["v", "y"], numeric_cols=["v"], categorical_cols=[], target="y",
+                       outlier_cols=["v"], quantile_method="approx")
+    rep = {(r["check"], r["column"]): r for r in Q.validate(df, spec).collect()}
+    exact = Q.outlier_counts(df, ["v"]).first()["n_outliers"]
+    assert abs(rep[("6_outliers", "v")]["value"] - exact) <= 3
