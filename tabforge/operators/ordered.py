@@ -33,7 +33,7 @@ def melt(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (), name: str
 
 
 def _buckets_for(spark) -> int:
-    return max(8, min(1024, int(spark.conf.get("spark.sql.shuffle.partitions", "200"))))
+    return max(8, min(4096, int(spark.conf.get("spark.sql.shuffle.partitions", "200"))))
 
 
 def running_sum(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str],

@@ -103,9 +103,13 @@ def box_stats(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
     return q.join(w, "column").select("column", "q1", "median", "q3", "whisker_low", "whisker_high", "n_fliers")
 
 
-def top_n_per_group(df: DataFrame, group: str, order: Sequence[str], n: int, salt_buckets: int = 64) -> DataFrame:
+def top_n_per_group(df: DataFrame, group: str, order: Sequence[str], n: int, salt_buckets: int | None = None) -> DataFrame:
     """The first n rows per group in ``order``, in two stages so that a hot group is
-    never sorted by one task: each (group, salt) keeps n, then each group keeps n of those."""
+    never sorted by one task: each (group, salt) keeps n, then each group keeps n of those.
+    The salt count follows the shuffle parallelism, so a hot group's share per task shrinks
+    as the cluster grows."""
+    if salt_buckets is None:
+        salt_buckets = max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(salt_buckets))
     w1 = Window.partitionBy(group, "_salt").orderBy(*order)
     first = df.withColumn("_salt", salt).withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= n)
