@@ -8,7 +8,7 @@ from ..functions import scalars as S
 from ..operators import clean as C
 from ..operators import encode as EN
 from .registry import register
-from .tables import DOC_ALL_SQL, DOC_RAW_SQL, doc_all, doc_raw, read, with_
+from .tables import DOC_RAW_SQL, doc_raw, read, with_
 
 # Our own alias map for the language codes of ``documents`` (stand-in for the scoring maps).
 LANG_MAP = {"en": "English", "english": "English", "de": "German", "german": "German", "deutsch": "German",
@@ -191,5 +191,3 @@ def u3_side_by_side(spark, sf):
     cut = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
     return C.side_by_side(e.where(F.col("ts") < cut), e.where(F.col("ts") >= cut)).drop("ts")
 
-
-__all__ = ["LANG_MAP", "doc_all"]

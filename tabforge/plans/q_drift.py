@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..operators import drift as D
 from .registry import register
 from .tables import read
@@ -78,5 +76,3 @@ def d3_drift_columns(spark, sf):
     cols, _ = D.drift_report(ref, cur, NUM, CAT, method="auto")
     return cols
 
-
-__all__ = ["F"]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..functions.scalars import hash_draw
 from ..operators import profile as P
 from .registry import register
@@ -108,5 +106,3 @@ SELECT "column", list_sort(list(DISTINCT value)) AS levels FROM (
 def k4_sorted_levels(spark, sf):
     return P.sorted_levels(read(spark, sf, "documents"), ["lang", "source"])
 
-
-__all__ = ["F"]
