@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 
 # groups x buckets above this -> no bucketing, one window task per group
 MAX_BOUND_CELLS = 200_000
+# up to this many distinct (column, value) pairs, exact quantiles use one weighted-percentile aggregate
+SMALL_DISTINCT = 100_000
 
 
 def melt(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (), name: str = "column",
@@ -111,7 +113,7 @@ def value_counts_long(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
-                    names: Sequence[str] | None = None) -> DataFrame:
+                    names: Sequence[str] | None = None, small_distinct: int = SMALL_DISTINCT) -> DataFrame:
     """Exact linear-interpolated quantiles (pandas default, DuckDB ``quantile_cont``)
     per column, distributed: value counts -> bucketed running counts -> pick ranks.
 
@@ -121,6 +123,11 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     from ..session import materialize
     vc = materialize(value_counts_long(df, cols, by), "value-counts")
     grp = list(by) + ["column"]
+    if vc.count() <= small_distinct:
+        # few distinct values (Parquet footer count): Spark's frequency-weighted exact percentile
+        # holds at most small_distinct entries per group, so one aggregate job is enough
+        q = vc.groupBy(*grp).agg(F.sum("n").alias("_N"), F.percentile("value", [float(p) for p in probs], F.col("n")).alias("_q"))
+        return q.select(*grp, F.col("_N").alias("n"), *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)])
     cum = running_sum(vc, ["value"], ["n"], grp)
     tot = vc.groupBy(*grp).agg(F.sum("n").alias("_N"))
     x = cum.join(tot, grp)  # groups are few: planner broadcasts the small side

@@ -158,3 +158,16 @@ def test_validate_with_approx_quantiles(spark):
     rep = {(r["check"], r["column"]): r for r in Q.validate(df, spec).collect()}
     exact = Q.outlier_counts(df, ["v"]).first()["n_outliers"]
     assert abs(rep[("6_outliers", "v")]["value"] - exact) <= 3
+
+
+@pytest.mark.parametrize("small", [0, 10**9])
+def test_exact_quantiles_both_paths_agree(spark, small):
+    rng = np.random.default_rng(11)
+    x = np.round(rng.lognormal(2, 1, 4000), 2)
+    g = rng.integers(0, 3, 4000)
+    df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(g, x)], "g int, v double")
+    got = {r["g"]: (r["q1"], r["q3"]) for r in
+           O.exact_quantiles(df, ["v"], [0.25, 0.75], by=["g"], names=["q1", "q3"], small_distinct=small).collect()}
+    for k in range(3):
+        want = np.quantile(x[g == k], [0.25, 0.75])
+        assert np.allclose(got[k], want, atol=1e-9)
