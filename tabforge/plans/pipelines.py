@@ -72,6 +72,10 @@ def transform(df: DataFrame, spec: TrainSpec, target_mapping: dict | None = None
     """L3: drop -> outliers (P6) -> log1p (F4) -> encode (F6) -> target (F5); rebalancing is
     applied here only in the reference order (``resample_after_split=False``)."""
     x = C.drop_columns(df, spec.drop_cols) if spec.drop_cols else df
+    # stage boundary: derived inputs (e.g. measurements of whole texts) are computed once here;
+    # every later pass of the transform reads this narrow copy
+    keep = [spec.id_col, spec.target] + [c for c in spec.features if c not in (spec.id_col, spec.target)]
+    x = materialize(x.select(*keep), "l3-input")
     if spec.outlier_cols:
         x = C.remove_outliers(x, spec.outlier_cols, mode=spec.outlier_mode, method=spec.quantile_method)
     if target_mapping:
