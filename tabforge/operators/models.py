@@ -111,20 +111,30 @@ def cross_validate(name: str, df: DataFrame, features: Sequence[str], label: str
 
 
 def train_all(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, models: Sequence[str] = DEFAULT_MODELS,
-              fold_col: str | None = "fold", k: int = 5, seed: int = RANDOM_STATE, parallelism: int = 4):
+              fold_col: str | None = "fold", k: int = 5, seed: int = RANDOM_STATE, parallelism: int | None = None):
     """M11 + K3: cross-validate, fit, score train and test, diagnose; best = highest CV mean
     (strictly greater, first in order wins ties).
 
+    All fits (k folds + the final fit, for every model) are submitted at once from driver
+    threads, like ``CrossValidator(parallelism=...)``: each fit is a chain of small distributed
+    jobs, and running them side by side hides the per-iteration scheduling latency.
+
     Returns (results DataFrame, fold scores DataFrame, best name, fitted models)."""
     from concurrent.futures import ThreadPoolExecutor
     spark = train.sparkSession
     train = train.persist()
+    n_fits = len(models) * ((k if fold_col else 0) + 1)
+    workers = max(1, min(parallelism or 12, n_fits))
     rows, fold_rows, fitted = [], [], {}
     best, best_score = None, -1.0
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
+    with ThreadPoolExecutor(max_workers=workers) as ex:
+        jobs = {}
+        for name in models:
+            jobs[name] = (ex.submit(fit, name, train, features, label, seed),
+                          [ex.submit(_fold_f1, name, train, features, label, fold_col, f, seed) for f in range(k)]
+                          if fold_col else [])
         for name in models:
-            full = ex.submit(fit, name, train, features, label, seed)
-            cv_f = [ex.submit(_fold_f1, name, train, features, label, fold_col, f, seed) for f in range(k)] if fold_col else []
+            full, cv_f = jobs[name]
             cv = [x.result() for x in cv_f]
             m = full.result()
             cv_mean = round(sum(cv) / len(cv), 4) if cv else None
