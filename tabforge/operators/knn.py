@@ -44,23 +44,24 @@ def knn_exact(df: DataFrame, id_col: str, cols: Sequence[str], k: int = 5, grid_
     pts = df.select(F.col(id_col).alias("id"), *[F.col(c).cast("double").alias(c) for c in cols])
     if checkpoint:  # one pass over the source; every later step reads this narrow table
         pts = materialize(pts, "knn-points")
-    n = pts.count()
-    k = min(k, max(n - 1, 0))
-    if k == 0:
-        return spark.createDataFrame([], "id bigint, nbr_rank int, nbr_id bigint, dist2 double")
-
     # 1. distinct vectors, their multiplicity and first k+1 ids
     vec = F.struct(*[F.col(c) for c in cols])
     pts = pts.withColumn("_v", vec)
     vecs = pts.groupBy("_v").agg(F.count(F.lit(1)).alias("m")).select("_v", "m", *[F.col(f"_v.{c}").alias(c) for c in cols])
-    firstk = top_n_per_group(pts.select("_v", "id"), "_v", ["id"], k + 1)
     if checkpoint:
         vecs = materialize(vecs, "knn-vecs")
-        firstk = materialize(firstk, "knn-firstk")
 
-    # 2. grid dimensions and width
+    # 2. grid dimensions and width (one aggregate also gives the point count)
     stats = vecs.agg(*[F.stddev_pop(c).alias(f"s_{c}") for c in cols], *[F.min(c).alias(f"lo_{c}") for c in cols],
-                     *[F.max(c).alias(f"hi_{c}") for c in cols], F.count(F.lit(1)).alias("nv")).collect()[0]
+                     *[F.max(c).alias(f"hi_{c}") for c in cols], F.count(F.lit(1)).alias("nv"),
+                     F.sum("m").alias("n")).collect()[0]
+    n = stats["n"] or 0
+    k = min(k, max(n - 1, 0))
+    if k == 0:
+        return spark.createDataFrame([], "id bigint, nbr_rank int, nbr_id bigint, dist2 double")
+    firstk = top_n_per_group(pts.select("_v", "id"), "_v", ["id"], k + 1)
+    if checkpoint:
+        firstk = materialize(firstk, "knn-firstk")
     order = sorted(cols, key=lambda c: -(stats[f"s_{c}"] or 0.0))
     gd = [c for c in order[:grid_dims] if (stats[f"hi_{c}"] - stats[f"lo_{c}"]) > 0] or order[:1]
     span = {c: stats[f"hi_{c}"] - stats[f"lo_{c}"] for c in gd}

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import hash_draw
 from .knn import knn_exact
-from .ordered import running_sum
+from .split import class_rank
 
 
 def smote(df: DataFrame, id_col: str, label: str, features: Sequence[str], k: int = 5, seed: int = 42,
@@ -46,9 +46,7 @@ def smote(df: DataFrame, id_col: str, label: str, features: Sequence[str], k: in
         kk = min(k, n - 1)
         pts = base.where(F.col(label) == F.lit(cls))
         nn = knn_exact(pts, id_col, feats, kk, checkpoint=checkpoint)
-        ranked = running_sum(pts.withColumn("_d", hash_draw(id_col, seed=seed)).withColumn("_one", F.lit(1).cast("bigint")),
-                             ["_d", id_col], ["_one"])
-        ranked = ranked.withColumn("_r", F.col("cum__one") - 1)
+        ranked = class_rank(pts, label, id_col, seed, draw_col="_d", n_rows=n).withColumnRenamed("_rank", "_r")
         per, extra = m // n, m % n
         reps = F.lit(per) + F.when(F.col("_r") < F.lit(extra), 1).otherwise(0)
         syn = ranked.where(reps > 0).select(

@@ -3,14 +3,15 @@
 Row order comes from a hash draw of (id, seed), never from ``rand()``, so the
 result does not depend on partitioning or task retries. Class quotas are a few
 integers per class, computed on the driver; the rank of each row inside its
-class uses the bucketed running count (no single-task sort of a big class).
+class uses the bucketed running count (no single-task sort of a big class),
+or a plain window per class when the class counts show the table is small.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import hash_draw
@@ -41,9 +42,19 @@ def split_quotas(counts: dict, test_size: float) -> dict:
     return {k: (tr[k], te[k]) for k in counts}
 
 
-def class_rank(df: DataFrame, label: str, id_col: str, seed: int, draw_col: str = "_draw") -> DataFrame:
-    """Adds ``_rank``: 0-based position of the row inside its class, by (draw, id)."""
-    x = df.withColumn(draw_col, hash_draw(id_col, seed=seed)).withColumn("_one", F.lit(1).cast("bigint"))
+# up to this many rows a class is ranked by one window task per class; above it, in value buckets
+SMALL_RANK_ROWS = 500_000
+
+
+def class_rank(df: DataFrame, label: str, id_col: str, seed: int, draw_col: str = "_draw",
+               n_rows: int | None = None) -> DataFrame:
+    """Adds ``_rank``: 0-based position of the row inside its class, by (draw, id).
+    ``n_rows`` (known from the class counts) picks the plain window when it is small."""
+    x = df.withColumn(draw_col, hash_draw(id_col, seed=seed))
+    if n_rows is not None and n_rows <= SMALL_RANK_ROWS:
+        w = Window.partitionBy(label).orderBy(draw_col, id_col)
+        return x.withColumn("_rank", (F.row_number().over(w) - 1).cast("bigint"))
+    x = x.withColumn("_one", F.lit(1).cast("bigint"))
     x = running_sum(x, [draw_col, id_col], ["_one"], [label])
     return x.withColumn("_rank", F.col("cum__one") - 1).drop("cum__one", "_one")
 
@@ -64,7 +75,7 @@ def stratified_split(df: DataFrame, label: str, id_col: str, test_size: float =
         return df.withColumn("split", F.when(u < test_size, "test").otherwise("train"))
     counts = _class_counts(df, label)
     q = split_quotas(counts, test_size)
-    x = class_rank(df, label, id_col, seed)
+    x = class_rank(df, label, id_col, seed, n_rows=sum(counts.values()))
     ntr = F.lit(None).cast("bigint")
     for k, (a, _) in q.items():
         ntr = F.when(F.col(label) == F.lit(k), F.lit(a)).otherwise(ntr)
@@ -87,7 +98,7 @@ def stratified_folds(df: DataFrame, label: str, id_col: str, k: int = 5, seed: i
     """M9: adds ``fold`` in 0..k-1; fold sizes per class differ by at most one."""
     counts = _class_counts(df, label)
     alloc = fold_allocation(counts, k)
-    x = class_rank(df, label, id_col, seed)
+    x = class_rank(df, label, id_col, seed, n_rows=sum(counts.values()))
     fold = F.lit(None).cast("int")
     for c, sizes in alloc.items():
         bounds, run = [], 0

@@ -131,3 +131,11 @@ def test_pvalue_helpers():
     # KS asymptotic p for a large statistic is tiny, for zero it is one
     assert D.ks_asymptotic_p(0.0, 100, 100) == 1.0
     assert D.ks_asymptotic_p(0.5, 100, 100) < 1e-9
+
+
+def test_class_rank_paths_agree(spark):
+    d = doc_raw(spark, SF01).select("doc_id", "quality")
+    a = SP.class_rank(d, "quality", "doc_id", 42, n_rows=d.count()).select("doc_id", "_rank").toPandas()
+    b = SP.class_rank(d, "quality", "doc_id", 42, n_rows=None).select("doc_id", "_rank").toPandas()
+    m = a.merge(b, on="doc_id")
+    assert len(m) == len(a) and (m._rank_x == m._rank_y).all()
