@@ -178,12 +178,16 @@ SELECT 'rule_n_chars_' || CAST(threshold AS VARCHAR) AS model, train_acc, test_a
        ELSE 'GOOD FIT — train/test gap: ' || printf('%.4f', train_acc - test_acc) END AS diagnosis
 FROM acc""")
 def m10_fit_diagnosis(spark, sf):
+    # one split, one aggregate for all rules (a single scan and rank), then one row per rule
     d = SP.stratified_split(doc_raw(spark, sf).select("doc_id", "quality", "n_chars"), "quality", "doc_id", 0.2, 42)
-    outs = []
-    for t in (500, 1000, 3000):
+    rules = (500, 1000, 3000)
+    aggs = []
+    for t in rules:
         hit = ((F.col("n_chars") > t).cast("int") == F.col("quality")).cast("int")
-        outs.append(d.agg(F.round(F.avg(F.when(F.col("split") == "train", hit)), 4).alias("train_acc"),
-                          F.round(F.avg(F.when(F.col("split") == "test", hit)), 4).alias("test_acc"))
-                    .select(F.lit(f"rule_n_chars_{t}").alias("model"), "train_acc", "test_acc"))
-    r = outs[0].unionByName(outs[1]).unionByName(outs[2])
+        aggs += [F.avg(F.when(F.col("split") == "train", hit)).alias(f"tr_{t}"),
+                 F.avg(F.when(F.col("split") == "test", hit)).alias(f"te_{t}")]
+    per_rule = F.array(*[F.struct(F.lit(f"rule_n_chars_{t}").alias("model"),
+                                  F.round(F.col(f"tr_{t}"), 4).alias("train_acc"),
+                                  F.round(F.col(f"te_{t}"), 4).alias("test_acc")) for t in rules])
+    r = d.agg(*aggs).select(F.inline(per_rule))
     return r.withColumn("diagnosis", M.diagnose(F.col("train_acc"), F.col("test_acc")))
