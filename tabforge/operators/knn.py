@@ -10,8 +10,8 @@ Plan:
    equi-join on cell ids), expands them to their first ids, and keeps its first
    k+1 entries by (squared distance, id).
 4. Exactness check: every point outside the 3^g block is farther than one cell
-   width in the grid dimensions, so an entry list whose last distance is within
-   the width is exact. Unresolved vectors retry with a four times wider cell; once the
+   width in the grid dimensions, so an entry list whose last distance is below
+   the width is exact (strictly below, so a boundary tie cannot be broken wrongly). Unresolved vectors retry with a four times wider cell; once the
    block covers the whole range everything is resolved.
 
 Output: (id, nbr_rank 1..k, nbr_id, dist2). Ties are broken by neighbour id.
@@ -108,7 +108,7 @@ def knn_exact(df: DataFrame, id_col: str, cols: Sequence[str], k: int = 5, grid_
             results.append(top)
             break
         st = top.groupBy("_q").agg(F.max("_r").alias("_cnt"), F.max("dist2").alias("_far"))
-        flagged = top.join(st, "_q").withColumn("_ok", (F.col("_cnt") >= k + 1) & (F.col("_far") <= F.lit(hr * hr)))
+        flagged = top.join(st, "_q").withColumn("_ok", (F.col("_cnt") >= k + 1) & (F.col("_far") < F.lit(hr * hr)))
         flagged = flagged.drop("_cnt", "_far")
         if checkpoint:
             flagged = materialize(flagged, "knn-round")
