@@ -7,7 +7,6 @@ to the executors as literals.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -250,7 +249,11 @@ def validate(df: DataFrame, spec: QualitySpec, raise_on_schema: bool = True) ->
         aggs += [F.count_if(_missing(x, c)).alias(f"_null_{c}") for c in x.columns]
         for c in num:
             v = F.when(~F.isnan(F.col(c).try_cast("double")), F.col(c).try_cast("double"))
-            aggs += [F.count(v).alias(f"_sn_{c}"), F.skewness(v).alias(f"_sg_{c}"), F.stddev_pop(v).alias(f"_ss_{c}")]
+            n, g, sd = F.count(v).cast("double"), F.skewness(v), F.stddev_pop(v)  # double: n*(n-1) overflows bigint
+            # bias-corrected skewness, rounded by SQL (half-up) inside the same aggregate
+            k = (F.when(n < 3, F.lit(None).cast("double")).when(sd == 0, F.lit(0.0))
+                 .otherwise(F.round(g * F.sqrt(n * (n - 1)) / (n - 2), 2)))
+            aggs.append(k.alias(f"_sk_{c}"))
             if not is_numeric_type(x.schema[c].dataType):
                 t = F.col(c).cast("string")
                 aggs.append(F.count_if(t.isNotNull() & t.try_cast("double").isNull()).alias(f"_u_{c}"))
@@ -265,14 +268,7 @@ def validate(df: DataFrame, spec: QualitySpec, raise_on_schema: bool = True) ->
         im = imbalance(x, spec.target, spec.imbalance_threshold).collect()[0]
         rows.append(("4_imbalance", spec.target, "minority_pct", im["minority_pct"], bool(im["passed"])))
         for c in num:
-            n, g, sd = one[f"_sn_{c}"], one[f"_sg_{c}"], one[f"_ss_{c}"]
-            if n < 3:
-                k = None
-            elif sd == 0:
-                k = 0.0
-            else:
-                k = g * math.sqrt(n * (n - 1)) / (n - 2)
-            k2 = None if k is None else float(spark.range(1).select(F.round(F.lit(k), 2)).first()[0])
+            k2 = one[f"_sk_{c}"]
             rows.append(("5_skewness", c, "skewness", k2, k2 is not None and abs(k2) <= spec.skew_threshold))
         oc = outlier_counts(x, [c for c in spec.outlier_cols if c in x.columns], spec.iqr_multiplier,
                             spec.quantile_method).collect()
