@@ -63,6 +63,22 @@ def test_skewness_edge_cases(spark):
     assert Q.skewness(tiny, ["v"]).first()["skewness"] is None
 
 
+
+def test_validation_suite_skewness_matches_operator(spark):
+    """L2's skewness rows (computed inside its wide aggregate) equal A8's, edge cases included."""
+    from tabforge.spec import QualitySpec
+    df = spark.createDataFrame([(5.0, 1.0, 0), (5.0, 2.0, 1), (5.0, 10.0, 0), (5.0, 3.5, 0)], "c double, v double, y int")
+    spec = QualitySpec(expected_columns=["c", "v", "y"], numeric_cols=["c", "v"], categorical_cols=[], target="y",
+                       outlier_cols=["v"])
+    rep = {r["column"]: (r["value"], r["passed"]) for r in Q.validate(df, spec).where("check = '5_skewness'").collect()}
+    a8 = {r["column"]: r["skewness"] for r in Q.skewness(df, ["c", "v"]).collect()}
+    assert rep["c"] == (0.0, True)
+    assert rep["v"][0] == round(a8["v"], 2) == 1.63 and rep["v"][1] is False  # the suite reports 2 places
+    tiny = spark.createDataFrame([(1.0, 0), (2.0, 1)], "v double, y int")
+    spec2 = QualitySpec(expected_columns=["v", "y"], numeric_cols=["v"], categorical_cols=[], target="y", outlier_cols=[])
+    r = Q.validate(tiny, spec2).where("check = '5_skewness'").first()
+    assert r["value"] is None and r["passed"] is False
+
 def test_imbalance_counts_null_target_in_denominator(spark):
     df = spark.createDataFrame([(1,), (1,), (1,), (0,), (None,)], "y int")
     r = Q.imbalance(df, "y").first()
