@@ -270,8 +270,8 @@ def validate(df: DataFrame, spec: QualitySpec, raise_on_schema: bool = True) ->
         for c in num:
             k2 = one[f"_sk_{c}"]
             rows.append(("5_skewness", c, "skewness", k2, k2 is not None and abs(k2) <= spec.skew_threshold))
-        oc = outlier_counts(x, [c for c in spec.outlier_cols if c in x.columns], spec.iqr_multiplier,
-                            spec.quantile_method).collect()
+        ocols = [c for c in spec.outlier_cols if c in x.columns]
+        oc = outlier_counts(x, ocols, spec.iqr_multiplier, spec.quantile_method).collect() if ocols else []
         for r in sorted(oc, key=lambda r: spec.outlier_cols.index(r["column"])):
             rows.append(("6_outliers", r["column"], "n_outliers", float(r["n_outliers"]), bool(r["passed"])))
         for c in num:
