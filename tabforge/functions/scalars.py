@@ -122,3 +122,13 @@ def line_count(c: str | Column) -> Column:
 
 def digit_count(c: str | Column) -> Column:
     return (F.length(_c(c)) - F.length(F.regexp_replace(_c(c), "[0-9]", ""))).cast("bigint")
+
+
+def pearson(a: str | Column, b: str | Column) -> Column:
+    """Pearson correlation as an aggregate over the rows where both values are present
+    (like ``corr`` and pandas). A column without spread gives null (NaN in pandas) instead of
+    the division-by-zero error that ``corr`` raises under ANSI mode."""
+    x, y = _c(a).cast("double"), _c(b).cast("double")
+    both = x.isNotNull() & y.isNotNull() & ~F.isnan(x) & ~F.isnan(y)
+    x, y = F.when(both, x), F.when(both, y)
+    return F.try_divide(F.covar_pop(x, y), F.sqrt(F.var_pop(x) * F.var_pop(y)))

@@ -65,7 +65,7 @@ def remove_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5, mode: st
         cond = F.lit(True)
         for c in cols:
             lo, hi = fences[c]
-            cond = cond & F.col(c).try_cast("double").between(F.lit(lo), F.lit(hi))
+            cond = cond & F.col(c).try_cast("double").between(F.lit(lo).cast("double"), F.lit(hi).cast("double"))
         return df.where(cond)
     # The fence of column j depends only on the fenced columns of surviving rows, so the k passes
     # run on a staged narrow copy of those columns; the source is then filtered once.
@@ -74,7 +74,7 @@ def remove_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5, mode: st
     cond = F.lit(True)
     for c in cols:
         lo, hi = collect_fences(narrow.where(cond), [c], k, method)[c]
-        cond = cond & F.col(c).try_cast("double").between(F.lit(lo), F.lit(hi))
+        cond = cond & F.col(c).try_cast("double").between(F.lit(lo).cast("double"), F.lit(hi).cast("double"))
     return df.where(cond)
 
 

@@ -62,6 +62,8 @@ def fit_standard_scaler(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[f
                *[F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}") for c in cols]).collect()[0]
     out = {}
     for c in cols:
+        if r[f"m_{c}"] is None:
+            raise ValueError(f"cannot fit a scaler: column {c!r} has no values")
         s = r[f"s_{c}"]
         out[c] = (float(r[f"m_{c}"]), float(s) if s not in (None, 0.0) else 1.0)
     return out

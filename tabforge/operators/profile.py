@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalars import pearson
 from .ordered import exact_quantiles, melt
 
 
@@ -22,23 +23,23 @@ def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation for every ordered pair, one aggregate pass."""
+    """Pearson correlation for every ordered pair, one aggregate pass.
+    The diagonal is 1.0 for a column with spread and null otherwise (NaN in pandas)."""
     cols = list(cols)
     aggs = []
+    for a in cols:
+        x = F.col(a).cast("double")
+        aggs.append(F.when((F.count(x) > 1) & (F.stddev_pop(x) > 0), F.lit(1.0)).alias(f"{a}|{a}"))
     for i, a in enumerate(cols):
         for b in cols[i + 1:]:
-            aggs.append(F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}|{b}"))
-    one = df.agg(*aggs) if aggs else None
+            aggs.append(pearson(F.col(a), F.col(b)).alias(f"{a}|{b}"))
+    one = df.agg(*aggs)
     rows = []
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):
-            if i == j:
-                rows.append(f"'{a}', '{b}', cast(1.0 as double)")
-            else:
-                x, y = (a, b) if i < j else (b, a)
-                rows.append(f"'{a}', '{b}', `{x}|{y}`")
-    base = one if one is not None else df.limit(1)
-    return base.selectExpr(f"stack({len(rows)}, {', '.join(rows)}) as (col_a, col_b, corr)")
+            x, y = (a, b) if i <= j else (b, a)
+            rows.append(f"'{a}', '{b}', `{x}|{y}`")
+    return one.selectExpr(f"stack({len(rows)}, {', '.join(rows)}) as (col_a, col_b, corr)")
 
 
 def crosstab(df: DataFrame, a: str, b: str) -> DataFrame:

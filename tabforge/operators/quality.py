@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.scalars import pearson
 from ..spec import QualitySpec
 from .ordered import exact_quantiles, approx_quantiles
 
@@ -156,8 +157,11 @@ def iqr_fences(df: DataFrame, cols: Sequence[str], k: float = 1.5, method: str =
 
 
 def collect_fences(df: DataFrame, cols: Sequence[str], k: float = 1.5, method: str = "exact") -> dict[str, tuple]:
-    """Fences as a small dict {column: (lower, upper)} - two numbers per column."""
-    return {r["column"]: (r["lower"], r["upper"]) for r in iqr_fences(df, cols, k, method).collect()}
+    """Fences as a small dict {column: (lower, upper)} - two numbers per column.
+    A column without any value gets (None, None), like NaN quartiles in pandas: no value
+    compares as an outlier, and a filter between the fences keeps no row."""
+    got = {r["column"]: (r["lower"], r["upper"]) for r in iqr_fences(df, cols, k, method).collect()}
+    return {c: got.get(c, (None, None)) for c in cols}
 
 
 def outlier_counts(df: DataFrame, cols: Sequence[str], k: float = 1.5, method: str = "exact",
@@ -169,10 +173,12 @@ def outlier_counts(df: DataFrame, cols: Sequence[str], k: float = 1.5, method: s
     for c in cols:
         lo, hi = fences[c]
         x = F.col(c).try_cast("double")
-        aggs.append(F.count_if((x < F.lit(lo)) | (x > F.lit(hi))).alias(f"_o_{c}"))
+        lo_c, hi_c = F.lit(lo).cast("double"), F.lit(hi).cast("double")
+        aggs.append(F.count_if((x < lo_c) | (x > hi_c)).alias(f"_o_{c}"))
     one = df.agg(*aggs)
     lng = _long(one, cols, "n_outliers", "_o_")
-    fdf = df.sparkSession.createDataFrame([(c, float(fences[c][0]), float(fences[c][1])) for c in cols],
+    num = lambda v: None if v is None else float(v)
+    fdf = df.sparkSession.createDataFrame([(c, num(fences[c][0]), num(fences[c][1])) for c in cols],
                                           "column string, lower double, upper double")
     return lng.join(F.broadcast(fdf), "column").select(
         "column", F.col("n_outliers").cast("bigint").alias("n_outliers"), "lower", "upper",
@@ -214,7 +220,7 @@ def schema_check(df: DataFrame, expected: Sequence[str]) -> dict:
 def leakage_check(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     """Presence of suspected leakage columns and their correlation with the target."""
     present = [c for c in cols if c in df.columns]
-    aggs = [F.corr(F.col(c).try_cast("double"), F.col(target).try_cast("double")).alias(f"_r_{c}") for c in present]
+    aggs = [pearson(F.col(c).try_cast("double"), F.col(target).try_cast("double")).alias(f"_r_{c}") for c in present]
     spark = df.sparkSession
     if not present:
         return spark.createDataFrame([(c, False, None) for c in cols], "column string, present boolean, corr double")
@@ -257,7 +263,7 @@ def validate(df: DataFrame, spec: QualitySpec, raise_on_schema: bool = True) ->
             if not is_numeric_type(x.schema[c].dataType):
                 t = F.col(c).cast("string")
                 aggs.append(F.count_if(t.isNotNull() & t.try_cast("double").isNull()).alias(f"_u_{c}"))
-        aggs += [F.corr(F.col(c).try_cast("double"), F.col(spec.target).try_cast("double")).alias(f"_r_{c}") for c in leak]
+        aggs += [pearson(F.col(c).try_cast("double"), F.col(spec.target).try_cast("double")).alias(f"_r_{c}") for c in leak]
         one = x.agg(*aggs).collect()[0]
 
         for c in x.columns:

@@ -30,7 +30,8 @@ def _corr_sql():
     for a in _CORR_COLS:
         for b in _CORR_COLS:
             if a == b:
-                parts.append(f"SELECT '{a}' AS col_a, '{b}' AS col_b, CAST(1.0 AS DOUBLE) AS corr")
+                parts.append(f"SELECT '{a}' AS col_a, '{b}' AS col_b, CASE WHEN count({a}) > 1 AND "
+                             f"stddev_pop(CAST({a} AS DOUBLE)) > 0 THEN CAST(1.0 AS DOUBLE) END AS corr FROM doc_raw")
             else:
                 parts.append(f"SELECT '{a}' AS col_a, '{b}' AS col_b, "
                              f"round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 6) AS corr FROM doc_raw")

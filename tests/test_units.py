@@ -187,3 +187,50 @@ def test_exact_quantiles_both_paths_agree(spark, small):
     for k in range(3):
         want = np.quantile(x[g == k], [0.25, 0.75])
         assert np.allclose(got[k], want, atol=1e-9)
+
+
+def test_empty_table_edge_cases(spark):
+    """Empty input: checks report zero or null, filters keep nothing, the scaler refuses."""
+    from tabforge.operators import clean as CL
+    from tabforge.operators import features as FE
+    from tabforge.spec import QualitySpec
+    e = spark.createDataFrame([], "id bigint, x double, y double, label int")
+    oc = Q.outlier_counts(e, ["x"]).first()
+    assert oc["n_outliers"] == 0 and oc["lower"] is None and oc["passed"]
+    spec = QualitySpec(expected_columns=e.columns, numeric_cols=["x", "y"], categorical_cols=[], target="label",
+                       outlier_cols=["x", "y"])
+    rep = Q.validate(e, spec)
+    assert {r["check"] for r in rep.collect()} >= {"1_schema", "2_nulls", "6_outliers"}
+    assert CL.remove_outliers(e, ["x", "y"]).count() == 0
+    assert CL.remove_outliers(e, ["x", "y"], mode="independent").count() == 0
+    corr = {(r["col_a"], r["col_b"]): r["corr"] for r in P.corr_matrix(e, ["x", "y"]).collect()}
+    assert corr[("x", "x")] is None and corr[("x", "y")] is None
+    with pytest.raises(ValueError, match="no values"):
+        FE.fit_standard_scaler(e, ["x"])
+
+
+def test_all_null_column_fences_remove_every_row(spark):
+    """A column without values has no fences (NaN quartiles in pandas): no row passes its filter."""
+    from tabforge.operators import clean as CL
+    df = spark.createDataFrame([(1, 1.0, None), (2, 2.0, None), (3, 3.0, None)], "id int, x double, y double")
+    assert CL.remove_outliers(df, ["x"]).count() == 3
+    assert CL.remove_outliers(df, ["x", "y"]).count() == 0
+    assert Q.outlier_counts(df, ["y"]).first()["n_outliers"] == 0
+
+
+def test_corr_diagonal_null_for_constant_column(spark):
+    df = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (4.0, 5.0)], "x double, c double")
+    corr = {(r["col_a"], r["col_b"]): r["corr"] for r in P.corr_matrix(df, ["x", "c"]).collect()}
+    assert corr[("x", "x")] == 1.0 and corr[("c", "c")] is None
+
+
+def test_pearson_constant_and_pairwise_complete(spark):
+    """Constant columns give null instead of an ANSI division error; rows with a missing side are skipped."""
+    df = spark.createDataFrame([(1.0, 5.0, 2.0), (2.0, 5.0, None), (4.0, 5.0, 8.0), (None, 5.0, 1.0), (3.0, 5.0, 7.0)],
+                               "x double, c double, y double")
+    r = df.agg(S.pearson("x", "c").alias("xc"), S.pearson("x", "y").alias("xy")).first()
+    assert r["xc"] is None
+    xs, ys = np.array([1.0, 4.0, 3.0]), np.array([2.0, 8.0, 7.0])
+    assert abs(r["xy"] - np.corrcoef(xs, ys)[0, 1]) < 1e-12
+    lk = Q.leakage_check(df, ["c"], "x").first()
+    assert lk["present"] and lk["corr"] is None
