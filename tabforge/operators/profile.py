@@ -48,14 +48,17 @@ def crosstab(df: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
-    """Equal-width bins over [min, max]; the max value falls in the last bin; empty bins are listed."""
+    """Equal-width bins over [min, max]; the max value falls in the last bin; empty bins are listed.
+    A constant column gets the range [v - 0.5, v + 0.5], as numpy's histogram does."""
     x = F.col(col).cast("double")
     lohi = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).collect()[0]
     lo, hi = lohi["lo"], lohi["hi"]
     spark = df.sparkSession
     if lo is None:
         return spark.createDataFrame([], "bin int, left double, right double, n bigint")
-    width = (hi - lo) / bins if hi > lo else 1.0
+    if hi == lo:
+        lo, hi = lo - 0.5, hi + 0.5
+    width = (hi - lo) / bins
     b = F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
     counts = df.where(x.isNotNull() & ~F.isnan(x)).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     edges = spark.createDataFrame([(i, lo + i * width, lo + (i + 1) * width if i < bins - 1 else float(hi))

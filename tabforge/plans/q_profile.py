@@ -50,7 +50,8 @@ def a16_crosstab(spark, sf):
 
 @register("a17_histogram", with_(DOC_RAW_SQL) + """,
 mm AS (SELECT CAST(min(n_chars) AS DOUBLE) AS lo, CAST(max(n_chars) AS DOUBLE) AS hi FROM doc_raw),
-p AS (SELECT lo, hi, CASE WHEN hi > lo THEN (hi - lo) / 10 ELSE 1.0 END AS w FROM mm),
+p0 AS (SELECT CASE WHEN hi > lo THEN lo ELSE lo - 0.5 END AS lo, CASE WHEN hi > lo THEN hi ELSE hi + 0.5 END AS hi FROM mm),
+p AS (SELECT lo, hi, (hi - lo) / 10 AS w FROM p0),
 b AS (SELECT CAST(least(floor((CAST(n_chars AS DOUBLE) - p.lo) / p.w), 9) AS INTEGER) AS bin, count(*) AS n
       FROM doc_raw, p GROUP BY 1),
 e AS (SELECT CAST(i AS INTEGER) AS bin, p.lo + i * p.w AS "left", CASE WHEN i < 9 THEN p.lo + (i + 1) * p.w ELSE p.hi END AS "right"

@@ -234,3 +234,12 @@ def test_pearson_constant_and_pairwise_complete(spark):
     assert abs(r["xy"] - np.corrcoef(xs, ys)[0, 1]) < 1e-12
     lk = Q.leakage_check(df, ["c"], "x").first()
     assert lk["present"] and lk["corr"] is None
+
+
+def test_histogram_constant_column_centres_the_value(spark):
+    """numpy widens a zero range to [v - 0.5, v + 0.5]: all values land in the middle bin."""
+    df = spark.createDataFrame([(5.0,)] * 7, "x double")
+    h = P.histogram(df, "x", 10).orderBy("bin").collect()
+    counts, edges = np.histogram(np.full(7, 5.0), bins=10)
+    assert [r["n"] for r in h] == counts.tolist()
+    assert abs(h[0]["left"] - edges[0]) < 1e-12 and abs(h[-1]["right"] - edges[-1]) < 1e-12
