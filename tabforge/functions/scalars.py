@@ -132,3 +132,10 @@ def pearson(a: str | Column, b: str | Column) -> Column:
     both = x.isNotNull() & y.isNotNull() & ~F.isnan(x) & ~F.isnan(y)
     x, y = F.when(both, x), F.when(both, y)
     return F.try_divide(F.covar_pop(x, y), F.sqrt(F.var_pop(x) * F.var_pop(y)))
+
+
+def as_number(c: str | Column) -> Column:
+    """The value as a double with NaN read as missing (pandas and numpy-style statistics skip
+    NaN, while Spark orders NaN above every number)."""
+    x = _c(c).try_cast("double")
+    return F.when(~F.isnan(x), x)

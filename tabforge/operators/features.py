@@ -12,6 +12,8 @@ from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import as_number
+
 
 def anova_f(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     """One-way ANOVA F statistic of each feature against the class column.
@@ -57,9 +59,10 @@ def select_top_k(scores: DataFrame, k: int, order: Sequence[str]) -> list[str]:
 
 
 def fit_standard_scaler(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float]]:
-    """M2 fit: mean and *population* std per column in one pass (std 0 -> 1)."""
-    r = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m_{c}") for c in cols],
-               *[F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}") for c in cols]).collect()[0]
+    """M2 fit: mean and *population* std per column in one pass (std 0 -> 1); NaN is skipped, as in the
+    reference library's scaler."""
+    r = df.agg(*[F.avg(as_number(c)).alias(f"m_{c}") for c in cols],
+               *[F.stddev_pop(as_number(c)).alias(f"s_{c}") for c in cols]).collect()[0]
     out = {}
     for c in cols:
         if r[f"m_{c}"] is None:

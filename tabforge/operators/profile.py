@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import pearson
+from ..functions.scalars import as_number, pearson
 from .ordered import exact_quantiles, melt
 
 
@@ -49,8 +49,8 @@ def crosstab(df: DataFrame, a: str, b: str) -> DataFrame:
 
 def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     """Equal-width bins over [min, max]; the max value falls in the last bin; empty bins are listed.
-    A constant column gets the range [v - 0.5, v + 0.5], as numpy's histogram does."""
-    x = F.col(col).cast("double")
+    A constant column gets the range [v - 0.5, v + 0.5], as numpy's histogram does. NaN is missing."""
+    x = as_number(col)
     lohi = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).collect()[0]
     lo, hi = lohi["lo"], lohi["hi"]
     spark = df.sparkSession
@@ -60,7 +60,7 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
         lo, hi = lo - 0.5, hi + 0.5
     width = (hi - lo) / bins
     b = F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
-    counts = df.where(x.isNotNull() & ~F.isnan(x)).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.where(x.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     edges = spark.createDataFrame([(i, lo + i * width, lo + (i + 1) * width if i < bins - 1 else float(hi))
                                    for i in range(bins)], "bin int, left double, right double")
     return edges.join(counts, "bin", "left").select("bin", "left", "right", F.coalesce("n", F.lit(0)).alias("n"))
@@ -69,8 +69,9 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
 def density(df: DataFrame, col: str, points: int = 100) -> DataFrame:
     """Gaussian kernel density on an evenly spaced grid over [min, max], Scott's bandwidth
     (n^-1/5 times the sample std). Distinct values are collapsed with weights first; each
-    distinct value then adds its kernel to every grid point (points x distinct work, no pairs)."""
-    x = F.col(col).cast("double")
+    distinct value then adds its kernel to every grid point (points x distinct work, no pairs).
+    NaN is missing."""
+    x = as_number(col)
     s = df.agg(F.count(x).alias("n"), F.stddev_samp(x).alias("sd"), F.min(x).alias("lo"), F.max(x).alias("hi")).collect()[0]
     n, sd, lo, hi = s["n"], s["sd"], s["lo"], s["hi"]
     spark = df.sparkSession

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.scalars import pearson
+from ..functions.scalars import as_number, pearson
 from ..spec import QualitySpec
 from .ordered import exact_quantiles, approx_quantiles
 
@@ -172,7 +172,7 @@ def outlier_counts(df: DataFrame, cols: Sequence[str], k: float = 1.5, method: s
     aggs = []
     for c in cols:
         lo, hi = fences[c]
-        x = F.col(c).try_cast("double")
+        x = as_number(c)
         lo_c, hi_c = F.lit(lo).cast("double"), F.lit(hi).cast("double")
         aggs.append(F.count_if((x < lo_c) | (x > hi_c)).alias(f"_o_{c}"))
     one = df.agg(*aggs)

@@ -243,3 +243,20 @@ def test_histogram_constant_column_centres_the_value(spark):
     counts, edges = np.histogram(np.full(7, 5.0), bins=10)
     assert [r["n"] for r in h] == counts.tolist()
     assert abs(h[0]["left"] - edges[0]) < 1e-12 and abs(h[-1]["right"] - edges[-1]) < 1e-12
+
+
+def test_nan_is_missing_in_counts_bins_and_scaler(spark):
+    """NaN is skipped like in pandas, although Spark orders NaN above every number."""
+    from tabforge.operators import features as FE
+    nan = float("nan")
+    df = spark.createDataFrame([(v,) for v in [1.0, 2.0, 3.0, 4.0, 100.0, nan, nan, None]], "x double")
+    oc = Q.outlier_counts(df, ["x"]).first()
+    assert (oc["lower"], oc["upper"], oc["n_outliers"]) == (-1.0, 7.0, 1)
+    h = P.histogram(df, "x", 4).orderBy("bin").collect()
+    counts, edges = np.histogram(np.array([1.0, 2.0, 3.0, 4.0, 100.0]), bins=4)
+    assert [r["n"] for r in h] == counts.tolist() and h[-1]["right"] == edges[-1]
+    m, s = FE.fit_standard_scaler(df, ["x"])["x"]
+    ref = np.array([1.0, 2.0, 3.0, 4.0, 100.0])
+    assert abs(m - ref.mean()) < 1e-12 and abs(s - ref.std()) < 1e-12
+    d = P.density(df, "x", 5).collect()
+    assert len(d) == 5 and all(r["density"] == r["density"] for r in d)
