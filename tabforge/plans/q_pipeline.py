@@ -252,7 +252,8 @@ def s3_s5_write_verify(spark, sf):
 @register("s6_cached_dataset", with_(DOC_RAW_SQL) + "SELECT doc_id, n_chars, quality FROM doc_raw")
 def s6_cached_dataset(spark, sf):
     name = "doc-raw"
-    ver = str(abs(hash(sf)))
+    base = sf.rstrip("/")
+    ver = IO.input_version(spark, f"{base}/documents.parquet", f"{base}/labels.parquet")
     IO.drop_cached(spark, name, ver)
     IO.cached(spark, name, lambda: doc_raw(spark, sf).select("doc_id", "n_chars", "quality"), version=ver)  # miss
     return IO.cached(spark, name, lambda: doc_raw(spark, sf).limit(0), version=ver)  # hit: the stored copy

@@ -8,6 +8,7 @@ CSV and JSON are edge formats. Writes are task-parallel, so the reference's
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 import uuid
 from collections.abc import Callable, Mapping
 
@@ -90,6 +91,26 @@ def cached(spark: SparkSession, name: str, build: Callable[[], DataFrame], max_a
     return spark.read.parquet(path)
 
 
+def input_version(spark: SparkSession, *paths: str) -> str:
+    """A stable key for the current state of the input files, for ``cached(version=...)``.
+
+    Every file under ``paths`` adds a digest of (path, size, modification time); the sum is
+    order independent, so the listing is streamed and never held. A rewritten or added file
+    changes the key, so a stale copy is not read; the same files give the same key in every job."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total, n = 0, 0
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        it = hp.getFileSystem(conf).listFiles(hp, True)
+        while it.hasNext():
+            st = it.next()
+            key = f"{st.getPath().toString()}|{st.getLen()}|{st.getModificationTime()}".encode()
+            total = (total + int.from_bytes(hashlib.sha256(key).digest()[:8], "big")) % (1 << 64)
+            n += 1
+    return f"{n}-{total:016x}"
+
+
 def drop_cached(spark: SparkSession, name: str, version: str = "") -> bool:
     """Delete one named copy."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

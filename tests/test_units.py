@@ -260,3 +260,13 @@ def test_nan_is_missing_in_counts_bins_and_scaler(spark):
     assert abs(m - ref.mean()) < 1e-12 and abs(s - ref.std()) < 1e-12
     d = P.density(df, "x", 5).collect()
     assert len(d) == 5 and all(r["density"] == r["density"] for r in d)
+
+
+def test_input_version_stable_and_follows_input(spark, tmp_path):
+    from tabforge.sources import io as IO
+    p = str(tmp_path / "t")
+    spark.range(10).write.parquet(p)
+    v1, v2 = IO.input_version(spark, p), IO.input_version(spark, p)
+    assert v1 == v2
+    spark.range(20).write.mode("overwrite").parquet(p)
+    assert IO.input_version(spark, p) != v1
