@@ -270,3 +270,17 @@ def test_input_version_stable_and_follows_input(spark, tmp_path):
     assert v1 == v2
     spark.range(20).write.mode("overwrite").parquet(p)
     assert IO.input_version(spark, p) != v1
+
+
+def test_single_class_input(spark):
+    """One class: AUC and F score are undefined (null), imbalance is 100 % with no rebalancing."""
+    from tabforge.operators import features as FE
+    from tabforge.operators import metrics as M
+    df = spark.createDataFrame([(i, float(i % 5), 1, 1, float(i)) for i in range(20)],
+                               "id bigint, x double, label int, prediction int, score double")
+    assert M.roc_auc(df).first()["roc_auc"] is None
+    assert FE.anova_f(df, ["x"], "label").first()["f_score"] is None
+    im = Q.imbalance(df, "label").first()
+    assert im["minority_pct"] == 100.0 and im["passed"] and not im["rebalance_needed"]
+    rep = {r["cls"]: r for r in M.class_report(df).collect()}
+    assert rep["1"]["f1"] == 1.0 and rep["macro avg"]["support"] == 20
