@@ -8,10 +8,17 @@ order; synthetic row i (0 <= i < m) takes base row ``i mod n``, its
 
 All choices are hash draws of (row id, i, seed), so the output does not depend
 on partitioning, retries or cluster size.
+
+The m synthetic rows come from a distributed ``range(m)`` whose partition count
+follows m, not from the base rows: a tiny class that needs billions of rows is
+spread over many tasks instead of one task per base row. Base rows and
+neighbour pairs are attached by joins (broadcast only below a checked row
+count; shuffled above it, where every base key carries about m / n rows).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -21,6 +28,11 @@ from ..functions.scalars import hash_draw
 from .knn import knn_exact
 from .split import class_rank
 
+# the per-class base rows and neighbour pairs are broadcast up to this many rows; above it, shuffle joins
+BROADCAST_ROWS = 200_000
+# synthetic rows per task of the generating range
+ROWS_PER_TASK = 1_000_000
+
 
 def smote(df: DataFrame, id_col: str, label: str, features: Sequence[str], k: int = 5, seed: int = 42,
           flag: str = "is_synthetic", checkpoint: bool = True) -> DataFrame:
@@ -30,6 +42,7 @@ def smote(df: DataFrame, id_col: str, label: str, features: Sequence[str], k: in
     if checkpoint:  # the source is read once; neighbours, ranks and interpolation read the staged copy
         from ..session import materialize
         base = materialize(base, "smote-input")
+    spark = df.sparkSession
     counts = {r[label]: int(r["count"]) for r in base.where(F.col(label).isNotNull()).groupBy(label).count().collect()}
     if not counts:
         return base.withColumn(flag, F.lit(False))
@@ -46,19 +59,22 @@ def smote(df: DataFrame, id_col: str, label: str, features: Sequence[str], k: in
         kk = min(k, n - 1)
         pts = base.where(F.col(label) == F.lit(cls))
         nn = knn_exact(pts, id_col, feats, kk, checkpoint=checkpoint)
-        ranked = class_rank(pts, label, id_col, seed, draw_col="_d", n_rows=n).withColumnRenamed("_rank", "_r")
-        per, extra = m // n, m % n
-        reps = F.lit(per) + F.when(F.col("_r") < F.lit(extra), 1).otherwise(0)
-        syn = ranked.where(reps > 0).select(
-            F.col(id_col).alias("_base"), "_r", *[F.col(c).alias(f"b_{c}") for c in feats],
-            F.explode(F.sequence(F.lit(0), reps - 1)).alias("_j"))
-        syn = syn.withColumn("_i", F.col("_r") + F.col("_j") * F.lit(n))
+        ranked = class_rank(pts, label, id_col, seed, draw_col="_d", n_rows=n).select(
+            F.col("_rank").alias("_r"), F.col(id_col).alias("_base"), *[F.col(c).alias(f"b_{c}") for c in feats])
+        # neighbour pairs with the neighbour's values: n * kk rows
+        pairs = nn.select(F.col("id").alias("_base"), F.col("nbr_rank").alias("_nr"), F.col("nbr_id").alias("_nb")).join(
+            pts.select(F.col(id_col).alias("_nb"), *[F.col(c).alias(f"n_{c}") for c in feats]), "_nb")
+        if n <= BROADCAST_ROWS:
+            ranked = F.broadcast(ranked)
+        if n * kk <= BROADCAST_ROWS:
+            pairs = F.broadcast(pairs)
+        # synthetic row i takes base rank i mod n
+        parts = max(spark.sparkContext.defaultParallelism, math.ceil(m / ROWS_PER_TASK))
+        syn = spark.range(0, m, 1, parts).select(F.col("id").alias("_i"), (F.col("id") % F.lit(n)).alias("_r"))
+        syn = syn.join(ranked, "_r")
         syn = syn.withColumn("_nr", (F.lit(1) + F.pmod(hash_draw("_base", "_i", F.lit("n"), seed=seed), F.lit(kk))).cast("int"))
         syn = syn.withColumn("_u", hash_draw("_base", "_i", F.lit("u"), seed=seed) / F.lit(4294967296.0))
-        pick = nn.select(F.col("id").alias("_base"), F.col("nbr_rank").alias("_nr"), F.col("nbr_id").alias("_nb"))
-        syn = syn.join(pick, ["_base", "_nr"])
-        nb = pts.select(F.col(id_col).alias("_nb"), *[F.col(c).alias(f"n_{c}") for c in feats])
-        syn = syn.join(nb, "_nb")
+        syn = syn.join(pairs, ["_base", "_nr"])
         syn = syn.select(
             (-(F.col("_i") + 1 + F.lit(id_offset))).cast(df.schema[id_col].dataType).alias(id_col),
             F.lit(cls).cast(df.schema[label].dataType).alias(label),
