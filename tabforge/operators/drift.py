@@ -46,8 +46,9 @@ def numeric_cdf_table(reference: DataFrame, current: DataFrame, cols: Sequence[s
     tot = g.groupBy("column").agg(F.sum("a").alias("na"), F.sum("b").alias("nb"))
     c = running_sum(g, ["value"], ["a", "b"], ["column"], with_next=True)
     c = c.join(F.broadcast(tot), "column")  # one row per column
-    return c.select("column", "value", "a", "b", (F.col("cum_a") / F.col("na")).alias("Fa"),
-                    (F.col("cum_b") / F.col("nb")).alias("Fb"), F.col("next_value"), "na", "nb")
+    # an empty side has no distribution: its shares are null (try_divide), not an ANSI error
+    return c.select("column", "value", "a", "b", F.try_divide(F.col("cum_a"), F.col("na")).alias("Fa"),
+                    F.try_divide(F.col("cum_b"), F.col("nb")).alias("Fb"), F.col("next_value"), "na", "nb")
 
 
 def ks_asymptotic_p(d: float, n: int, m: int) -> float | None:
@@ -70,11 +71,13 @@ def numeric_drift_stats(reference: DataFrame, current: DataFrame, cols: Sequence
     st = c.groupBy("column").agg(F.max(F.abs(F.col("Fa") - F.col("Fb"))).alias("ks_stat"),
                                  F.coalesce(F.sum(w), F.lit(0.0)).alias("wasserstein"),
                                  F.first("na").alias("n_ref"), F.first("nb").alias("n_cur"),
-                                 (F.sum(F.col("a") * F.col("value")) / F.first("na")).alias("_mean"))
+                                 F.try_divide(F.sum(F.col("a") * F.col("value")), F.first("na")).alias("_mean"))
     # population std of the reference set from the same collapsed counts (second, centred pass)
     sd = c.join(st.select("column", "_mean"), "column").groupBy("column").agg(
-        F.sqrt(F.sum(F.col("a") * (F.col("value") - F.col("_mean")) * (F.col("value") - F.col("_mean")))
-               / F.first("na")).alias("ref_std"))
+        F.sqrt(F.try_divide(F.sum(F.col("a") * (F.col("value") - F.col("_mean")) * (F.col("value") - F.col("_mean"))),
+                            F.first("na"))).alias("ref_std"))
+    both = (F.col("n_ref") > 0) & (F.col("n_cur") > 0)  # otherwise the distance is undefined (null)
+    st = st.withColumn("wasserstein", F.when(both, F.col("wasserstein")))
     return st.join(sd, "column").select(
         "column", "ks_stat", "wasserstein", "ref_std",
         (F.col("wasserstein") / F.when(F.col("ref_std") == 0, F.lit(1.0)).otherwise(F.col("ref_std"))).alias("wasserstein_norm"),
@@ -89,7 +92,8 @@ def category_shares(reference: DataFrame, current: DataFrame, cols: Sequence[str
     g = lng.groupBy("column", "value").agg(F.sum("_a").cast("bigint").alias("a"), F.sum("_b").cast("bigint").alias("b"))
     tot = g.groupBy("column").agg(F.sum("a").alias("na"), F.sum("b").alias("nb"))
     return g.join(F.broadcast(tot), "column").select(
-        "column", "value", "a", "b", (F.col("a") / F.col("na")).alias("p"), (F.col("b") / F.col("nb")).alias("q"),
+        "column", "value", "a", "b", F.try_divide(F.col("a"), F.col("na")).alias("p"),
+        F.try_divide(F.col("b"), F.col("nb")).alias("q"),
         "na", "nb")
 
 
@@ -103,7 +107,8 @@ def js_distance(reference: DataFrame, current: DataFrame, cols: Sequence[str]) -
     exp_b = F.col("p") * F.col("nb")
     chi = F.when(exp_b > 0, (F.col("b") - exp_b) * (F.col("b") - exp_b) / exp_b)
     return s.groupBy("column").agg(
-        F.sqrt(F.greatest(F.lit(0.0), 0.5 * F.sum(kl_p) + 0.5 * F.sum(kl_q))).alias("js_distance"),
+        F.when((F.first("na") > 0) & (F.first("nb") > 0),  # an empty side leaves the distance undefined
+               F.sqrt(F.greatest(F.lit(0.0), 0.5 * F.sum(kl_p) + 0.5 * F.sum(kl_q)))).alias("js_distance"),
         F.count(F.lit(1)).alias("n_levels"), F.sum(chi).alias("chi2"),
         F.first("na").cast("bigint").alias("n_ref"), F.first("nb").cast("bigint").alias("n_cur"))
 

@@ -284,3 +284,17 @@ def test_single_class_input(spark):
     assert im["minority_pct"] == 100.0 and im["passed"] and not im["rebalance_needed"]
     rep = {r["cls"]: r for r in M.class_report(df).collect()}
     assert rep["1"]["f1"] == 1.0 and rep["macro avg"]["support"] == 20
+
+
+def test_drift_with_an_empty_side_is_undefined_not_an_error(spark):
+    """An empty (or all-null) reference or current set gives null distances, no ANSI division error,
+    and no column counted as drifted."""
+    from tabforge.operators import drift as D
+    full = spark.createDataFrame([(float(i), "a" if i % 2 else "b") for i in range(50)], "x double, cat string")
+    empty = spark.createDataFrame([], full.schema)
+    for ref, cur in ((empty, full), (full, empty)):
+        num = D.numeric_drift_stats(ref, cur, ["x"]).first()
+        assert num["ks_stat"] is None and num["wasserstein"] is None and num["wasserstein_norm"] is None
+        assert D.js_distance(ref, cur, ["cat"]).first()["js_distance"] is None
+        cols, summary = D.drift_report(ref, cur, ["x"], ["cat"])
+        assert summary.first()["n_drifted"] == 0
