@@ -179,7 +179,7 @@ def drift_report(reference: DataFrame, current: DataFrame, numeric: Sequence[str
     cols = spark.createDataFrame(rows, "column string, kind string, method string, statistic double, "
                                        "threshold double, drifted boolean")
     summary = cols.agg(F.count(F.lit(1)).alias("n_columns"), F.count_if("drifted").alias("n_drifted")).select(
-        "n_columns", "n_drifted", (F.col("n_drifted") / F.col("n_columns")).alias("share"))
+        "n_columns", "n_drifted", F.try_divide(F.col("n_drifted"), F.col("n_columns")).alias("share"))
     summary = summary.select("*", (F.col("share") >= share_threshold).alias("dataset_drift"),
                              F.when(F.col("share") >= share_threshold, "retrain").otherwise("skip").alias("decision"))
     return cols, summary
