@@ -121,3 +121,16 @@ def test_report_shapes(spark, small_model):
     ev = json.loads(RP.evaluation_report(t.evaluation, t.best).toJSON().first())
     assert set(ev["confusion_matrix"]) == {"true_negative", "false_positive", "false_negative", "true_positive"}
     assert "f1_score" in ev["metrics"] and ev["test_samples"] > 0
+
+
+def test_score_empty_and_all_rejected_input(spark, small_model):
+    """No rows in gives no rows out; rows that all fail their checks all go to the quarantine."""
+    t, path = small_model
+    model = MO.load(path)
+    src = QP.raw_scoring_input(spark, SF001)
+    s0, r0 = SC.score(src.where(F.lit(False)), model, QP.DOC_SCORING, t.best)
+    assert s0.count() == 0 and r0.count() == 0
+    bad = src.withColumn("n_chars", F.lit("not a number"))
+    s1, r1 = SC.score(bad, model, QP.DOC_SCORING, t.best)
+    assert s1.count() == 0 and r1.count() == src.count()
+    assert r1.where(~F.array_contains("errors", "number:n_chars")).count() == 0
