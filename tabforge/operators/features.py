@@ -18,25 +18,33 @@ from ..functions.scalars import as_number
 def anova_f(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     """One-way ANOVA F statistic of each feature against the class column.
 
-    One aggregate grouped by class gives (n, sum, sum of squares) per feature;
-    F = ((B - T)/(k - 1)) / ((sum Q - B)/(N - k)) with B = sum S^2/n, T = (sum S)^2/N.
+    One aggregate grouped by class gives (n, mean, population variance) per feature; Spark
+    merges these with numerically stable updates. With the grand mean M = sum(n m) / N:
+    between = sum n (m - M)^2, within = sum n v, F = (between/(k - 1)) / (within/(N - k)).
+    This is the same F as the textbook sums-of-squares form, without its cancellation
+    (sum Q - sum S^2/n) when the mean is large against the spread or N is in the billions.
     Returns (feature, f_score)."""
+    from pyspark.sql import Window
     cols = list(cols)
+    x = {c: F.col(c).cast("double") for c in cols}
     per = df.where(F.col(label).isNotNull()).groupBy(label).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.sum(F.col(c).cast("double")).alias(f"_s_{c}") for c in cols],
-        *[F.sum(F.col(c).cast("double") * F.col(c).cast("double")).alias(f"_q_{c}") for c in cols])
-    tot = per.agg(
-        F.sum("_n").cast("double").alias("N"), F.count(F.lit(1)).cast("double").alias("k"),
-        *[F.sum(F.col(f"_s_{c}") * F.col(f"_s_{c}") / F.col("_n")).alias(f"_B_{c}") for c in cols],
-        *[F.sum(f"_s_{c}").alias(f"_S_{c}") for c in cols],
-        *[F.sum(f"_q_{c}").alias(f"_Q_{c}") for c in cols])
+        *[F.count(x[c]).alias(f"_n_{c}") for c in cols],
+        *[F.avg(x[c]).alias(f"_m_{c}") for c in cols],
+        *[F.var_pop(x[c]).alias(f"_v_{c}") for c in cols])
+    every = Window.partitionBy()  # over the k class rows only
+    per = per.select("*", *[F.try_divide(F.sum(F.col(f"_n_{c}") * F.col(f"_m_{c}")).over(every),
+                                         F.sum(f"_n_{c}").over(every)).alias(f"_gm_{c}") for c in cols])
+    aggs = []
+    for c in cols:
+        n, m, v, gm = F.col(f"_n_{c}").cast("double"), F.col(f"_m_{c}"), F.col(f"_v_{c}"), F.col(f"_gm_{c}")
+        aggs += [F.sum(n).alias(f"_tn_{c}"), F.count_if(n > 0).cast("double").alias(f"_nk_{c}"),
+                 F.sum(n * (m - gm) * (m - gm)).alias(f"_ssb_{c}"), F.sum(n * v).alias(f"_ssw_{c}")]
+    tot = per.agg(*aggs)
     exprs = []
     for c in cols:
-        B, S, Q = F.col(f"_B_{c}"), F.col(f"_S_{c}"), F.col(f"_Q_{c}")
-        T = S * S / F.col("N")
-        # constant features (no spread inside classes) give null, like the NaN of a 0/0 score
-        f = F.try_divide(F.try_divide(B - T, F.col("k") - 1), F.try_divide(Q - B, F.col("N") - F.col("k")))
+        N, k, b, w = (F.col(f"_{t}_{c}") for t in ("tn", "nk", "ssb", "ssw"))
+        # constant features (no spread inside classes) and a single class give null, like NaN in the library
+        f = F.try_divide(F.try_divide(b, k - 1), F.try_divide(w, N - k))
         exprs.append(f.alias(f"_f_{c}"))
     pairs = ", ".join(f"'{c}', `_f_{c}`" for c in cols)
     return tot.select(*exprs).selectExpr(f"stack({len(cols)}, {pairs}) as (feature, f_score)")

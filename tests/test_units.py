@@ -298,3 +298,21 @@ def test_drift_with_an_empty_side_is_undefined_not_an_error(spark):
         assert D.js_distance(ref, cur, ["cat"]).first()["js_distance"] is None
         cols, summary = D.drift_report(ref, cur, ["x"], ["cat"])
         assert summary.first()["n_drifted"] == 0
+
+
+def test_anova_f_stable_under_a_large_offset(spark):
+    """F does not change when every value is shifted; the stable form keeps it at 1e9 offsets,
+    where the sums-of-squares form cancels to noise."""
+    from tabforge.operators import features as FE
+    rng = np.random.default_rng(7)
+    y = rng.integers(0, 3, 3000)
+    v = rng.normal(0, 1, 3000) + 0.2 * y
+    df = spark.createDataFrame([(int(a), float(b), float(b) + 1e9) for a, b in zip(y, v)], "y int, v double, big double")
+    f = {r["feature"]: r["f_score"] for r in FE.anova_f(df, ["v", "big"], "y").collect()}
+    groups = [v[y == c] for c in range(3)]
+    grand = v.mean()
+    ssb = sum(len(g) * (g.mean() - grand) ** 2 for g in groups)
+    ssw = sum(((g - g.mean()) ** 2).sum() for g in groups)
+    expect = (ssb / 2) / (ssw / (len(v) - 3))
+    assert abs(f["v"] - expect) < 1e-9 * expect
+    assert abs(f["big"] - expect) < 1e-5 * expect
