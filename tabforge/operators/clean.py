@@ -18,6 +18,7 @@ from .quality import collect_fences
 # maps with more entries than this are joined (broadcast, size-checked) instead of inlined
 MAX_INLINE_MAP = 10_000
 MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 64 << 20  # estimated size of a broadcast side (values plus row overhead)
 
 
 def rename_positional(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -131,7 +132,8 @@ def map_lookup(df: DataFrame, col: str, mapping: Mapping[str, str], out: str | N
                errors: str | None = "errors") -> DataFrame:
     """Alias -> canonical value on ``lower(strip(value))``; an unknown key adds an
     error naming the sorted valid values. Small maps are inlined as a map literal;
-    large ones become a broadcast join (size-checked)."""
+    larger ones are broadcast when their rows and bytes are within the limits, and joined
+    by a shuffle otherwise."""
     out = out or col
     valid = ", ".join(sorted(set(mapping.values())))
     key = lookup_key(col)
@@ -139,10 +141,11 @@ def map_lookup(df: DataFrame, col: str, mapping: Mapping[str, str], out: str | N
         m = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
         res = df.withColumn("_canon", m[key])
     else:
-        if len(mapping) > MAX_BROADCAST_ROWS:
-            raise ValueError("alias map too large to broadcast")
+        size = sum(len(str(k).encode()) + len(str(v).encode()) + 32 for k, v in mapping.items())
         dim = df.sparkSession.createDataFrame(list(mapping.items()), "_key string, _canon string")
-        res = df.withColumn("_key", key).join(F.broadcast(dim), "_key", "left").drop("_key")
+        if len(mapping) <= MAX_BROADCAST_ROWS and size <= MAX_BROADCAST_BYTES:
+            dim = F.broadcast(dim)
+        res = df.withColumn("_key", key).join(dim, "_key", "left").drop("_key")
     if errors:
         msg = F.concat(F.lit(f"invalid:{col}:'"), F.coalesce(F.col(col).cast("string"), F.lit("None")),
                        F.lit(f"' valid: [{valid}]"))
@@ -152,11 +155,13 @@ def map_lookup(df: DataFrame, col: str, mapping: Mapping[str, str], out: str | N
 
 def outside_domain(df: DataFrame, col: str, domain: DataFrame, domain_col: str | None = None) -> DataFrame:
     """Rows whose value is not in the domain (anti join). The domain is broadcast
-    only when its row count is below the limit; otherwise a shuffle anti join."""
+    only when its distinct rows and their bytes (one job measures both) are within the
+    limits; otherwise a shuffle anti join."""
     domain_col = domain_col or col
     d = domain.select(F.col(domain_col).alias(col)).distinct()
-    n = d.count()
-    right = F.broadcast(d) if n <= MAX_BROADCAST_ROWS else d
+    st = d.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.col(col).cast("string"))).alias("b")).first()
+    n, size = st["n"], (st["b"] or 0) + 16 * st["n"]
+    right = F.broadcast(d) if n <= MAX_BROADCAST_ROWS and size <= MAX_BROADCAST_BYTES else d
     return df.join(right, col, "left_anti")
 
 

@@ -316,3 +316,21 @@ def test_anova_f_stable_under_a_large_offset(spark):
     expect = (ssb / 2) / (ssw / (len(v) - 3))
     assert abs(f["v"] - expect) < 1e-9 * expect
     assert abs(f["big"] - expect) < 1e-5 * expect
+
+
+def test_lookups_same_rows_broadcast_or_shuffled(spark, monkeypatch):
+    """Alias maps above the inline size and anti-join domains give the same rows whether they are
+    broadcast or, beyond the row/byte limits, shuffled."""
+    df = spark.createDataFrame([(i, f" K{i} ") for i in range(0, 30000, 7)] + [(-1, "nope")], "id int, v string")
+    mapping = {f"k{i}": f"c{i % 3}" for i in range(25000)}
+    dom = spark.createDataFrame([(f"K{i}",) for i in range(0, 30000, 14)], "v string")
+    def run():
+        a = sorted((r["id"], r["v2"], len(r["errors"])) for r in C.map_lookup(df, "v", mapping, out="v2").collect())
+        b = sorted(r["id"] for r in C.outside_domain(df.withColumn("v", F.trim("v")), "v", dom).collect())
+        return a, b
+    bcast = run()
+    monkeypatch.setattr(C, "MAX_BROADCAST_BYTES", 0)
+    assert run() == bcast
+    a, b = bcast
+    assert (-1, None, 1) in a and sum(1 for x in a if x[1] is None) == 1 + sum(1 for i in range(0, 30000, 7) if i >= 25000)
+    assert -1 in b and 14 not in b and 7 in b
