@@ -17,6 +17,7 @@ from ..functions.scalars import map_values
 
 MAX_LEVELS = 1_000_000      # per encoder table: above this encoding is refused
 MAX_INLINE_LEVELS = 10_000   # up to this many levels the codes are a map literal
+MAX_BROADCAST_BYTES = 64 << 20  # above the inline size: broadcast up to this estimated size, else shuffle join
 
 
 def fit_label_encoder(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -63,7 +64,10 @@ def apply_label_encoder(df: DataFrame, encoder: DataFrame | Mapping[str, Mapping
             code = map_values(src, levels)
         else:
             dim = df.sparkSession.createDataFrame(list(levels.items()), f"_v string, _code_{c} int")
-            out = out.join(F.broadcast(dim), src == F.col("_v"), "left").drop("_v")
+            size = sum(len(str(v).encode()) + 24 for v in levels)  # broadcast only a bounded table
+            if size <= MAX_BROADCAST_BYTES:
+                dim = F.broadcast(dim)
+            out = out.join(dim, src == F.col("_v"), "left").drop("_v")
             code = F.col(f"_code_{c}")
         if unknown == "minus_one":
             code = F.coalesce(code, F.lit(-1))
