@@ -51,17 +51,35 @@ def apply_label_encoder(df: DataFrame, encoder: DataFrame | Mapping[str, Mapping
     unknown='minus_one' -> -1 (monitoring path); 'null' -> null;
     'error' -> null plus an entry in the ``errors`` array (scoring path).
     """
-    enc = collect_encoder(encoder) if isinstance(encoder, DataFrame) else {k: dict(v) for k, v in encoder.items()}
-    cols = list(cols or enc.keys())
-    total = sum(len(enc[c]) for c in cols)
+    stats = None
+    if isinstance(encoder, DataFrame):
+        # one small job: levels and bytes per column; the levels reach the driver only when they are
+        # few (map literal) or the error text has to list them, otherwise the encoder table is joined
+        stats = {r["column"]: (int(r["n"]), int(r["b"] or 0)) for r in encoder.groupBy("column").agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("value")).alias("b")).collect()}
+        cols = list(cols or stats.keys())
+        total = sum(stats.get(c, (0, 0))[0] for c in cols)
+        enc = collect_encoder(encoder) if total <= MAX_INLINE_LEVELS or unknown == "error" else None
+    else:
+        enc = {k: dict(v) for k, v in encoder.items()}
+        cols = list(cols or enc.keys())
+        total = sum(len(enc[c]) for c in cols)
     out = df
     if unknown == "error" and errors not in out.columns:
         out = out.withColumn(errors, F.array().cast("array<string>"))
     for c in cols:
-        levels = enc[c]
+        levels = enc[c] if enc is not None else None
         src = F.col(c).cast("string")
-        if total <= MAX_INLINE_LEVELS:
+        if levels is not None and total <= MAX_INLINE_LEVELS:
             code = map_values(src, levels)
+        elif levels is None:
+            n, b = stats.get(c, (0, 0))
+            dim = encoder.where(F.col("column") == F.lit(c)).select(F.col("value").alias("_v"),
+                                                                    F.col("code").cast("int").alias(f"_code_{c}"))
+            if b + 24 * n <= MAX_BROADCAST_BYTES:
+                dim = F.broadcast(dim)
+            out = out.join(dim, src == F.col("_v"), "left").drop("_v")
+            code = F.col(f"_code_{c}")
         else:
             dim = df.sparkSession.createDataFrame(list(levels.items()), f"_v string, _code_{c} int")
             size = sum(len(str(v).encode()) + 24 for v in levels)  # broadcast only a bounded table

@@ -334,3 +334,18 @@ def test_lookups_same_rows_broadcast_or_shuffled(spark, monkeypatch):
     a, b = bcast
     assert (-1, None, 1) in a and sum(1 for x in a if x[1] is None) == 1 + sum(1 for i in range(0, 30000, 7) if i >= 25000)
     assert -1 in b and 14 not in b and 7 in b
+
+
+def test_large_encoder_joined_without_collect_matches_dict(spark, monkeypatch):
+    """Above the inline size a DataFrame encoder is joined as a table (broadcast within the byte
+    bound, shuffled beyond it); codes and the -1 for unknown values equal the dict path."""
+    vals = [f"v{i:05d}" for i in range(12000)]
+    train = spark.createDataFrame([(v,) for v in vals], "c string")
+    enc = EN.fit_label_encoder(train, ["c"])
+    df = spark.createDataFrame([(i, vals[i * 7 % 12000]) for i in range(3000)] + [(-1, "unseen")], "id int, c string")
+    as_dict = EN.collect_encoder(enc)
+    want = sorted(tuple(r) for r in EN.apply_label_encoder(df, as_dict).collect())
+    assert sorted(tuple(r) for r in EN.apply_label_encoder(df, enc).collect()) == want
+    monkeypatch.setattr(EN, "MAX_BROADCAST_BYTES", 0)
+    assert sorted(tuple(r) for r in EN.apply_label_encoder(df, enc).collect()) == want
+    assert (-1, -1) in want and (0, 0) in want
