@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tabforge.llm.common import read_table, scratch_path, ship
 from tabforge.llm.exact_dedup import drop_exact_copies
@@ -19,14 +18,14 @@ from tabforge.llm.mixing import apply_mix
 from tabforge.llm.packing import pack
 from tabforge.llm.queries import held_out
 from tabforge.llm.simhash import drop_near_copies
-from tabforge.llm.toxicity import fit_toxicity, score_toxicity
+from tabforge.llm.toxicity import drop_toxic, fit_toxicity
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score under 0.5, by a model learnt from the labels of rows that are not held out."""
     ship(spark)
     model = fit_toxicity(docs, read_table(spark, sf_dir, "labels"), learn=~held_out())
-    return score_toxicity(docs, model, prefix="__").where(F.col("__score") < 0.5).select(*docs.columns)
+    return drop_toxic(docs, model)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,9 +26,15 @@ def text_or_empty(col: str | Column) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
 
-def sha256_hex(col: Column) -> Column:
-    """Lower-case hex SHA-256 of a string's UTF-8 bytes."""
-    return F.sha2(col.cast("binary"), 256)
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores in front as it takes to differ from every column of ``df``."""
+    used = {c.lower() for c in df.columns}
+    return ["_" * next(i for i in range(len(used) + 2) if "_" * i + n not in used) + n for n in names]
+
+
+def all_columns(df: DataFrame) -> list[Column]:
+    """Every column of ``df``, whatever characters its name has."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
 
 
 def ship(spark: SparkSession) -> None:

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE_SPACE, materialize, text_or_empty
+from .common import WHITE_SPACE, all_columns, fresh, materialize, text_or_empty
 
 #: Counters of the sketch; it finds every digest with over 1/(0.75 * TRACKED) of the rows.
 TRACKED = 4096
@@ -72,11 +72,11 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     The kept rows are found by (digest, id), which spreads a hot group over its
     ids; rows that repeat both are reduced to one where they already lie together.
     """
-    kept = (exact_dedup(docs, id_col, text_col).where("kept")
-            .select(F.unhex("text_sha256").alias("__digest"), F.struct("doc_id").alias("__id"), F.col("n_points").alias("__n")))
+    d, i, c = fresh(docs, "digest", "id", "points")
+    kept = exact_dedup(docs, id_col, text_col).where("kept").select(
+        F.unhex("text_sha256").alias("kept_digest"), F.struct("doc_id").alias("kept_id"), F.col("n_points").alias("kept_points"))
     text = text_or_empty(text_col)
-    marked = docs.withColumns({"__d": F.unhex(F.sha2(F.translate(text, WHITE_SPACE, "").cast("binary"), 256)),
-                               
-                               "__i": F.struct(F.col(id_col).alias("doc_id")), "__c": F.char_length(text).cast("long")})
-    same = (F.col("__d") == F.col("__digest")) & (F.col("__i") == F.col("__id")) & (F.col("__c") == F.col("__n"))
-    return marked.join(kept, same, "left_semi").dropDuplicates(["__d", "__i"]).drop("__d", "__i", "__c")
+    marked = docs.withColumns({d: F.unhex(F.sha2(F.translate(text, WHITE_SPACE, "").cast("binary"), 256)),
+                               i: F.struct(F.col(id_col).alias("doc_id")), c: F.char_length(text).cast("long")})
+    same = (marked[d] == kept["kept_digest"]) & (marked[i] == kept["kept_id"]) & (marked[c] == kept["kept_points"])
+    return marked.join(kept, same, "left_semi").dropDuplicates([d, i]).select(*all_columns(docs))

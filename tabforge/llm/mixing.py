@@ -22,7 +22,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, materialize, text_or_empty
+from .common import WORD, all_columns, fresh, materialize, text_or_empty
 
 #: Rows that one hash range, and slots that one chunk, should hold.
 PER_RANGE = 4096
@@ -127,19 +127,19 @@ def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     in no mix and go.
     """
     mix = mix_sources(docs, id_col, text_col, source_col, **how).where("taken > 0")
-    key = Window.partitionBy("__i", "__t")
-    mix = mix.select(F.struct("doc_id").alias("__i"), F.col("text_key").alias("__t"), "row_no",
-                     *(F.col(c).alias(f"__{c}") for c in ("size", "taken", "first_slot")))
-    mix = mix.withColumn("__nth", F.row_number().over(key.orderBy("row_no"))).drop("row_no")
-    marked = docs.withColumns({"__i": F.struct(F.col(id_col).alias("doc_id")), "__t": F.xxhash64(text_or_empty(text_col))})
-    marked = marked.withColumn("__nth", F.row_number().over(key.orderBy(F.lit(1))))
-    both = marked.join(mix, ["__i", "__t", "__nth"])
-    whole = F.array_repeat(F.col("__size"), F.floor(F.col("__taken") / F.col("__size")).cast("int"))
-    part = F.col("__taken") % F.col("__size")
-    both = both.withColumn("__words", F.explode(F.concat(whole, F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<bigint>")))))
-    cut = F.concat_ws(" ", F.slice(F.regexp_extract_all(text_col, F.lit(f"({WORD})"), F.lit(1)), 1, F.col("__words").cast("int")))
-    is_cut = F.col("__words") < F.col("__size")
-    both = both.sortWithinPartitions("__first_slot").withColumn(text_col, F.when(is_cut, cut).otherwise(F.col(text_col)))
+    i, t, nth, size, taken, slot, words = fresh(docs, "id", "key", "nth", "size", "taken", "slot", "words")
+    key = Window.partitionBy(i, t)
+    mix = mix.select(F.struct("doc_id").alias(i), F.col("text_key").alias(t), F.col("row_no"), F.col("size").alias(size),
+                     F.col("taken").alias(taken), F.col("first_slot").alias(slot))
+    mix = mix.withColumn(nth, F.row_number().over(key.orderBy("row_no"))).drop("row_no")
+    marked = docs.withColumns({i: F.struct(F.col(id_col).alias("doc_id")), t: F.xxhash64(text_or_empty(text_col))})
+    both = marked.withColumn(nth, F.row_number().over(key.orderBy(F.lit(1)))).join(mix, [i, t, nth])
+    whole = F.array_repeat(F.col(size), F.floor(F.col(taken) / F.col(size)).cast("int"))
+    part = F.col(taken) % F.col(size)
+    both = both.withColumn(words, F.explode(F.concat(whole, F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<bigint>")))))
+    cut = F.concat_ws(" ", F.slice(F.regexp_extract_all(text_col, F.lit(f"({WORD})"), F.lit(1)), 1, F.col(words).cast("int")))
+    is_cut = F.col(words) < F.col(size)
+    both = both.sortWithinPartitions(slot).withColumn(text_col, F.when(is_cut, cut).otherwise(F.col(text_col)))
     if length_col in docs.columns:
         both = both.withColumn(length_col, F.when(is_cut, F.char_length(text_col)).otherwise(F.col(length_col)).cast(docs.schema[length_col].dataType))
-    return both.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return both.select(*all_columns(docs))

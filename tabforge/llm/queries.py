@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from . import exact_dedup as E
 from . import mixing as M
 from . import packing as K
+from . import pii as P
+from . import secrets as L
 from . import simhash as S
+from . import syncmers as Y
 from . import toxicity as X
-from .common import read_table, ship
+from .common import read_table, scratch_path, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -45,6 +48,27 @@ def op2_toxicity(spark, sf):
                          "n_hits", "n_quoted")
 
 
+@register("op3_pii")
+def op3_pii(spark, sf):
+    docs = read_table(spark, sf, "documents")
+    return P.find_pii(docs, P.fit_pii(docs))
+
+
+@register("op6_syncmers")
+def op6_syncmers(spark, sf):
+    return Y.neighbour_fingerprints(read_table(spark, sf, "documents"))
+
+
+@register("op7_secret_scan")
+def op7_secret_scan(spark, sf):
+    docs = read_table(spark, sf, "documents")
+    found = L.scan_secrets(docs, scratch_path(spark, "secret-ledger"))
+    base = F.filter("findings", lambda x: x["base"])
+    count = lambda kind: F.size(F.filter(base, lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(L.joined(base).cast("binary"), 256).alias("base_sha256"),
+                        L.joined(F.col("findings")).alias("spans"), "blob")
+
+
 @register("op4_exact_dedup", r"""
 WITH d AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256,

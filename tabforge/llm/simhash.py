@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import materialize, text_or_empty
+from .common import all_columns, fresh, materialize, text_or_empty
 from .components import connected_components
 
 #: Fingerprints that the tops of the trees are fitted on, at most.
@@ -234,7 +234,8 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     found = near_duplicates(docs, id_col, text_col, **how)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key"))
     keep = found.groupBy("component_fp").agg(first.alias("k")).select(
-        F.struct("k.doc_id").alias("__keep_id"), F.col("k.text_key").alias("__keep_text"))
-    marked = docs.withColumns({"__i": F.struct(F.col(id_col).alias("doc_id")), "__t": F.xxhash64(text_or_empty(text_col))})
-    kept = marked.join(keep, (F.col("__i") == F.col("__keep_id")) & (F.col("__t") == F.col("__keep_text")), "left_semi")
-    return kept.dropDuplicates(["__i", "__t"]).drop("__i", "__t")
+        F.struct("k.doc_id").alias("keep_id"), F.col("k.text_key").alias("keep_text"))
+    i, t = fresh(docs, "id", "key")
+    marked = docs.withColumns({i: F.struct(F.col(id_col).alias("doc_id")), t: F.xxhash64(text_or_empty(text_col))})
+    kept = marked.join(keep, (marked[i] == keep["keep_id"]) & (marked[t] == keep["keep_text"]), "left_semi")
+    return kept.dropDuplicates([i, t]).select(*all_columns(docs))

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from .common import materialize, text_or_empty
+from .common import all_columns, fresh, materialize, text_or_empty
 
 #: Labelled texts that the lexicon and the weights are fitted on, about and at most by hash share.
 SAMPLE = 12_000
@@ -331,14 +331,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = None
     return model
 
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text", prefix: str = "") -> DataFrame:
-    """``docs`` with ``prefix`` + score (0 to 1), n_hits and n_quoted at the end; no shuffle, one pass.
+def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text", names: tuple = ("score", "n_hits", "n_quoted")) -> DataFrame:
+    """``docs`` with three columns at the end, called ``names``: score (0 to 1), hits and quoted hits; no shuffle, one pass.
 
     Defined cases: null and empty texts get the score of a text without hits;
     repeated rows get equal scores; other columns pass through unread.
     """
-    added = [StructField(prefix + "score", DoubleType()), StructField(prefix + "n_hits", LongType()),
-             StructField(prefix + "n_quoted", LongType())]
+    added = [StructField(n, t) for n, t in zip(names, (DoubleType(), LongType(), LongType()))]
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -358,3 +357,9 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text"
                 [*b.schema.names, *(f.name for f in added)])
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, *added]))
+
+
+def drop_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text", limit: float = 0.5) -> DataFrame:
+    """``docs`` without the rows that score ``limit`` or more, all columns kept."""
+    score, _, _ = names = fresh(docs, "score", "n_hits", "n_quoted")
+    return score_toxicity(docs, model, text_col, names).where(F.col(score) < limit).select(*all_columns(docs))
