@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import chat as C
 from . import exact_dedup as E
 from . import mixing as M
+from . import order as O
 from . import packing as K
 from . import pii as P
 from . import secrets as L
@@ -39,11 +41,19 @@ def held_out(id_col: str = "doc_id"):
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(5)) == 0
 
 
+@register("op1_training_order")
+def op1_training_order(spark, sf):
+    from public_tokenizers import path
+
+    return O.write_shards(read_table(spark, sf, "documents"), scratch_path(spark, "training-order"), path("byte_bpe_50k.tiktoken"),
+                          size=2048, per_shard=4096, end_id=50256, width=2)
+
+
 @register("op2_toxicity")
 def op2_toxicity(spark, sf):
     docs, labels = read_table(spark, sf, "documents"), read_table(spark, sf, "labels")
     model = X.fit_toxicity(docs, labels, learn=~held_out())
-    scored = X.score_toxicity(docs.select("doc_id", "text"), model)
+    scored = X.score_toxicity(docs.select("doc_id", "text"), model, keep=["doc_id"])
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
                          "n_hits", "n_quoted")
 
@@ -54,6 +64,11 @@ def op3_pii(spark, sf):
     return P.find_pii(docs, P.fit_pii(docs))
 
 
+@register("op5_chat_roles")
+def op5_chat_roles(spark, sf):
+    return C.render(read_table(spark, sf, "conversations"))
+
+
 @register("op6_syncmers")
 def op6_syncmers(spark, sf):
     return Y.neighbour_fingerprints(read_table(spark, sf, "documents"))
