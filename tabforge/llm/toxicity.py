@@ -17,7 +17,7 @@ through the automaton together as arrays.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -204,8 +204,19 @@ class ToxicityModel:
     weight: np.ndarray  # of each match
     coef: np.ndarray  # constant and features
 
-    def features(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[list[int]]]:
-        """Features of each text, (hits, quoted hits) of each, and matches of each."""
+    def features(self, texts: Iterable[str]) -> tuple[np.ndarray, np.ndarray, list[list[int]]]:
+        """Features of each text, (hits, quoted hits) of each, and matches of each; ``SLICE`` characters at a time."""
+        parts, now, size = [self._features([])], [], 0
+        for t in texts:
+            now.append(t)
+            size += len(t)
+            if size > SLICE:
+                parts.append(self._features(now))
+                now, size = [], 0
+        parts.append(self._features(now))
+        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), [s for p in parts for s in p[2]]
+
+    def _features(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[list[int]]]:
         x, n, seen = np.zeros((len(texts), 4)), np.zeros((len(texts), 2), np.int64), [[] for _ in texts]
         number, pos, match, words = find_hits(texts, self.automaton)
         for t, p, m in zip(number.tolist(), pos.tolist(), match.tolist()):
@@ -218,7 +229,7 @@ class ToxicityModel:
         x[:, [0, 1, 3]] = np.log1p(x[:, [0, 1, 3]])
         return x, n, seen
 
-    def score(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def score(self, texts: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
         x, n, _ = self.features(texts)
         return 1 / (1 + np.exp(-(self.coef[0] + x @ self.coef[1:]))), n
 
@@ -306,8 +317,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = None
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column(1).to_pylist()
-            _, _, seen = model.features(texts)
+            _, _, seen = model.features(t.as_py() for t in b.column(1))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([sorted(set(s)) for s in seen], pa.list_(pa.int32()))],
                                              ["toxic", "seen"])
 
@@ -323,7 +333,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = None
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x, _, _ = model.features(b.column(1).to_pylist())
+            x, _, _ = model.features(t.as_py() for t in b.column(1))
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x[:, i]) for i in range(4))], ["toxic", *"abcd"])
 
     rows = sample.select("toxic", "t").mapInArrow(measure, "toxic int, a double, b double, c double, d double").toPandas()
@@ -331,32 +341,27 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = None
     return model
 
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text", names: tuple = ("score", "n_hits", "n_quoted")) -> DataFrame:
-    """``docs`` with three columns at the end, called ``names``: score (0 to 1), hits and quoted hits; no shuffle, one pass.
+def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text", names: tuple = ("score", "n_hits", "n_quoted"),
+                   keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` of ``docs`` (all, if not given), and three more called ``names`` (with underscores in front of a
+    name that is taken): score (0 to 1), hits and quoted hits. No shuffle, one pass.
 
     Defined cases: null and empty texts get the score of a text without hits;
     repeated rows get equal scores; other columns pass through unread.
     """
-    added = [StructField(n, t) for n, t in zip(names, (DoubleType(), LongType(), LongType()))]
+    kept = docs.columns if keep is None else keep
+    names = tuple(fresh(docs, *names))
+    schema = StructType([docs.schema[c] for c in kept] + [StructField(n, t) for n, t in zip(names, (DoubleType(), LongType(), LongType()))])
     at = docs.columns.index(text_col)
+    places = [docs.columns.index(c) for c in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            score, hits, texts, size = [], [], [], 0
-            for i, t in enumerate(b.column(at)):
-                texts.append(t.as_py() or "")
-                size += len(texts[-1])
-                if size > SLICE or i == len(b) - 1:
-                    s, n = model.score(texts)
-                    score.append(s)
-                    hits.append(n)
-                    texts, size = [], 0
-            hits = np.concatenate(hits) if hits else np.zeros((0, 2), np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(np.concatenate(score) if score else np.zeros(0)), pa.array(hits[:, 0]), pa.array(hits[:, 1])],
-                [*b.schema.names, *(f.name for f in added)])
-
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, *added]))
+            score, hits = model.score(t.as_py() or "" for t in b.column(at))
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in places), pa.array(score), pa.array(hits[:, 0]), pa.array(hits[:, 1])],
+                                             [*kept, *names])
+
+    return docs.mapInArrow(run, schema)
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text", limit: float = 0.5) -> DataFrame:
