@@ -9,9 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_WS = "[ \\t\\n\\r\\f\\u000B]"
-# a number: optional sign, digits with optional fraction (or fraction only), optional exponent
-_NUMBER_RE = "^[+-]?(([0-9]+(\\.[0-9]*)?)|(\\.[0-9]+))([eE][+-]?[0-9]+)?$"
+# The white space that ``str.strip`` removes (Unicode, with the four ASCII separators).
+STRIP_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+               "\u2028\u2029\u202f\u205f\u3000")
+# a number: optional sign, digits with optional fraction (or fraction only), optional exponent;
+# single underscores between digits are allowed
+_D = "[0-9](_?[0-9])*"
+_NUMBER_RE = f"^[+-]?(({_D}(\\.({_D})?)?)|(\\.{_D}))([eE][+-]?{_D})?$"
 
 
 def _c(c: str | Column) -> Column:
@@ -19,8 +23,8 @@ def _c(c: str | Column) -> Column:
 
 
 def strip_ws(c: str | Column) -> Column:
-    """remove leading and trailing whitespace incl. tabs and newlines (Spark ``trim`` only strips spaces)."""
-    return F.regexp_replace(_c(c), f"^{_WS}+|{_WS}+$", "")
+    """remove leading and trailing white space of every kind (Spark's plain ``trim`` only strips spaces)."""
+    return F.btrim(_c(c), F.lit(STRIP_CHARS))
 
 
 def strip_string_columns(df: DataFrame) -> DataFrame:
@@ -43,7 +47,7 @@ def parse_number(c: str | Column) -> Column:
     raise on bad casts under ANSI mode.
     """
     s = strip_ws(_c(c).cast("string"))
-    return F.when(s.rlike(_NUMBER_RE), s.try_cast("double"))
+    return F.when(s.rlike(_NUMBER_RE), F.translate(s, "_", "").try_cast("double"))
 
 
 def safe_log1p(c: str | Column) -> Column:

@@ -13,10 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import lookup_key, parse_number
+from .ordered import to_number
 from .quality import collect_fences
 
 # maps with more entries than this are joined (broadcast, size-checked) instead of inlined
-MAX_INLINE_MAP = 10_000
+MAX_INLINE_MAP = 64
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 << 20  # estimated size of a broadcast side (values plus row overhead)
 
@@ -66,16 +67,20 @@ def remove_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5, mode: st
         cond = F.lit(True)
         for c in cols:
             lo, hi = fences[c]
-            cond = cond & F.col(c).try_cast("double").between(F.lit(lo).cast("double"), F.lit(hi).cast("double"))
+            cond = cond & to_number(df, c).between(F.lit(lo).cast("double"), F.lit(hi).cast("double"))
         return df.where(cond)
     # The fence of column j depends only on the fenced columns of surviving rows, so the k passes
     # run on a staged narrow copy of those columns; the source is then filtered once.
     from ..session import materialize
-    narrow = materialize(df.select(*[F.col(c).try_cast("double").alias(c) for c in cols]), "fence-columns")
-    cond = F.lit(True)
+    narrow = materialize(df.select(*[to_number(df, c).alias(c) for c in cols]), "fence-columns")
+    cond, fences = F.lit(True), {}
     for c in cols:
         lo, hi = collect_fences(narrow.where(cond), [c], k, method)[c]
-        cond = cond & F.col(c).try_cast("double").between(F.lit(lo).cast("double"), F.lit(hi).cast("double"))
+        cond = cond & F.col(c).between(F.lit(lo).cast("double"), F.lit(hi).cast("double"))
+        fences[c] = (lo, hi)
+    cond = F.lit(True)
+    for c, (lo, hi) in fences.items():
+        cond = cond & to_number(df, c).between(F.lit(lo).cast("double"), F.lit(hi).cast("double"))
     return df.where(cond)
 
 
@@ -120,9 +125,9 @@ def split_rejected(df: DataFrame, errors: str = "errors") -> tuple[DataFrame, Da
     return ok, bad
 
 
-def sample_rows(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
+def sample_rows(df: DataFrame, n: int, key: str, seed: int = 42, draw: Column | None = None) -> DataFrame:
     """P10: repeatable sample of n rows - the n smallest hash draws (a distributed top-n)."""
-    d = F.xxhash64(F.col(key), F.lit(seed))
+    d = draw if draw is not None else F.xxhash64(F.col(key), F.lit(seed))
     return df.withColumn("_d", d).orderBy("_d", key).limit(n).drop("_d")
 
 
@@ -180,8 +185,3 @@ def parse_numbers(df: DataFrame, fields: Sequence[str], errors: str = "errors")
 def side_by_side(reference: DataFrame, current: DataFrame, tag: str = "dataset") -> DataFrame:
     """Both sets in one table with a tag column."""
     return reference.withColumn(tag, F.lit("reference")).unionByName(current.withColumn(tag, F.lit("current")))
-
-
-def column_diff(have: Sequence[str], want: Sequence[str]) -> dict:
-    """Missing and extra column names."""
-    return {"missing": [c for c in want if c not in have], "extra": [c for c in have if c not in want]}

@@ -2,13 +2,13 @@
 
 Numeric columns: two-sample Kolmogorov-Smirnov statistic and the Wasserstein-1
 distance normalised by the reference standard deviation. Categorical columns:
-Jensen-Shannon distance (natural log) and, for small sets, a chi-square or
-two-proportion z test. All statistics come from grouped counts per distinct
+Jensen-Shannon distance (natural log), or a chi-square test of homogeneity, which
+for two levels is the two-proportion z test. All statistics come from grouped counts per distinct
 value (both sets in one scan); running shares use the bucketed running sum.
 Only scalar results reach the driver, where the p-values are evaluated.
 
-Default method choice follows the common library rule: reference sets of at
-most 1000 rows use the tests (p < 0.05), larger ones the distances (>= 0.1).
+The method is named by the caller: "tests" (p < 0.05), "distances" (>= 0.1), or "library", the common
+library rule: reference sets of at most 1000 rows use the tests, larger ones the distances.
 """
 
 from __future__ import annotations
@@ -103,9 +103,10 @@ def js_distance(reference: DataFrame, current: DataFrame, cols: Sequence[str]) -
     mid = (F.col("p") + F.col("q")) / 2.0
     kl_p = F.when(F.col("p") > 0, F.col("p") * F.log(F.col("p") / mid)).otherwise(0.0)
     kl_q = F.when(F.col("q") > 0, F.col("q") * F.log(F.col("q") / mid)).otherwise(0.0)
-    # chi-square of the current counts against the reference shares (levels unseen in the reference are skipped)
-    exp_b = F.col("p") * F.col("nb")
-    chi = F.when(exp_b > 0, (F.col("b") - exp_b) * (F.col("b") - exp_b) / exp_b)
+    # chi-square of homogeneity: both sets against their pooled shares, so a level that only one set has counts
+    pooled = F.try_divide(F.col("a") + F.col("b"), F.col("na") + F.col("nb"))
+    gap = lambda n, total: F.try_divide((F.col(n) - pooled * F.col(total)) * (F.col(n) - pooled * F.col(total)), pooled * F.col(total))
+    chi = gap("a", "na") + gap("b", "nb")
     return s.groupBy("column").agg(
         F.when((F.first("na") > 0) & (F.first("nb") > 0),  # an empty side leaves the distance undefined
                F.sqrt(F.greatest(F.lit(0.0), 0.5 * F.sum(kl_p) + 0.5 * F.sum(kl_q)))).alias("js_distance"),
@@ -113,6 +114,11 @@ def js_distance(reference: DataFrame, current: DataFrame, cols: Sequence[str]) -
         F.first("na").cast("bigint").alias("n_ref"), F.first("nb").cast("bigint").alias("n_cur"))
 
 
+def two_proportion_p(chi2: float | None) -> float | None:
+    """Two-sided p-value of the pooled two-proportion z test; z squared is the chi-square of the two levels."""
+    return None if chi2 is None else math.erfc(math.sqrt(max(chi2, 0.0) / 2))
+
+
 def chi2_sf(x: float, dof: int) -> float:
     """Upper tail of the chi-square distribution (regularised incomplete gamma)."""
     if x is None or dof <= 0:
@@ -149,17 +155,19 @@ def chi2_sf(x: float, dof: int) -> float:
 
 
 def drift_report(reference: DataFrame, current: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
-                 method: str = "auto", share_threshold: float = DRIFT_SHARE) -> tuple[DataFrame, DataFrame]:
-    """Per-column results and the dataset verdict.
+                 method: str, share_threshold: float = DRIFT_SHARE) -> tuple[DataFrame, DataFrame]:
+    """Per-column results and the dataset verdict. ``method``: "tests", "distances" or "library".
 
     Returns (columns: column, kind, method, statistic, threshold, drifted;
              summary: n_columns, n_drifted, share, dataset_drift, decision)."""
+    if method not in ("tests", "distances", "library"):
+        raise ValueError(f"unknown drift method {method!r}")
     spark = reference.sparkSession
     rows = []
     if numeric:
         for r in numeric_drift_stats(reference, current, numeric).collect():
             small = r["n_ref"] <= SMALL_SET
-            if method == "ks" or (method == "auto" and small):
+            if method == "tests" or (method == "library" and small):
                 p = ks_asymptotic_p(r["ks_stat"], r["n_ref"], r["n_cur"])
                 rows.append((r["column"], "numeric", "ks_p_value", p, P_THRESHOLD, p is not None and p < P_THRESHOLD))
             else:
@@ -169,9 +177,10 @@ def drift_report(reference: DataFrame, current: DataFrame, numeric: Sequence[str
     if categorical:
         for r in js_distance(reference, current, categorical).collect():
             small = r["n_ref"] <= SMALL_SET
-            if method == "chi2" or (method == "auto" and small):
-                p = chi2_sf(r["chi2"], r["n_levels"] - 1)
-                rows.append((r["column"], "categorical", "chi2_p_value", p, P_THRESHOLD, p is not None and p < P_THRESHOLD))
+            if method == "tests" or (method == "library" and small):
+                two = r["n_levels"] == 2
+                p = two_proportion_p(r["chi2"]) if two else chi2_sf(r["chi2"], r["n_levels"] - 1)
+                rows.append((r["column"], "categorical", "z_p_value" if two else "chi2_p_value", p, P_THRESHOLD, p is not None and p < P_THRESHOLD))
             else:
                 v = r["js_distance"]
                 rows.append((r["column"], "categorical", "jensen_shannon", v, DISTANCE_THRESHOLD,

@@ -1,42 +1,41 @@
 """Category encoding.
 
-The encoder is a small table (column, value, code) fitted from the distinct
-values: codes follow the sorted order of the text (upper case before lower
-case, as in a byte-wise sort). The table size is checked before it is inlined
-or broadcast.
+The encoder is a table (column, value, code) fitted from the distinct values:
+codes follow the sorted order of the text (upper case before lower case, as in
+a byte-wise sort), by a running count over ranges, so a column may have any
+number of levels. A few levels are inlined; more are joined, by a broadcast
+only within a measured size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import map_values
+from .ordered import running_sum
 
-MAX_LEVELS = 1_000_000      # per encoder table: above this encoding is refused
-MAX_INLINE_LEVELS = 10_000   # up to this many levels the codes are a map literal
+MAX_INLINE_LEVELS = 64   # up to this many levels of a column the codes are a map literal (a linear search per row)
 MAX_BROADCAST_BYTES = 64 << 20  # above the inline size: broadcast up to this estimated size, else shuffle join
 
 
-def fit_label_encoder(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """F6 fit: (column, value, code) with code = 0-based rank of the value's text."""
+def level_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column, value, rank): the sorted distinct non-null values of each column, ranks from 0."""
     pairs = ", ".join(f"'{c}', cast(`{c}` as string)" for c in cols)
     lng = df.selectExpr(f"stack({len(cols)}, {pairs}) as (`column`, `value`)").where(F.col("value").isNotNull())
-    distinct = lng.select("column", "value").distinct()
-    # the ranking below holds one column's levels in one task: check their number first
-    most = distinct.groupBy("column").count().agg(F.max("count")).first()[0]
-    if most is not None and most > MAX_LEVELS:
-        raise ValueError(f"{most} levels in one column: too many to encode as codes (limit {MAX_LEVELS})")
-    w = Window.partitionBy("column").orderBy("value")
-    return distinct.select("column", "value", (F.dense_rank().over(w) - 1).cast("int").alias("code"))
+    distinct = lng.distinct().withColumn("_one", F.lit(1).cast("bigint"))
+    return running_sum(distinct, ["value"], ["_one"], ["column"]).select("column", "value", (F.col("cum__one") - 1).alias("rank"))
+
+
+def fit_label_encoder(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """F6 fit: (column, value, code) with code = 0-based rank of the value's text."""
+    return level_rows(df, cols).select("column", "value", F.col("rank").cast("int").alias("code"))
 
 
 def collect_encoder(encoder: DataFrame) -> dict[str, dict[str, int]]:
-    n = encoder.count()
-    if n > MAX_LEVELS:
-        raise ValueError(f"{n} category levels: too many to encode as codes")
+    """The levels as a dict, for a model stage that carries them with it (low-cardinality categories)."""
     out: dict[str, dict[str, int]] = {}
     for r in encoder.collect():
         out.setdefault(r["column"], {})[r["value"]] = int(r["code"])
@@ -49,55 +48,48 @@ def apply_label_encoder(df: DataFrame, encoder: DataFrame | Mapping[str, Mapping
     """replace each category by its code.
 
     unknown='minus_one' -> -1 (monitoring path); 'null' -> null;
-    'error' -> null plus an entry in the ``errors`` array (scoring path).
+    'error' -> null plus an entry in the ``errors`` array (scoring path), which lists the valid
+    values when they are few and gives their number otherwise.
     """
-    stats = None
+    from .clean import add_errors
+    small: dict[str, dict[str, int]] = {}
     if isinstance(encoder, DataFrame):
-        # one small job: levels and bytes per column; the levels reach the driver only when they are
-        # few (map literal) or the error text has to list them, otherwise the encoder table is joined
+        # one small job: levels and bytes per column; only the levels of columns with few reach the driver
         stats = {r["column"]: (int(r["n"]), int(r["b"] or 0)) for r in encoder.groupBy("column").agg(
             F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("value")).alias("b")).collect()}
         cols = list(cols or stats.keys())
-        total = sum(stats.get(c, (0, 0))[0] for c in cols)
-        enc = collect_encoder(encoder) if total <= MAX_INLINE_LEVELS or unknown == "error" else None
+        few = [c for c in cols if stats.get(c, (0, 0))[0] <= MAX_INLINE_LEVELS]
+        if few:
+            small = {c: {} for c in few} | collect_encoder(encoder.where(F.col("column").isin(few)))
     else:
-        enc = {k: dict(v) for k, v in encoder.items()}
-        cols = list(cols or enc.keys())
-        total = sum(len(enc[c]) for c in cols)
+        cols = list(cols or encoder.keys())
+        stats = {c: (len(encoder[c]), sum(len(str(v).encode()) for v in encoder[c])) for c in cols}
+        small = {c: dict(encoder[c]) for c in cols if len(encoder[c]) <= MAX_INLINE_LEVELS}
     out = df
     if unknown == "error" and errors not in out.columns:
         out = out.withColumn(errors, F.array().cast("array<string>"))
     for c in cols:
-        levels = enc[c] if enc is not None else None
-        src = F.col(c).cast("string")
-        if levels is not None and total <= MAX_INLINE_LEVELS:
-            code = map_values(src, levels)
-        elif levels is None:
-            n, b = stats.get(c, (0, 0))
-            dim = encoder.where(F.col("column") == F.lit(c)).select(F.col("value").alias("_v"),
-                                                                    F.col("code").cast("int").alias(f"_code_{c}"))
-            if b + 24 * n <= MAX_BROADCAST_BYTES:
-                dim = F.broadcast(dim)
-            out = out.join(dim, src == F.col("_v"), "left").drop("_v")
-            code = F.col(f"_code_{c}")
+        src, code = F.col(c).cast("string"), f"_code_{c}"
+        n, size = stats.get(c, (0, 0))
+        if c in small:
+            out = out.withColumn(code, map_values(src, small[c]).cast("int"))
+            valid = f"{sorted(small[c])}"
         else:
-            dim = df.sparkSession.createDataFrame(list(levels.items()), f"_v string, _code_{c} int")
-            size = sum(len(str(v).encode()) + 24 for v in levels)  # broadcast only a bounded table
-            if size <= MAX_BROADCAST_BYTES:
+            if isinstance(encoder, DataFrame):
+                dim = encoder.where(F.col("column") == F.lit(c)).select(F.col("value").alias("_v"), F.col("code").cast("int").alias(code))
+            else:
+                dim = df.sparkSession.createDataFrame(list(encoder[c].items()), f"_v string, `{code}` int")
+            if size + 24 * n <= MAX_BROADCAST_BYTES:
                 dim = F.broadcast(dim)
             out = out.join(dim, src == F.col("_v"), "left").drop("_v")
-            code = F.col(f"_code_{c}")
+            valid = f"{n} known values"
+        value = F.col(code)
         if unknown == "minus_one":
-            code = F.coalesce(code, F.lit(-1))
+            value = F.coalesce(value, F.lit(-1))
         elif unknown == "error":
-            from .clean import add_errors
-            valid = sorted(levels)
             msg = F.concat(F.lit(f"invalid:{c}:'"), F.coalesce(src, F.lit("None")), F.lit(f"' valid: {valid}"))
-            out = add_errors(out.withColumn(f"_code_{c}", code), [(F.col(f"_code_{c}").isNull(), msg)], errors)
-            code = F.col(f"_code_{c}")
-        out = out.withColumn(c, code.cast("int"))
-        if f"_code_{c}" in out.columns:
-            out = out.drop(f"_code_{c}")
+            out = add_errors(out, [(F.col(code).isNull(), msg)], errors)
+        out = out.withColumn(c, value.cast("int")).drop(code)
     return out
 
 
@@ -108,7 +100,7 @@ def encode_target(df: DataFrame, col: str, mapping: Mapping[str, int], out: str
 
 def one_hot(df: DataFrame, cols: Sequence[str], encoder: DataFrame | Mapping[str, Mapping[str, int]]) -> DataFrame:
     """Recommended alternative to ordinal codes for unordered categories: one 0/1 column per level."""
-    enc = collect_encoder(encoder) if isinstance(encoder, DataFrame) else encoder
+    enc = collect_encoder(encoder) if isinstance(encoder, DataFrame) else encoder  # as many columns as levels
     out = df
     for c in cols:
         for v in sorted(enc[c], key=lambda x: enc[c][x]):

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..spec import OVERFIT_GAP, UNDERFIT_LEVEL
 from .ordered import running_sum
@@ -42,12 +43,20 @@ def binary_metrics(df: DataFrame, label: str = "label", prediction: str = "predi
                      r(f1).alias("f1"), "tn", "fp", "fn", "tp")
 
 
+def _class_name(df: DataFrame, c: str) -> Column:
+    """A class as text, the same for 1, 1.0 and '1'."""
+    v = F.col(c)
+    if isinstance(df.schema[c].dataType, T.StringType):
+        return v
+    number = v.cast("double")
+    return F.when(number == F.floor(number), F.floor(number).cast("string")).otherwise(v.cast("string"))
+
+
 def class_report(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Per class precision, recall, f1, support, then 'macro avg' and 'weighted avg' rows."""
     d = df.where(F.col(label).isNotNull() & F.col(prediction).isNotNull())
-    pairs = d.groupBy(label, prediction).agg(F.count(F.lit(1)).alias("n"))
-    lab = F.col(label).cast("string")
-    pre = F.col(prediction).cast("string")
+    pairs = d.groupBy(_class_name(d, label).alias("_lab"), _class_name(d, prediction).alias("_pre")).agg(F.count(F.lit(1)).alias("n"))
+    lab, pre = F.col("_lab"), F.col("_pre")
     per_true = pairs.groupBy(lab.alias("cls")).agg(F.sum("n").alias("support"),
                                                    F.sum(F.when(lab == pre, F.col("n")).otherwise(0)).alias("hit"))
     per_pred = pairs.groupBy(pre.alias("cls")).agg(F.sum("n").alias("predicted"))

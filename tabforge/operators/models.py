@@ -161,13 +161,13 @@ def train_all(train: DataFrame, test: DataFrame, features: Sequence[str], label:
 def evaluate(model: PipelineModel, test: DataFrame, label: str = "label") -> DataFrame:
     """Accuracy, precision, recall, f1, roc_auc and the confusion counts in one row."""
     pr = predict(model, test, keep=[label]).persist()
-    m = M.binary_metrics(pr, label=label)
-    auc = M.roc_auc(pr, label=label, score="prob_1")
-    rows = m.collect()[0].asDict()
-    rows["roc_auc"] = round(auc.collect()[0]["roc_auc"], 4) if auc.collect()[0]["roc_auc"] is not None else None
-    rows["test_samples"] = rows["tn"] + rows["fp"] + rows["fn"] + rows["tp"]
+    m = M.binary_metrics(pr, label=label).first()
+    auc = M.roc_auc(pr, label=label, score="prob_1").first()["roc_auc"]  # null when the test set has one class
     pr.unpersist()
-    return test.sparkSession.createDataFrame([rows])
+    row = (m["accuracy"], m["precision"], m["recall"], m["f1"], m["tn"], m["fp"], m["fn"], m["tp"],
+           None if auc is None else round(auc, 4), m["tn"] + m["fp"] + m["fn"] + m["tp"])
+    return test.sparkSession.createDataFrame([row], "accuracy double, precision double, recall double, f1 double, tn bigint, fp bigint, "
+                                                    "fn bigint, tp bigint, roc_auc double, test_samples bigint")
 
 
 def save(model: PipelineModel, path: str) -> None:

@@ -1,12 +1,11 @@
 """Ordered analytics without a single-partition window.
 
 A plain ``sum(..) over (order by v)`` with no partition moves every row to one
-task. Here the ordered set is cut into value buckets (approximate quantile
-bounds, collected to the driver: at most ``groups x buckets`` numbers), each
-bucket gets its offset from the per-bucket totals (again ``groups x buckets``
-rows), and the running sum inside a bucket is a window partitioned by
-``(group, bucket)``. Every step is a bounded broadcast or a partitioned
-shuffle, so it scales with the cluster.
+task, and one partitioned by a hot group moves that group to one. Here the rows
+are dealt into ranges by (group, order) and staged; each range is summed on its own, and
+the totals of the ranges a group runs over (a row for each group and range) give the
+offsets. A hot group spans many ranges, many small groups share one. Nothing is
+collected to the driver, and there is one path for every size.
 
 Callers collapse duplicates first (``groupBy(value).count()``), which also
 takes care of hot values: one value is one row after the collapse.
@@ -18,90 +17,61 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# groups x buckets above this -> no bucketing, one window task per group
-MAX_BOUND_CELLS = 200_000
-# up to this many distinct (column, value) pairs, exact quantiles use one weighted-percentile aggregate
-SMALL_DISTINCT = 100_000
+from ..functions.scalars import parse_number
+from ..session import materialize
+
+
+def to_number(df: DataFrame, c: str):
+    """The column as a double; text by the rule of F3, which does not take '45d' for a number."""
+    col = F.col(f"`{c}`")
+    return parse_number(col) if isinstance(df.schema[c].dataType, T.StringType) else col.try_cast("double")
 
 
 def melt(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (), name: str = "column",
          value: str = "value") -> DataFrame:
-    """Wide -> long: one row per (row, column) with the value cast to double."""
+    """Wide -> long: one row per (row, column) with the value as a number (text by the rule of F3)."""
     if not cols:
         raise ValueError("melt needs at least one column")
-    pairs = ", ".join(f"'{c}', try_cast(`{c}` as double)" for c in cols)
-    return df.selectExpr(*[f"`{k}`" for k in keep], f"stack({len(cols)}, {pairs}) as (`{name}`, `{value}`)")
-
-
-def _buckets_for(spark) -> int:
-    return max(8, min(4096, int(spark.conf.get("spark.sql.shuffle.partitions", "200"))))
+    numbers = df.select(*[F.col(f"`{k}`") for k in keep], *[to_number(df, c).alias(f"_m{i}") for i, c in enumerate(cols)])
+    pairs = ", ".join(f"'{c}', `_m{i}`" for i, c in enumerate(cols))
+    return numbers.selectExpr(*[f"`{k}`" for k in keep], f"stack({len(cols)}, {pairs}) as (`{name}`, `{value}`)")
 
 
 def running_sum(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str],
                 partition_cols: Sequence[str] = (), buckets: int | None = None,
                 prefix: str = "cum_", with_next: bool = False) -> DataFrame:
     """Add ``cum_<c>``: inclusive running sum of each ``c`` ordered by ``order_cols``
-    within ``partition_cols``. ``order_cols`` must be unique within a partition.
-    The first order column is numeric and drives the bucketing.
+    within ``partition_cols`` (nulls first in both; a null group is a group).
+    ``order_cols`` must be unique within a partition. ``buckets`` is the number of ranges
+    (default: the shuffle partitions, coalesced by size).
 
     ``with_next`` also adds ``next_<lead>``: the next value of the first order
     column in the same partition (null for the last row)."""
-    spark = df.sparkSession
-    pc = list(partition_cols)
-    oc = list(order_cols)
-    b = buckets or _buckets_for(spark)
+    pc, oc = list(partition_cols), list(order_cols)
     lead = oc[0]
-    probs = [i / b for i in range(1, b)]
-    bounds_rows = (df.groupBy(*pc).agg(F.percentile_approx(F.col(lead).cast("double"), probs, 10000).alias("_b"))
-                   .collect())
-    if len(bounds_rows) * b > MAX_BOUND_CELLS:
-        # many small groups: a window per group is already spread over the cluster
-        w = Window.partitionBy(*pc).orderBy(*oc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        nxt = [F.lead(lead).over(Window.partitionBy(*pc).orderBy(*oc)).alias(f"next_{lead}")] if with_next else []
-        return df.select("*", *[F.sum(c).over(w).alias(prefix + c) for c in sum_cols], *nxt)
-
-    if pc:
-        bschema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in pc) + ", _b array<double>"
-        bounds = spark.createDataFrame([tuple(r) for r in bounds_rows], bschema)
-        x = df.join(F.broadcast(bounds), pc)
-        bucket = F.size(F.filter(F.col("_b"), lambda v: v < F.col(lead).cast("double")))
-        x = x.withColumn("_bkt", bucket).drop("_b")
-    else:
-        arr = sorted(set(float(v) for v in (bounds_rows[0]["_b"] or []) if v is not None))
-        lit = F.array(*[F.lit(v) for v in arr]) if arr else F.array().cast("array<double>")
-        x = df.withColumn("_bkt", F.size(F.filter(lit, lambda v: v < F.col(lead).cast("double"))))
-
-    tot_rows = x.groupBy(*pc, "_bkt").agg(*[F.sum(c).alias(c) for c in sum_cols],
-                                          F.min(lead).alias("_first")).collect()
-    # exclusive prefix offsets per group, computed on the driver (<= groups x buckets rows)
-    tot_rows.sort(key=lambda r: (tuple((v is None, v) for v in (r[c] for c in pc)), r["_bkt"]))
-    off, run, last = [], {}, None
-    for idx, r in enumerate(tot_rows):
-        g = tuple(r[c] for c in pc)
-        if g != last:
-            run = {c: 0 for c in sum_cols}
-            last = g
-        nxt_first = None
-        if idx + 1 < len(tot_rows) and tuple(tot_rows[idx + 1][c] for c in pc) == g:
-            nxt_first = tot_rows[idx + 1]["_first"]
-        off.append(g + (r["_bkt"],) + tuple(run[c] for c in sum_cols) + (nxt_first,))
-        for c in sum_cols:
-            run[c] += r[c] or 0
-    oschema = ", ".join(
-        [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in pc] + ["_bkt int"]
-        + [f"`_o_{c}` {df.schema[c].dataType.simpleString() if df.schema[c].dataType.simpleString() in ('bigint', 'double') else 'double'}" for c in sum_cols]
-        + [f"`_nf` {df.schema[lead].dataType.simpleString()}"])
-    offsets = spark.createDataFrame(off, oschema) if off else spark.createDataFrame([], oschema)
-    x = x.join(F.broadcast(offsets), pc + ["_bkt"])
-    w = Window.partitionBy(*pc, "_bkt").orderBy(*oc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    nxt = []
-    if with_next:
-        wl = Window.partitionBy(*pc, "_bkt").orderBy(*oc)
-        nxt = [F.coalesce(F.lead(lead).over(wl), F.col("_nf")).alias(f"next_{lead}")]
-    out = x.select(*[F.col(f"`{c}`") for c in df.columns],
-                   *[(F.col(f"_o_{c}") + F.sum(c).over(w)).alias(prefix + c) for c in sum_cols], *nxt)
-    return out
+    keys = [F.col(f"`{c}`") for c in pc + oc]
+    ranged = df.repartitionByRange(buckets, *keys) if buckets else df.repartitionByRange(*keys)
+    x = materialize(ranged.withColumn("_rng", F.spark_partition_id()), "ranges")
+    group = [F.col(f"`{c}`") for c in pc]
+    totals = x.groupBy(*group, "_rng").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols], F.min(F.struct(lead)).alias("_first"))
+    over = Window.partitionBy(*group).orderBy("_rng")
+    earlier = over.rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(*[F.struct(c).alias(f"_g_{i}") for i, c in enumerate(pc)], F.col("_rng").alias("_g"),
+                           *[F.sum(f"_t_{c}").over(earlier).alias(f"_o_{c}") for c in sum_cols],
+                           F.lead("_first").over(over)[lead].alias("_nf"))
+    inner = Window.partitionBy(*group, "_rng").orderBy(*oc)
+    upto = inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    x = x.select("*", *[F.sum(c).over(upto).alias(f"_i_{c}") for c in sum_cols], F.lead(lead).over(inner).alias("_in"),
+                 *[F.struct(c).alias(f"_k_{i}") for i, c in enumerate(pc)])
+    same = F.col("_rng") == F.col("_g")
+    for i in range(len(pc)):  # structs of a null are equal, plain nulls are not
+        same = same & (F.col(f"_k_{i}") == F.col(f"_g_{i}"))
+    x = x.join(totals, same)
+    nxt = [F.coalesce("_in", "_nf").alias(f"next_{lead}")] if with_next else []
+    return x.select(*[F.col(f"`{c}`") for c in df.columns],
+                    *[(F.coalesce(F.col(f"_o_{c}"), F.lit(0)) + F.col(f"_i_{c}")).alias(prefix + c) for c in sum_cols], *nxt)
 
 
 def value_counts_long(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -113,21 +83,15 @@ def value_counts_long(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
-                    names: Sequence[str] | None = None, small_distinct: int = SMALL_DISTINCT) -> DataFrame:
+                    names: Sequence[str] | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles (pandas default, DuckDB ``quantile_cont``)
-    per column, distributed: value counts -> bucketed running counts -> pick ranks.
+    per column, distributed: value counts -> running counts by range -> pick ranks.
 
     Returns (by..., column, n, <name_i>...)."""
     names = list(names or [f"q{int(round(p * 1000)):03d}" for p in probs])
     # the collapsed value counts are read three times below: stage them once in the shared folder
-    from ..session import materialize
     vc = materialize(value_counts_long(df, cols, by), "value-counts")
     grp = list(by) + ["column"]
-    if vc.count() <= small_distinct:
-        # few distinct values (Parquet footer count): Spark's frequency-weighted exact percentile
-        # holds at most small_distinct entries per group, so one aggregate job is enough
-        q = vc.groupBy(*grp).agg(F.sum("n").alias("_N"), F.percentile("value", [float(p) for p in probs], F.col("n")).alias("_q"))
-        return q.select(*grp, F.col("_N").alias("n"), *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)])
     cum = running_sum(vc, ["value"], ["n"], grp)
     tot = vc.groupBy(*grp).agg(F.sum("n").alias("_N"))
     x = cum.join(tot, grp)  # groups are few: planner broadcasts the small side

@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.scalars import as_number, pearson
+from ..functions.scalars import parse_number, pearson
 from ..spec import QualitySpec
-from .ordered import exact_quantiles, approx_quantiles
+from .ordered import approx_quantiles, exact_quantiles, to_number
 
 _FLOATS = (T.DoubleType, T.FloatType)
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -131,7 +131,8 @@ def skewness(df: DataFrame, cols: Sequence[str], threshold: float = 1.0) -> Data
     n < 3 gives null; a constant column gives 0.0 like pandas."""
     aggs = []
     for c in cols:
-        x = F.when(~F.isnan(F.col(c).try_cast("double")), F.col(c).try_cast("double"))
+        v = to_number(df, c)
+        x = F.when(~F.isnan(v), v)
         aggs += [F.count(x).alias(f"_n_{c}"), F.skewness(x).alias(f"_g_{c}"), F.stddev_pop(x).alias(f"_s_{c}")]
     one = df.agg(*aggs)
     exprs = []
@@ -172,7 +173,8 @@ def outlier_counts(df: DataFrame, cols: Sequence[str], k: float = 1.5, method: s
     aggs = []
     for c in cols:
         lo, hi = fences[c]
-        x = as_number(c)
+        x = to_number(df, c)
+        x = F.when(~F.isnan(x), x)
         lo_c, hi_c = F.lit(lo).cast("double"), F.lit(hi).cast("double")
         aggs.append(F.count_if((x < lo_c) | (x > hi_c)).alias(f"_o_{c}"))
     one = df.agg(*aggs)
@@ -195,7 +197,7 @@ def type_issues(df: DataFrame, numeric_cols: Sequence[str], categorical_cols: Se
             aggs.append(F.lit(0).cast("bigint").alias(f"_u_{c}"))
         else:
             s = F.col(c).cast("string")
-            aggs.append(F.count_if(s.isNotNull() & s.try_cast("double").isNull()).alias(f"_u_{c}"))
+            aggs.append(F.count_if(s.isNotNull() & parse_number(s).isNull()).alias(f"_u_{c}"))
         rows.append((c, "numeric", dt.simpleString(), is_numeric_type(dt)))
     for c in categorical_cols:
         dt = df.schema[c].dataType
@@ -254,7 +256,8 @@ def validate(df: DataFrame, spec: QualitySpec, raise_on_schema: bool = True) ->
         aggs = [F.count(F.lit(1)).alias("_rows")]
         aggs += [F.count_if(_missing(x, c)).alias(f"_null_{c}") for c in x.columns]
         for c in num:
-            v = F.when(~F.isnan(F.col(c).try_cast("double")), F.col(c).try_cast("double"))
+            v = to_number(x, c)
+            v = F.when(~F.isnan(v), v)
             n, g, sd = F.count(v).cast("double"), F.skewness(v), F.stddev_pop(v)  # double: n*(n-1) overflows bigint
             # bias-corrected skewness, rounded by SQL (half-up) inside the same aggregate
             k = (F.when(n < 3, F.lit(None).cast("double")).when(sd == 0, F.lit(0.0))
@@ -262,7 +265,7 @@ def validate(df: DataFrame, spec: QualitySpec, raise_on_schema: bool = True) ->
             aggs.append(k.alias(f"_sk_{c}"))
             if not is_numeric_type(x.schema[c].dataType):
                 t = F.col(c).cast("string")
-                aggs.append(F.count_if(t.isNotNull() & t.try_cast("double").isNull()).alias(f"_u_{c}"))
+                aggs.append(F.count_if(t.isNotNull() & parse_number(t).isNull()).alias(f"_u_{c}"))
         aggs += [pearson(F.col(c).try_cast("double"), F.col(spec.target).try_cast("double")).alias(f"_r_{c}") for c in leak]
         one = x.agg(*aggs).collect()[0]
 

@@ -59,7 +59,7 @@ def smote(df: DataFrame, id_col: str, label: str, features: Sequence[str], k: in
         kk = min(k, n - 1)
         pts = base.where(F.col(label) == F.lit(cls))
         nn = knn_exact(pts, id_col, feats, kk, checkpoint=checkpoint)
-        ranked = class_rank(pts, label, id_col, seed, draw_col="_d", n_rows=n).select(
+        ranked = class_rank(pts, label, id_col, seed, draw_col="_d").select(
             F.col("_rank").alias("_r"), F.col(id_col).alias("_base"), *[F.col(c).alias(f"b_{c}") for c in feats])
         # neighbour pairs with the neighbour's values: n * kk rows
         pairs = nn.select(F.col("id").alias("_base"), F.col("nbr_rank").alias("_nr"), F.col("nbr_id").alias("_nb")).join(

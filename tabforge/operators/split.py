@@ -3,15 +3,15 @@
 Row order comes from a hash draw of (id, seed), never from ``rand()``, so the
 result does not depend on partitioning or task retries. Class quotas are a few
 integers per class, computed on the driver; the rank of each row inside its
-class uses the bucketed running count (no single-task sort of a big class),
-or a plain window per class when the class counts show the table is small.
+class is a running count by ranges (no single-task sort of a big class). Rows
+without a label are a class of their own, the last.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import hash_draw
@@ -20,12 +20,13 @@ from .ordered import running_sum
 
 def approximate_mode(counts: dict, n_draws: int) -> dict:
     """Share ``n_draws`` out over classes in proportion to ``counts``: floors first,
-    then one more for the largest remainders (ties: higher class value first)."""
+    then one more for the largest remainders (ties: higher class value first,
+    null last)."""
     total = sum(counts.values())
     cont = {k: n_draws * v / total for k, v in counts.items()}
     fl = {k: int(math.floor(x)) for k, x in cont.items()}
     need = n_draws - sum(fl.values())
-    order = sorted(counts, key=lambda k: (-(cont[k] - fl[k]), -k if isinstance(k, (int, float)) else 0))
+    order = sorted(counts, key=lambda k: (-(cont[k] - fl[k]), k is None, -k if isinstance(k, (int, float)) else 0))
     for k in order[:need]:
         fl[k] += 1
     return fl
@@ -42,28 +43,29 @@ def split_quotas(counts: dict, test_size: float) -> dict:
     return {k: (tr[k], te[k]) for k in counts}
 
 
-# up to this many rows a class is ranked by one window task per class; above it, in value buckets
-SMALL_RANK_ROWS = 500_000
-
-
-def class_rank(df: DataFrame, label: str, id_col: str, seed: int, draw_col: str = "_draw",
-               n_rows: int | None = None) -> DataFrame:
-    """Adds ``_rank``: 0-based position of the row inside its class, by (draw, id).
-    ``n_rows`` (known from the class counts) picks the plain window when it is small."""
-    x = df.withColumn(draw_col, hash_draw(id_col, seed=seed))
-    if n_rows is not None and n_rows <= SMALL_RANK_ROWS:
-        w = Window.partitionBy(label).orderBy(draw_col, id_col)
-        return x.withColumn("_rank", (F.row_number().over(w) - 1).cast("bigint"))
-    x = x.withColumn("_one", F.lit(1).cast("bigint"))
+def class_rank(df: DataFrame, label: str, id_col: str, seed: int, draw_col: str = "_draw") -> DataFrame:
+    """Adds ``_rank``: 0-based position of the row inside its class (null is a class), by (draw, id)."""
+    x = df.withColumn(draw_col, hash_draw(id_col, seed=seed)).withColumn("_one", F.lit(1).cast("bigint"))
     x = running_sum(x, [draw_col, id_col], ["_one"], [label])
     return x.withColumn("_rank", F.col("cum__one") - 1).drop("cum__one", "_one")
 
 
+#: Classes that a split or folds may have: their counts are a few numbers for the driver, a label column with more is wrong.
+MAX_CLASSES = 10_000
+
+
 def _class_counts(df: DataFrame, label: str) -> dict:
-    rows = df.groupBy(label).count().collect()
+    rows = df.groupBy(label).count().limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes: not a class label")
     return {r[label]: int(r["count"]) for r in rows}
 
 
+def _class_order(c) -> tuple:
+    """Sorted order of class values, null last."""
+    return (c is None, 0 if c is None else c)
+
+
 def stratified_split(df: DataFrame, label: str, id_col: str, test_size: float = 0.2, seed: int = 42,
                      exact: bool = True) -> DataFrame:
     """M4: adds ``split`` in {'train','test'} with exact per-class quotas.
@@ -75,10 +77,10 @@ def stratified_split(df: DataFrame, label: str, id_col: str, test_size: float =
         return df.withColumn("split", F.when(u < test_size, "test").otherwise("train"))
     counts = _class_counts(df, label)
     q = split_quotas(counts, test_size)
-    x = class_rank(df, label, id_col, seed, n_rows=sum(counts.values()))
+    x = class_rank(df, label, id_col, seed)
     ntr = F.lit(None).cast("bigint")
     for k, (a, _) in q.items():
-        ntr = F.when(F.col(label) == F.lit(k), F.lit(a)).otherwise(ntr)
+        ntr = F.when(F.col(label).eqNullSafe(F.lit(k)), F.lit(a)).otherwise(ntr)
     return x.withColumn("split", F.when(F.col("_rank") < ntr, "train").otherwise("test")).drop("_rank", "_draw")
 
 
@@ -86,7 +88,7 @@ def fold_allocation(counts: dict, k: int) -> dict:
     """Per class, how many rows each of the k folds gets: classes are laid out one
     after another in sorted order and position p goes to fold p mod k."""
     alloc, off = {}, 0
-    for c in sorted(counts):
+    for c in sorted(counts, key=_class_order):
         n = counts[c]
         a, b = off, off + n
         alloc[c] = [(-(-(b - i) // k)) - (-(-(a - i) // k)) for i in range(k)]
@@ -98,7 +100,7 @@ def stratified_folds(df: DataFrame, label: str, id_col: str, k: int = 5, seed: i
     """M9: adds ``fold`` in 0..k-1; fold sizes per class differ by at most one."""
     counts = _class_counts(df, label)
     alloc = fold_allocation(counts, k)
-    x = class_rank(df, label, id_col, seed, n_rows=sum(counts.values()))
+    x = class_rank(df, label, id_col, seed)
     fold = F.lit(None).cast("int")
     for c, sizes in alloc.items():
         bounds, run = [], 0
@@ -108,5 +110,5 @@ def stratified_folds(df: DataFrame, label: str, id_col: str, k: int = 5, seed: i
         f_c = F.lit(k - 1)
         for i in range(k - 2, -1, -1):
             f_c = F.when(F.col("_rank") < F.lit(bounds[i]), F.lit(i)).otherwise(f_c)
-        fold = F.when(F.col(label) == F.lit(c), f_c).otherwise(fold)
+        fold = F.when(F.col(label).eqNullSafe(F.lit(c)), f_c).otherwise(fold)
     return x.withColumn("fold", fold.cast("int")).drop("_rank", "_draw")

@@ -63,7 +63,7 @@ SELECT count(*) AS n_columns, count_if(drifted) AS n_drifted, round(count_if(dri
        CASE WHEN count_if(drifted) / count(*) >= 0.5 THEN 'retrain' ELSE 'skip' END AS decision FROM cols""")
 def d3_d4_drift_decision(spark, sf):
     ref, cur = _sets(spark, sf)
-    _, summary = D.drift_report(ref, cur, NUM, CAT, method="auto")
+    _, summary = D.drift_report(ref, cur, NUM, CAT, method="distances")
     return summary
 
 
@@ -73,6 +73,6 @@ SELECT "column", 'numeric' AS kind, 'wasserstein_norm' AS method, round(wn, 6) A
 UNION ALL SELECT "column", 'categorical', 'jensen_shannon', round(js, 6), CAST(0.1 AS DOUBLE), js >= 0.1 FROM cat""")
 def d3_drift_columns(spark, sf):
     ref, cur = _sets(spark, sf)
-    cols, _ = D.drift_report(ref, cur, NUM, CAT, method="auto")
+    cols, _ = D.drift_report(ref, cur, NUM, CAT, method="distances")
     return cols
 

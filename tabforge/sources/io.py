@@ -12,7 +12,7 @@ import hashlib
 import uuid
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,12 +20,14 @@ from ..session import ensure_checkpoint_dir
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, header: bool = True,
-             corrupt_col: str | None = "_corrupt_record") -> DataFrame:
-    """Headered CSV with an explicit schema; malformed lines land in ``_corrupt_record``."""
+             corrupt_col: str | None = "_corrupt_record", multi_line: bool = True) -> DataFrame:
+    """Headered CSV with an explicit schema; malformed lines land in ``_corrupt_record``. Quoted cells may hold
+    line breaks and doubled quotes; with ``multi_line=False`` they may not, and large files are split between tasks."""
     st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
     if corrupt_col and corrupt_col not in st.fieldNames():
         st = T.StructType(st.fields + [T.StructField(corrupt_col, T.StringType(), True)])
     r = spark.read.schema(st).option("header", header).option("mode", "PERMISSIVE")
+    r = r.option("multiLine", multi_line).option("quote", '"').option("escape", '"')
     if corrupt_col:
         r = r.option("columnNameOfCorruptRecord", corrupt_col)
     return r.csv(path)
@@ -33,7 +35,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, header:
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV export with a header (one file per task)."""
-    df.write.mode(mode).option("header", True).csv(path)
+    (df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def scan(spark: SparkSession, source: str) -> DataFrame:
@@ -59,12 +62,20 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
 
 
 def write_and_verify(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
-    """(rows_written, rows_read, count_ok). The input count is one aggregate pass (metadata only
-    when the input is a plain Parquet scan); the read-back count comes from the written footers."""
-    n = df.count()
-    write_table(df, path, mode)
-    back = df.sparkSession.read.parquet(path).count()
-    return df.sparkSession.createDataFrame([(n, back, n == back)], "rows_written bigint, rows_read bigint, count_ok boolean")
+    """(rows_written, rows_read, count_ok). Rows are counted while they are written (no second pass over the
+    input); the read-back count comes from the file footers, less what was there before an append."""
+    spark = df.sparkSession
+    before = spark.read.parquet(path).count() if mode == "append" and _exists(spark, path) else 0
+    seen = Observation()
+    write_table(df.observe(seen, F.count(F.lit(1)).alias("n")), path, mode)
+    n = int(seen.get["n"])
+    back = spark.read.parquet(path).count() - before
+    return spark.createDataFrame([(n, back, n == back)], "rows_written bigint, rows_read bigint, count_ok boolean")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

@@ -133,9 +133,14 @@ def test_pvalue_helpers():
     assert D.ks_asymptotic_p(0.5, 100, 100) < 1e-9
 
 
-def test_class_rank_paths_agree(spark):
-    d = doc_raw(spark, SF01).select("doc_id", "quality")
-    a = SP.class_rank(d, "quality", "doc_id", 42, n_rows=d.count()).select("doc_id", "_rank").toPandas()
-    b = SP.class_rank(d, "quality", "doc_id", 42, n_rows=None).select("doc_id", "_rank").toPandas()
-    m = a.merge(b, on="doc_id")
-    assert len(m) == len(a) and (m._rank_x == m._rank_y).all()
+def test_class_rank_is_the_window_rank_also_for_null_labels(spark):
+    from pyspark.sql import Window
+    from tabforge.functions.scalars import hash_draw
+    d = doc_raw(spark, SF01).select("doc_id", "quality").withColumn("quality", F.when(F.col("doc_id") % 10 != 0, F.col("quality")))
+    a = {(r[0], r[1]) for r in SP.class_rank(d, "quality", "doc_id", 42).select("doc_id", "_rank").collect()}
+    w = Window.partitionBy("quality").orderBy(hash_draw("doc_id", seed=42), "doc_id")
+    b = {(r[0], r[1]) for r in d.select("doc_id", (F.row_number().over(w) - 1).alias("r")).collect()}
+    assert a == b
+    folds = SP.stratified_folds(d, "quality", "doc_id", 5)
+    assert folds.count() == d.count() and folds.where("fold is null").count() == 0
+    assert SP.stratified_split(d, "quality", "doc_id").where("split is null").count() == 0
