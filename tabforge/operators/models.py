@@ -11,14 +11,16 @@ import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..spec import RANDOM_STATE
 from . import metrics as M
+from .features import fit_standard_scaler
 
 # Model parameters (same settings as the reference's model configuration).
 MODEL_PARAMS = {
@@ -53,14 +55,24 @@ def _rff_stage(df: DataFrame, cols: Sequence[str], components: int, seed: int) -
     return SQLTransformer(statement=f"SELECT *, {', '.join(exprs)} FROM __THIS__")
 
 
+def _scale_stage(df: DataFrame, cols: Sequence[str]) -> SQLTransformer:
+    """Columns ``_z_<c>`` with mean 0 and deviation 1 on the training rows, as a fixed SQL expression."""
+    exprs = [f"(CAST(`{c}` AS DOUBLE) - ({m!r})) / ({s!r}) AS `_z_{c}`" for c, (m, s) in fit_standard_scaler(df, list(cols)).items()]
+    return SQLTransformer(statement=f"SELECT *, {', '.join(exprs)} FROM __THIS__")
+
+
 def build_pipeline(name: str, train: DataFrame, features: Sequence[str], label: str = "label",
                    seed: int = RANDOM_STATE, params: dict | None = None) -> Pipeline:
     p = dict(MODEL_PARAMS[name])
     p.update(params or {})
     feats = list(features)
     stages = []
+    if name in ("svm", "logistic_regression"):  # linear models work on scaled columns
+        scale = _scale_stage(train, feats)
+        stages.append(scale)
+        feats = [f"_z_{c}" for c in feats]
     if name == "svm":
-        stages.append(_rff_stage(train, feats, p["components"], seed))
+        stages.append(_rff_stage(scale.transform(train), feats, p["components"], seed))
         feats = [f"_rff{j}" for j in range(p["components"])]
     stages.append(VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep"))
     if name == "random_forest":
@@ -68,7 +80,14 @@ def build_pipeline(name: str, train: DataFrame, features: Sequence[str], label:
     elif name == "gbt":
         est = GBTClassifier(labelCol=label, maxIter=p["n_estimators"], stepSize=p["learning_rate"],
                             maxDepth=p["max_depth"], seed=seed)
-    elif name in ("logistic_regression", "svm"):
+    elif name == "svm":
+        # hinge loss, then a logistic fit of the margin for the probabilities
+        n = max(train.count(), 1)
+        svc = LinearSVC(labelCol=label, maxIter=p.get("max_iter", 100), regParam=1.0 / (p["C"] * n), standardization=False,
+                        rawPredictionCol="_margin", predictionCol="_side")
+        est = LogisticRegression(labelCol=label, featuresCol="_margin", maxIter=100, regParam=1.0 / n, standardization=False)
+        return Pipeline(stages=[*stages, svc, est])
+    elif name == "logistic_regression":
         n = max(train.count(), 1)
         est = LogisticRegression(labelCol=label, maxIter=p.get("max_iter", 1000), regParam=1.0 / (p["C"] * n),
                                  elasticNetParam=0.0, standardization=False)
@@ -88,8 +107,8 @@ def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str] | None = No
     """Adds prediction (int) and prob_1 (probability of class 1)."""
     out = model.transform(df)
     cols = list(keep) if keep is not None else [c for c in df.columns]
-    return out.select(*cols, F.col("prediction").cast("int").alias("prediction"),
-                      vector_to_array("probability")[1].alias("prob_1"))
+    p = vector_to_array("probability") if isinstance(out.schema["probability"].dataType, VectorUDT) else F.col("probability")
+    return out.select(*cols, F.col("prediction").cast("int").alias("prediction"), p[1].alias("prob_1"))
 
 
 def _fold_f1(name, df, features, label, fold_col, f, seed):

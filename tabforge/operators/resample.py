@@ -12,8 +12,8 @@ on partitioning, retries or cluster size.
 The m synthetic rows come from a distributed ``range(m)`` whose partition count
 follows m, not from the base rows: a tiny class that needs billions of rows is
 spread over many tasks instead of one task per base row. Base rows and
-neighbour pairs are attached by joins (broadcast only below a checked row
-count; shuffled above it, where every base key carries about m / n rows).
+neighbour pairs are attached by joins (broadcast only below a checked
+size; shuffled above it, where every base key carries about m / n rows).
 """
 
 from __future__ import annotations
@@ -23,29 +23,36 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalars import hash_draw
 from .knn import knn_exact
 from .split import class_rank
 
-# the per-class base rows and neighbour pairs are broadcast up to this many rows; above it, shuffle joins
-BROADCAST_ROWS = 200_000
+# the per-class base rows and neighbour pairs are broadcast up to this many bytes; above it, shuffle joins
+BROADCAST_BYTES = 32 << 20
 # synthetic rows per task of the generating range
 ROWS_PER_TASK = 1_000_000
 
 
 def smote(df: DataFrame, id_col: str, label: str, features: Sequence[str], k: int = 5, seed: int = 42,
           flag: str = "is_synthetic", checkpoint: bool = True) -> DataFrame:
-    """U1 output: original rows (flag false) plus synthetic rows (flag true, negative ids)."""
+    """U1 output: original rows (flag false) plus synthetic rows (flag true, negative ids). Integer features come
+    back as integers (the interpolated value cut towards zero); a missing feature value is an error."""
     feats = list(features)
     base = df.select(F.col(id_col), F.col(label), *[F.col(c).cast("double").alias(c) for c in feats])
     if checkpoint:  # the source is read once; neighbours, ranks and interpolation read the staged copy
         from ..session import materialize
         base = materialize(base, "smote-input")
     spark = df.sparkSession
+    gaps = base.agg(*[F.count_if(F.col(c).isNull() | F.isnan(c)).alias(c) for c in feats]).first().asDict() if feats else {}
+    if gaps := {c: n for c, n in gaps.items() if n}:
+        raise ValueError(f"rebalancing needs a number in every feature; missing values: {gaps}")
+    whole = [c for c in feats if isinstance(df.schema[c].dataType, T.IntegralType)]
+    back = lambda x: x.withColumns({c: F.col(c).cast(df.schema[c].dataType) for c in whole}) if whole else x
     counts = {r[label]: int(r["count"]) for r in base.where(F.col(label).isNotNull()).groupBy(label).count().collect()}
     if not counts:
-        return base.withColumn(flag, F.lit(False))
+        return back(base.withColumn(flag, F.lit(False)))
     n_major = max(counts.values())
     out = base.withColumn(flag, F.lit(False))
     id_offset = 0
@@ -64,9 +71,10 @@ def smote(df: DataFrame, id_col: str, label: str, features: Sequence[str], k: in
         # neighbour pairs with the neighbour's values: n * kk rows
         pairs = nn.select(F.col("id").alias("_base"), F.col("nbr_rank").alias("_nr"), F.col("nbr_id").alias("_nb")).join(
             pts.select(F.col(id_col).alias("_nb"), *[F.col(c).alias(f"n_{c}") for c in feats]), "_nb")
-        if n <= BROADCAST_ROWS:
+        width = 8 * (len(feats) + 4)  # bytes of a row
+        if n * width <= BROADCAST_BYTES:
             ranked = F.broadcast(ranked)
-        if n * kk <= BROADCAST_ROWS:
+        if n * kk * width <= BROADCAST_BYTES:
             pairs = F.broadcast(pairs)
         # synthetic row i takes base rank i mod n
         parts = max(spark.sparkContext.defaultParallelism, math.ceil(m / ROWS_PER_TASK))
@@ -82,4 +90,4 @@ def smote(df: DataFrame, id_col: str, label: str, features: Sequence[str], k: in
             F.lit(True).alias(flag))
         out = out.unionByName(syn)
         id_offset += m
-    return out
+    return back(out)

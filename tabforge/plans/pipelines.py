@@ -14,12 +14,14 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalars import strip_string_columns
 from ..operators import clean as C
 from ..operators import drift as D
 from ..operators import encode as EN
 from ..operators import features as FE
+from ..operators import metrics as M
 from ..operators import models as MO
 from ..operators import quality as Q
 from ..operators import resample as R
@@ -50,16 +52,16 @@ class Prepared:
     info: dict = field(default_factory=dict)
 
 
-def _prep_sql(spec: TrainSpec, levels: dict) -> str:
+def _prep_sql(spec: TrainSpec, levels: dict, integers: set[str]) -> str:
     exprs = []
     for c in spec.features:
         if c in spec.categorical:
             cases = " ".join(f"WHEN {_q(v)} THEN {code}" for v, code in sorted(levels[c].items(), key=lambda kv: kv[1]))
-            e = f"CAST(CASE CAST(`{c}` AS STRING) {cases} ELSE -1 END AS DOUBLE)"
+            e = f"CAST(CASE CAST(`{c}` AS STRING) {cases} ELSE -1 END AS INT)" if levels.get(c) else "-1"
         elif c in spec.skewed_cols:
             e = f"CASE WHEN CAST(`{c}` AS DOUBLE) > -1 THEN log1p(CAST(`{c}` AS DOUBLE)) END"
         else:
-            e = f"CAST(`{c}` AS DOUBLE)"
+            e = f"CAST(`{c}` AS BIGINT)" if c in integers else f"CAST(`{c}` AS DOUBLE)"
         exprs.append(f"{e} AS `f_{c}`")
     return f"SELECT *, {', '.join(exprs)} FROM __THIS__"
 
@@ -82,7 +84,8 @@ def transform(df: DataFrame, spec: TrainSpec, target_mapping: dict | None = None
         x = EN.encode_target(x, spec.target, target_mapping)
     x = x.where(F.col(spec.target).isNotNull())
     levels = EN.collect_encoder(EN.fit_label_encoder(x, spec.categorical)) if spec.categorical else {}
-    stage = SQLTransformer(statement=_prep_sql(spec, levels))
+    integers = {c for c in spec.features if isinstance(x.schema[c].dataType, T.IntegralType)}
+    stage = SQLTransformer(statement=_prep_sql(spec, levels, integers))
     t = stage.transform(x).select(F.col(spec.id_col), F.col(spec.target).cast("int").alias(spec.target),
                                   *[F.col(f"f_{c}") for c in spec.features])
     t = materialize(t, "l3-prepared")
@@ -111,13 +114,15 @@ def features(prep: Prepared, spec: TrainSpec) -> FeatureSet:
     t = prep.table
     fcols = [f"f_{c}" for c in prep.features]
     if spec.resample_after_split:
-        sp = SP.stratified_split(t, spec.target, spec.id_col, spec.test_size, spec.seed)
+        # the split is read by the scores, the rebalancing, the scaler and both outputs: staged once
+        sp = materialize(SP.stratified_split(t, spec.target, spec.id_col, spec.test_size, spec.seed), "l4-split")
         train = sp.where(F.col("split") == "train").drop("split")
         test = sp.where(F.col("split") == "test").drop("split")
         scores = FE.anova_f(train, fcols, spec.target)
         selected_f = FE.select_top_k(scores, spec.top_k, fcols)
         if spec.rebalance:
-            train = R.smote(train.drop("is_synthetic"), spec.id_col, spec.target, fcols, spec.smote_k, spec.seed)
+            train = materialize(R.smote(train.drop("is_synthetic"), spec.id_col, spec.target, fcols, spec.smote_k, spec.seed),
+                                "l4-rebalanced")
     else:
         scores = FE.anova_f(t, fcols, spec.target)
         selected_f = FE.select_top_k(scores, spec.top_k, fcols)
@@ -128,37 +133,69 @@ def features(prep: Prepared, spec: TrainSpec) -> FeatureSet:
     exprs = [f"(CAST(`{c}` AS DOUBLE) - ({m!r})) / ({s!r}) AS `s_{c[2:]}`" for c, (m, s) in params.items()]
     stage = SQLTransformer(statement=f"SELECT *, {', '.join(exprs)} FROM __THIS__")
     train = SP.stratified_folds(stage.transform(train), spec.target, spec.id_col, spec.cv_folds, spec.seed)
-    train = materialize(train, "l4-train")
+    # spread over the cluster: the fits read it many times
+    train = materialize(train.repartition(train.sparkSession.sparkContext.defaultParallelism, spec.id_col), "l4-train")
     test = materialize(stage.transform(test), "l4-test")
     return FeatureSet(train, test, [c[2:] for c in selected_f], scores, stage, params)
 
 
 @dataclass
 class Trained:
-    results: DataFrame
-    folds: DataFrame
-    best: str
-    scoring_model: PipelineModel
-    evaluation: DataFrame
-    fs: FeatureSet
-    prep: Prepared
-
-
-def train_pipeline(raw: DataFrame, spec: TrainSpec, stages: dict | None = None) -> Trained:
-    """Transform -> features -> train & compare -> evaluate the best model (each stage can be switched
-    off with ``stages={'evaluate': False}`` and so on)."""
-    st = {"transform": True, "features": True, "train": True, "evaluate": True}
-    st.update(stages or {})
-    prep = transform(raw, spec)
-    fs = features(prep, spec)
-    scols = [f"s_{c}" for c in fs.selected]
-    results, folds, best, fitted = MO.train_all(fs.train, fs.test, scols, spec.target, spec.models, "fold",
-                                                spec.cv_folds, spec.seed)
-    scoring = PipelineModel(stages=[prep.prep_stage, fs.scale_stage, *fitted[best].stages])
-    ev = MO.evaluate(fitted[best], fs.test, spec.target) if st["evaluate"] else None
-    if ev is not None:
-        ev = ev.withColumn("model_name", F.lit(best))
-    return Trained(results, folds, best, scoring, ev, fs, prep)
+    """What the stages of L5 left; a stage that did not run, now or in the earlier run, leaves None."""
+
+    table: DataFrame | None = None
+    validation: DataFrame | None = None
+    prep: Prepared | None = None
+    fs: FeatureSet | None = None
+    results: DataFrame | None = None
+    folds: DataFrame | None = None
+    best: str | None = None
+    fitted: PipelineModel | None = None
+    scoring_model: PipelineModel | None = None
+    evaluation: DataFrame | None = None
+    class_report: DataFrame | None = None
+
+
+STAGES = ("ingest", "validate", "transform", "features", "train", "evaluate")
+
+
+def train_pipeline(raw: DataFrame, spec: TrainSpec, stages: dict | None = None, quality: QualitySpec | None = None,
+                   earlier: Trained | None = None) -> Trained:
+    """Ingest -> validate -> transform -> features -> train & compare -> evaluate the best model.
+
+    Each stage can be switched off with ``stages={'train': False}`` and so on. A later stage then works on what the
+    ``earlier`` run left, and it is an error if that is missing. Validation needs a ``quality`` spec."""
+    on = {s: True for s in STAGES} | (stages or {})
+    if unknown := set(on) - set(STAGES):
+        raise ValueError(f"unknown stages {sorted(unknown)}")
+    t = Trained(**(earlier.__dict__ if earlier else {}))
+
+    def need(value, stage: str):
+        if value is None:
+            raise ValueError(f"stage {stage} is off and no earlier run left its result")
+        return value
+
+    if on["ingest"]:
+        t.table = ingest(raw)
+    elif t.table is None:
+        t.table = raw
+    if on["validate"] and quality is not None:
+        t.validation = validate(t.table, quality)
+    if on["transform"]:
+        t.prep = transform(t.table, spec)
+    if on["features"]:
+        t.fs = features(need(t.prep, "transform"), spec)
+    if on["train"]:
+        fs = need(t.fs, "features")
+        t.results, t.folds, t.best, fitted = MO.train_all(
+            fs.train, fs.test, [f"s_{c}" for c in fs.selected], spec.target, spec.models, "fold", spec.cv_folds, spec.seed)
+        t.fitted = fitted[t.best]
+        t.scoring_model = PipelineModel(stages=[need(t.prep, "transform").prep_stage, fs.scale_stage, *t.fitted.stages])
+    if on["evaluate"]:
+        model, test = need(t.fitted, "train"), need(t.fs, "features").test
+        t.evaluation = MO.evaluate(model, test, spec.target).withColumn("model_name", F.lit(t.best))
+        t.class_report = M.class_report(MO.predict(model, test, keep=[spec.target]), spec.target, "prediction")
+    return t
 
 
 def score_batch(df: DataFrame, model: PipelineModel, spec: ScoringSpec, model_name: str):
@@ -167,22 +204,20 @@ def score_batch(df: DataFrame, model: PipelineModel, spec: ScoringSpec, model_na
 
 
 def monitor(reference: DataFrame, current: DataFrame, model: PipelineModel, numeric: list[str],
-            categorical: list[str], target: str | None = None, method: str = "auto"):
+            categorical: list[str], method: str, target: str | None = None):
     """Predict both sets with the same model, then drift per column (features, target,
     prediction) and the dataset verdict. Quality per set is added where a true label exists."""
-    ref = model.transform(reference)
-    cur = model.transform(current)
-    ref_p = ref.withColumn("prediction", F.col("prediction").cast("int").cast("string"))
-    cur_p = cur.withColumn("prediction", F.col("prediction").cast("int").cast("string"))
-    cats = list(categorical) + ["prediction"]
-    if target:
-        ref_p = ref_p.withColumn(target, F.col(target).cast("string"))
-        cur_p = cur_p.withColumn(target, F.col(target).cast("string"))
-        cats.append(target)
-    cols, summary = D.drift_report(ref_p, cur_p, numeric, cats, method)
+    cats = list(categorical) + ["prediction"] + ([target] if target else [])
+    keep = list(numeric) + list(categorical) + ([target] if target else [])
+
+    def predicted(df: DataFrame, name: str) -> DataFrame:  # the model runs once on each set
+        out = model.transform(df).select(*keep, F.col("prediction").cast("int").cast("string").alias("prediction"))
+        return materialize(out.withColumn(target, F.col(target).cast("string")) if target else out, f"monitor-{name}")
+
+    ref, cur = predicted(reference, "reference"), predicted(current, "current")
+    cols, summary = D.drift_report(ref, cur, numeric, cats, method)
     quality = None
     if target:
-        from ..operators import metrics as M
         both = ref.select(F.lit("reference").alias("dataset"), F.col(target).cast("int").alias("label"),
                           F.col("prediction").cast("int").alias("prediction")).unionByName(
             cur.select(F.lit("current").alias("dataset"), F.col(target).cast("int").alias("label"),

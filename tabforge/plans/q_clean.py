@@ -8,7 +8,7 @@ from ..functions import scalars as S
 from ..operators import clean as C
 from ..operators import encode as EN
 from .registry import register
-from .tables import DOC_RAW_SQL, doc_raw, read, with_
+from .tables import DOC_ALL_SQL, DOC_RAW_SQL, doc_all, doc_raw, read, with_
 
 # Our own alias map for the language codes of ``documents`` (stand-in for the scoring maps).
 LANG_MAP = {"en": "English", "english": "English", "de": "German", "german": "German", "deutsch": "German",
@@ -33,8 +33,10 @@ def p2_p3_drop_select(spark, sf):
     return C.select_features(o, ["o_totalprice", "o_orderpriority"], keep=["o_orderkey"])
 
 
-@register("f1_strip_whitespace",
-          f"SELECT doc_id, regexp_replace(text, '^{_WS_SQL}+|{_WS_SQL}+$', '', 'g') AS text FROM documents")
+_STRIP_SQL = "'" + S.STRIP_CHARS + "'"
+
+
+@register("f1_strip_whitespace", f"SELECT doc_id, trim(text, {_STRIP_SQL}) AS text FROM documents")
 def f1_strip_whitespace(spark, sf):
     d = read(spark, sf, "documents")
     return d.select("doc_id", S.strip_ws("text").alias("text"))
@@ -85,6 +87,29 @@ def f6_label_encoder_fit(spark, sf):
     return EN.fit_label_encoder(read(spark, sf, "documents"), ["lang", "source"])
 
 
+@register("f6_encoder_high_cardinality", """
+SELECT 'c_name' AS "column", c_name AS value, CAST(dense_rank() OVER (ORDER BY c_name) - 1 AS INTEGER) AS code
+FROM (SELECT DISTINCT c_name FROM customer WHERE c_name IS NOT NULL)""")
+def f6_encoder_high_cardinality(spark, sf):
+    return EN.fit_label_encoder(read(spark, sf, "customer"), ["c_name"])
+
+
+@register("f7_encoder_error_mode", """
+SELECT c_custkey, CASE WHEN c_name IS NULL OR c_custkey % 7 = 3 THEN NULL ELSE CAST(r AS INTEGER) END AS c_name,
+       CASE WHEN c_custkey % 7 = 3 THEN 'invalid:c_name:''nobody'' valid: ' || n || ' known values'
+            WHEN c_name IS NULL THEN 'invalid:c_name:''None'' valid: ' || n || ' known values' ELSE '' END AS errors
+FROM customer LEFT JOIN (SELECT value, rank() OVER (ORDER BY value) - 1 AS r FROM (SELECT DISTINCT c_name AS value FROM customer
+                         WHERE c_name IS NOT NULL)) AS l ON value = c_name,
+     (SELECT count(DISTINCT c_name) AS n FROM customer)""")
+def f7_encoder_error_mode(spark, sf):
+    """F7, scoring path: a category that was not fitted becomes an error entry."""
+    c = read(spark, sf, "customer").select("c_custkey", "c_name")
+    enc = EN.fit_label_encoder(c, ["c_name"])
+    seen = c.withColumn("c_name", F.when(F.col("c_custkey") % 7 == 3, "nobody").otherwise(F.col("c_name")))
+    out = EN.apply_label_encoder(seen, enc, ["c_name"], unknown="error")
+    return out.withColumn("errors", F.array_join("errors", ";"))
+
+
 @register("f7_label_encoder_apply", with_(DOC_RAW_SQL) + """,
 enc AS (SELECT "column", value, CAST(dense_rank() OVER (PARTITION BY "column" ORDER BY value) - 1 AS INTEGER) AS code
         FROM (SELECT DISTINCT 'lang' AS "column", lang AS value FROM doc_raw WHERE lang IS NOT NULL
@@ -106,26 +131,26 @@ def _fence_sql(src: str, col: str, name: str) -> str:
 
 
 @register("p6_remove_outliers_sequential", with_(
-    DOC_RAW_SQL, _fence_sql("doc_raw", "n_chars", "f1"),
-    "s1 AS (SELECT d.* FROM doc_raw d, f1 WHERE CAST(d.n_chars AS DOUBLE) BETWEEN f1.lo AND f1.hi)",
+    DOC_ALL_SQL, _fence_sql("doc_all", "n_chars", "f1"),
+    "s1 AS (SELECT d.* FROM doc_all d, f1 WHERE CAST(d.n_chars AS DOUBLE) BETWEEN f1.lo AND f1.hi)",
     _fence_sql("s1", "n_words", "f2"),
     "s2 AS (SELECT d.* FROM s1 d, f2 WHERE CAST(d.n_words AS DOUBLE) BETWEEN f2.lo AND f2.hi)",
     _fence_sql("s2", "n_digits", "f3"),
     "s3 AS (SELECT d.* FROM s2 d, f3 WHERE CAST(d.n_digits AS DOUBLE) BETWEEN f3.lo AND f3.hi)")
     + "SELECT doc_id, n_chars, n_words, n_digits, quality FROM s3")
 def p6_remove_outliers_sequential(spark, sf):
-    d = doc_raw(spark, sf).select("doc_id", "n_chars", "n_words", "n_digits", "quality")
+    d = doc_all(spark, sf).select("doc_id", "n_chars", "n_words", "n_digits", "quality")
     return C.remove_outliers(d, ["n_chars", "n_words", "n_digits"], mode="sequential")
 
 
 @register("p6_remove_outliers_independent", with_(
-    DOC_RAW_SQL, _fence_sql("doc_raw", "n_chars", "f1"), _fence_sql("doc_raw", "n_words", "f2"),
-    _fence_sql("doc_raw", "n_digits", "f3"))
-    + """SELECT doc_id, n_chars, n_words, n_digits, quality FROM doc_raw d, f1, f2, f3
+    DOC_ALL_SQL, _fence_sql("doc_all", "n_chars", "f1"), _fence_sql("doc_all", "n_words", "f2"),
+    _fence_sql("doc_all", "n_digits", "f3"))
+    + """SELECT doc_id, n_chars, n_words, n_digits, quality FROM doc_all d, f1, f2, f3
 WHERE CAST(d.n_chars AS DOUBLE) BETWEEN f1.lo AND f1.hi AND CAST(d.n_words AS DOUBLE) BETWEEN f2.lo AND f2.hi
   AND CAST(d.n_digits AS DOUBLE) BETWEEN f3.lo AND f3.hi""")
 def p6_remove_outliers_independent(spark, sf):
-    d = doc_raw(spark, sf).select("doc_id", "n_chars", "n_words", "n_digits", "quality")
+    d = doc_all(spark, sf).select("doc_id", "n_chars", "n_words", "n_digits", "quality")
     return C.remove_outliers(d, ["n_chars", "n_words", "n_digits"], mode="independent")
 
 
@@ -152,7 +177,7 @@ def p7_p11_record_checks(spark, sf):
 SELECT o_orderkey, o_totalprice FROM orders ORDER BY {_md5_draw_sql('o_orderkey')}, o_orderkey LIMIT 100""")
 def p10_sample_rows(spark, sf):
     o = read(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    return o.withColumn("_d", S.hash_draw("o_orderkey")).orderBy("_d", "o_orderkey").limit(100).drop("_d")
+    return C.sample_rows(o, 100, "o_orderkey", draw=S.hash_draw("o_orderkey"))
 
 
 _LANG_VALID = ", ".join(sorted(set(LANG_MAP.values())))

@@ -14,7 +14,7 @@ from ..operators import features as FE
 from ..operators import metrics as M
 from ..operators import split as SP
 from .registry import register
-from .tables import DOC_NUMERIC, DOC_RAW_SQL, doc_raw, with_
+from .tables import DOC_ALL_SQL, DOC_NUMERIC, DOC_RAW_SQL, doc_all, doc_raw, with_
 
 ANOVA_COLS = DOC_NUMERIC + ["toxic"]
 DRAW_SQL = "CAST(('0x' || substr(md5(concat_ws(':', CAST(doc_id AS VARCHAR), '42')), 1, 8)) AS BIGINT)"
@@ -53,11 +53,11 @@ def k1_m3_select_top_k(spark, sf):
     return scores.select("feature", F.col("feature").isin(keep).alias("selected"))
 
 
-@register("m2_standard_scaler", with_(DOC_RAW_SQL) + "SELECT doc_id, " + ", ".join(
+@register("m2_standard_scaler", with_(DOC_ALL_SQL) + "SELECT doc_id, " + ", ".join(
     f"round((CAST({c} AS DOUBLE) - avg(CAST({c} AS DOUBLE)) OVER ()) / CASE WHEN stddev_pop(CAST({c} AS DOUBLE)) OVER () = 0 "
-    f"THEN 1 ELSE stddev_pop(CAST({c} AS DOUBLE)) OVER () END, 6) AS {c}" for c in DOC_NUMERIC) + " FROM doc_raw")
+    f"THEN 1 ELSE stddev_pop(CAST({c} AS DOUBLE)) OVER () END, 6) AS {c}" for c in DOC_NUMERIC) + " FROM doc_all")
 def m2_standard_scaler(spark, sf):
-    d = doc_raw(spark, sf).select("doc_id", *DOC_NUMERIC)
+    d = doc_all(spark, sf).select("doc_id", *DOC_NUMERIC)
     return FE.apply_scaler(d, FE.fit_standard_scaler(d, DOC_NUMERIC))
 
 
@@ -96,6 +96,32 @@ def m9_stratified_folds(spark, sf):
     return SP.stratified_folds(d, "quality", "doc_id", 5, 42)
 
 
+# every seventh label is missing: rows without a label are a class of their own, the last
+_NULLED_SQL = """doc_raw AS (SELECT doc_id, n_chars, CASE WHEN doc_id % 7 <> 3 THEN quality END AS quality FROM doc_labelled)"""
+
+
+def _nulled_sql(sql: str) -> str:
+    """The same SQL over labels with gaps, null last and equal to itself."""
+    sql = sql.replace("ON rk.quality = tr.cls", "ON rk.quality IS NOT DISTINCT FROM tr.cls").replace(
+        "ON cum.cls = frk.quality", "ON cum.cls IS NOT DISTINCT FROM frk.quality")
+    sql = sql.replace("cont - fl DESC, cls DESC", "cont - fl DESC, cls DESC NULLS LAST").replace("ORDER BY cls ROWS", "ORDER BY cls NULLS LAST ROWS")
+    return with_(DOC_RAW_SQL.replace("doc_raw AS", "doc_labelled AS"), _NULLED_SQL, sql)
+
+
+def _nulled(spark, sf):
+    return doc_raw(spark, sf).select("doc_id", F.when(F.col("doc_id") % 7 != 3, F.col("quality")).alias("quality"))
+
+
+@register("m4_split_null_label", _nulled_sql(_QUOTA_SQL) + "SELECT doc_id, quality, split FROM splits")
+def m4_split_null_label(spark, sf):
+    return SP.stratified_split(_nulled(spark, sf), "quality", "doc_id", 0.2, 42)
+
+
+@register("m9_folds_null_label", _nulled_sql(_FOLD_SQL) + "SELECT doc_id, quality, fold FROM folds")
+def m9_folds_null_label(spark, sf):
+    return SP.stratified_folds(_nulled(spark, sf), "quality", "doc_id", 5, 42)
+
+
 def _rule(df, threshold=500):
     return df.select("doc_id", F.col("quality").alias("label"),
                      (F.col("n_chars") > threshold).cast("int").alias("prediction"),

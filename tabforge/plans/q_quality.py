@@ -13,10 +13,10 @@ def _union_sql(cols, template):
     return "\n  UNION ALL ".join(template.format(c=c) for c in cols)
 
 
-@register("a1_shape", with_(DOC_RAW_SQL) + """
-SELECT count(*) AS total_rows, CAST(9 AS BIGINT) AS total_columns FROM doc_raw""")
+@register("a1_shape", with_(DOC_ALL_SQL) + """
+SELECT count(*) AS total_rows, CAST(9 AS BIGINT) AS total_columns FROM doc_all""")
 def a1_shape(spark, sf):
-    return Q.shape(doc_raw(spark, sf))
+    return Q.shape(doc_all(spark, sf))
 
 
 @register("a2_null_counts", with_(DOC_ALL_SQL) + "SELECT * FROM (\n  " + _union_sql(
@@ -62,35 +62,35 @@ def a7_class_share(spark, sf):
     return Q.class_share(doc_all(spark, sf), DOC_TARGET)
 
 
-@register("a8_skewness", with_(DOC_RAW_SQL) + """
+@register("a8_skewness", with_(DOC_ALL_SQL) + """
 SELECT "column", round(s, 6) AS skewness, round(round(s, 2), 6) AS skewness_2dp, abs(round(s, 2)) <= 1.0 AS passed
-FROM (""" + _union_sql(DOC_NUMERIC, "SELECT '{c}' AS \"column\", skewness(CAST({c} AS DOUBLE)) AS s FROM doc_raw") + ")")
+FROM (""" + _union_sql(DOC_NUMERIC, "SELECT '{c}' AS \"column\", skewness(CAST({c} AS DOUBLE)) AS s FROM doc_all") + ")")
 def a8_skewness(spark, sf):
-    return Q.skewness(doc_raw(spark, sf), DOC_NUMERIC, 1.0)
+    return Q.skewness(doc_all(spark, sf), DOC_NUMERIC, 1.0)
 
 
 _FENCES_SQL = """fences AS (
   SELECT "column", q1, q3, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lower, q3 + 1.5 * (q3 - q1) AS upper FROM (
   """ + _union_sql(DOC_NUMERIC, "SELECT '{c}' AS \"column\", quantile_cont(CAST({c} AS DOUBLE), 0.25) AS q1, "
-                                "quantile_cont(CAST({c} AS DOUBLE), 0.75) AS q3 FROM doc_raw") + "))"
+                                "quantile_cont(CAST({c} AS DOUBLE), 0.75) AS q3 FROM doc_all") + "))"
 
 
-@register("a9_iqr_fences", with_(DOC_RAW_SQL, _FENCES_SQL) + """
+@register("a9_iqr_fences", with_(DOC_ALL_SQL, _FENCES_SQL) + """
 SELECT "column", round(q1, 6) AS q1, round(q3, 6) AS q3, round(iqr, 6) AS iqr, round(lower, 6) AS lower,
        round(upper, 6) AS upper FROM fences""")
 def a9_iqr_fences(spark, sf):
-    return Q.iqr_fences(doc_raw(spark, sf), DOC_NUMERIC)
+    return Q.iqr_fences(doc_all(spark, sf), DOC_NUMERIC)
 
 
-@register("a10_outlier_counts", with_(DOC_RAW_SQL, _FENCES_SQL) + """,
+@register("a10_outlier_counts", with_(DOC_ALL_SQL, _FENCES_SQL) + """,
 cnt AS (""" + _union_sql(DOC_NUMERIC, "SELECT '{c}' AS \"column\", count_if(CAST(d.{c} AS DOUBLE) < f.lower OR "
-                                      "CAST(d.{c} AS DOUBLE) > f.upper) AS n FROM doc_raw d, fences f "
+                                      "CAST(d.{c} AS DOUBLE) > f.upper) AS n FROM doc_all d, fences f "
                                       "WHERE f.\"column\" = '{c}'") + """)
 SELECT c."column", CAST(c.n AS BIGINT) AS n_outliers, round(f.lower, 6) AS lower, round(f.upper, 6) AS upper,
        c.n = 0 AS passed
 FROM cnt c JOIN fences f ON c."column" = f."column\"""")
 def a10_outlier_counts(spark, sf):
-    return Q.outlier_counts(doc_raw(spark, sf), DOC_NUMERIC)
+    return Q.outlier_counts(doc_all(spark, sf), DOC_NUMERIC)
 
 
 _A11_SQL = """

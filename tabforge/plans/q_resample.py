@@ -49,12 +49,11 @@ pick AS (SELECT syn.*, 1 + ({_draw('syn.id', 'syn.i', "'n'")} % 5) AS nr,
 gen AS (SELECT -(p.i + 1) AS doc_id, 0 AS quality, """ + ", ".join(
     f"p.{c} + p.u * (b.{c} - p.{c}) AS {c}" for c in FEATS) + f""", true AS is_synthetic
         FROM pick p JOIN nn ON nn.id = p.id AND nn.nbr_rank = p.nr JOIN mino b ON b.id = nn.nbr_id)
-SELECT doc_id, CAST(quality AS INTEGER) AS quality, """ + ", ".join(f"round(CAST({c} AS DOUBLE), 6) AS {c}" for c in FEATS) + \
-    """, false AS is_synthetic FROM doc_raw
-UNION ALL SELECT doc_id, CAST(quality AS INTEGER), """ + ", ".join(f"round({c}, 6)" for c in FEATS) + ", is_synthetic FROM gen"
+SELECT doc_id, CAST(quality AS INTEGER) AS quality, """ + ", ".join(FEATS) + """, false AS is_synthetic FROM doc_raw
+UNION ALL SELECT doc_id, CAST(quality AS INTEGER), """ + ", ".join(f"CAST(trunc({c}) AS BIGINT)" for c in FEATS) + ", is_synthetic FROM gen"
 
 
-@register("m1_u1_smote", _SMOTE_SQL)
+@register("m1_u1_smote", _SMOTE_SQL)  # the features are counts, so they come back as integers
 def m1_u1_smote(spark, sf):
     return smote(doc_raw(spark, sf), "doc_id", "quality", FEATS, k=5, seed=42)
 

@@ -38,11 +38,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins. Only when it is unset (local tests) a
-    fresh scratch folder is created and registered.
+    The cluster's setting always wins. Only when it is unset and the master is
+    local (tests) a fresh scratch folder is created and registered; a cluster
+    without the setting is refused, as its machines do not share local folders.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="tabforge-ckpt-", dir=os.environ.get("TABFORGE_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -56,13 +59,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_STAGED: dict[int, list[str]] = {}
+
+
+def drop_staged(spark: SparkSession) -> int:
+    """Delete the copies that ``materialize`` wrote in this session; tables that read them are no longer usable.
+    Returns their number."""
+    paths = _STAGED.pop(id(spark.sparkContext), [])
+    for path in paths:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    return len(paths)
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Cut lineage by writing ``df`` as Parquet to the shared folder and reading it back.
 
     Survives executor loss (unlike a local checkpoint), and the read side gets
-    exact file statistics for the optimizer.
+    exact file statistics for the optimizer. ``drop_staged`` deletes the copies.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
+    _STAGED.setdefault(id(spark.sparkContext), []).append(path)
     return spark.read.parquet(path)

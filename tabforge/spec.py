@@ -89,6 +89,8 @@ class ScoringSpec:
     alias_maps: dict[str, dict[str, str]]
     ranges: dict[str, tuple[float, float]]
     cross_field: list[tuple[str, str]] = field(default_factory=list)  # (a, b): a <= b
+    # categories without aliases: the values the model was fitted on; others, and null, are rejected
+    categories: dict[str, list[str]] = field(default_factory=dict)
     confidence_threshold: float = CONFIDENCE_THRESHOLD
     class_names: dict[int, str] = field(default_factory=lambda: {0: "Dead", 1: "Alive"})
     warning_text: str = LOW_CONFIDENCE_WARNING

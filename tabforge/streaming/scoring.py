@@ -3,8 +3,9 @@
 ST1: records arrive as files; each micro-batch is normalized, checked, scored
 with the fitted ``PipelineModel`` and written: scored rows appended to the
 predictions table, rejected rows to a quarantine table. The query is
-checkpointed in the shared folder, so a restart resumes where it stopped and a
-lost executor only re-runs its tasks. The per-batch work is stateless, so no
+checkpointed beside its predictions (or where the caller says), so a restart resumes where it stopped and a
+lost executor only re-runs its tasks. Rows are stored by query id, batch and date: a replayed batch replaces
+its own rows, and a new query (with a new checkpoint) never those of an earlier one. The per-batch work is stateless, so no
 watermark is needed.
 
 ST2: the periodic drift job reads a time range of the predictions table and
@@ -13,13 +14,13 @@ falls back to a reference split when fewer than ``min_rows`` rows arrived.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import score as SC
-from ..session import scratch_path
 from ..spec import MIN_LIVE_ROWS, ScoringSpec
 
 
@@ -34,20 +35,18 @@ def start_scoring_stream(spark: SparkSession, source_dir: str, schema: T.StructT
     src = reader.load(source_dir)
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")  # kept in the checkpoint
         scored, rejected, checked = SC.score_with_handle(batch, model, spec, model_name)
-        scored = scored.withColumn("batch_id", F.lit(epoch_id).cast("bigint"))
-        rejected = rejected.withColumn("batch_id", F.lit(epoch_id).cast("bigint"))
         try:
-            # idempotent per epoch: a replayed batch overwrites its own partition only
-            (scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").parquet(predictions_path))
-            (rejected.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").parquet(quarantine_path))
+            for rows, path in ((scored, predictions_path), (rejected, quarantine_path)):
+                _delete(spark, f"{path}/query_id={query}/batch_id={epoch_id}")  # what an earlier try of this batch left
+                (rows.withColumns({"query_id": F.lit(query), "batch_id": F.lit(epoch_id).cast("bigint"), "date": F.current_date()})
+                 .write.mode("append").partitionBy("query_id", "batch_id", "date").parquet(path))
         finally:
             checked.unpersist()  # release the batch's cached rows before the next trigger
 
     w = src.writeStream.foreachBatch(write_batch).option(
-        "checkpointLocation", checkpoint_path or scratch_path(spark, "stream-ckpt"))
+        "checkpointLocation", checkpoint_path or f"{predictions_path.rstrip('/')}/_checkpoint")
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
 
@@ -63,8 +62,14 @@ def run_scoring_stream(spark: SparkSession, source_dir: str, schema: T.StructTyp
         raise RuntimeError(str(q.exception()))
     # output schemas come from the same scoring plan applied to an empty input
     empty_scored, empty_rejected = SC.score(spark.createDataFrame([], schema), model, spec, model_name)
-    return (_read_or_empty(spark, predictions_path, empty_scored.withColumn("batch_id", F.lit(0).cast("bigint"))),
-            _read_or_empty(spark, quarantine_path, empty_rejected.withColumn("batch_id", F.lit(0).cast("bigint"))))
+    keys = {"query_id": F.lit(""), "batch_id": F.lit(0).cast("bigint"), "date": F.current_date()}
+    return (_read_or_empty(spark, predictions_path, empty_scored.withColumns(keys)),
+            _read_or_empty(spark, quarantine_path, empty_rejected.withColumns(keys)))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def _read_or_empty(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
@@ -72,7 +77,7 @@ def _read_or_empty(spark: SparkSession, path: str, like: DataFrame) -> DataFrame
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(p) and len(fs.globStatus(jvm.org.apache.hadoop.fs.Path(path + "/batch_id=*"))) > 0:
+    if fs.exists(p) and len(fs.globStatus(jvm.org.apache.hadoop.fs.Path(path + "/query_id=*"))) > 0:
         return spark.read.parquet(path)
     return spark.createDataFrame([], like.schema)
 
@@ -83,8 +88,15 @@ def live_or_fallback(spark: SparkSession, predictions_path: str, fallback: DataF
     ``min_rows`` exist, otherwise the fallback (test split). Returns (DataFrame, source name)."""
     try:
         live = spark.read.parquet(predictions_path)
-    except Exception:  # no table yet
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # no table yet, or no rows in it
+            raise
         return fallback, "test data"
+    if "date" in live.columns:  # only the days of the range are listed and read
+        if start:
+            live = live.where(F.col("date") >= F.to_date(F.lit(start).cast("timestamp")))
+        if end:
+            live = live.where(F.col("date") <= F.to_date(F.lit(end).cast("timestamp")))
     if start:
         live = live.where(F.col(ts_col) >= F.lit(start).cast("timestamp"))
     if end:
