@@ -34,15 +34,19 @@ def _tagged(reference: DataFrame, current: DataFrame, cols: Sequence[str]) -> Da
     return ref.unionByName(cur)
 
 
-def numeric_cdf_table(reference: DataFrame, current: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(column, value, a, b, Fa, Fb, next_value, na, nb): per distinct value, counts in each set,
-    running shares and the next distinct value."""
+def value_counts_by_set(reference: DataFrame, current: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column, value, a, b), staged: how often each set has each value. Both sets are scanned once."""
     t = _tagged(reference, current, cols)
     pairs = ", ".join(f"'{c}', cast(`{c}` as double)" for c in cols)
     lng = t.selectExpr(f"stack({len(cols)}, {pairs}) as (`column`, `value`)", "_a", "_b")
     lng = lng.where(F.col("value").isNotNull() & ~F.isnan("value"))
     g = lng.groupBy("column", "value").agg(F.sum("_a").cast("bigint").alias("a"), F.sum("_b").cast("bigint").alias("b"))
-    g = materialize(g, "drift-counts")  # both sets scanned once; every later step reads the collapsed counts
+    return materialize(g, "drift-counts")
+
+
+def numeric_cdf_table(g: DataFrame) -> DataFrame:
+    """(column, value, a, b, Fa, Fb, next_value, na, nb): per distinct value, counts in each set,
+    running shares and the next distinct value."""
     tot = g.groupBy("column").agg(F.sum("a").alias("na"), F.sum("b").alias("nb"))
     c = running_sum(g, ["value"], ["a", "b"], ["column"], with_next=True)
     c = c.join(F.broadcast(tot), "column")  # one row per column
@@ -66,16 +70,17 @@ def ks_asymptotic_p(d: float, n: int, m: int) -> float | None:
 
 def numeric_drift_stats(reference: DataFrame, current: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(column, ks_stat, wasserstein, ref_std, wasserstein_norm, n_ref, n_cur)."""
-    c = numeric_cdf_table(reference, current, cols)
+    g = value_counts_by_set(reference, current, cols)
+    c = numeric_cdf_table(g)
     w = F.when(F.col("next_value").isNotNull(), F.abs(F.col("Fa") - F.col("Fb")) * (F.col("next_value") - F.col("value")))
     st = c.groupBy("column").agg(F.max(F.abs(F.col("Fa") - F.col("Fb"))).alias("ks_stat"),
                                  F.coalesce(F.sum(w), F.lit(0.0)).alias("wasserstein"),
-                                 F.first("na").alias("n_ref"), F.first("nb").alias("n_cur"),
-                                 F.try_divide(F.sum(F.col("a") * F.col("value")), F.first("na")).alias("_mean"))
-    # population std of the reference set from the same collapsed counts (second, centred pass)
-    sd = c.join(st.select("column", "_mean"), "column").groupBy("column").agg(
+                                 F.first("na").alias("n_ref"), F.first("nb").alias("n_cur"))
+    # population std of the reference set from the collapsed counts, centred first; no ranges needed
+    mean = g.groupBy("column").agg(F.try_divide(F.sum(F.col("a") * F.col("value")), F.sum("a")).alias("_mean"))
+    sd = g.join(F.broadcast(mean), "column").groupBy("column").agg(
         F.sqrt(F.try_divide(F.sum(F.col("a") * (F.col("value") - F.col("_mean")) * (F.col("value") - F.col("_mean"))),
-                            F.first("na"))).alias("ref_std"))
+                            F.sum("a"))).alias("ref_std"))
     both = (F.col("n_ref") > 0) & (F.col("n_cur") > 0)  # otherwise the distance is undefined (null)
     st = st.withColumn("wasserstein", F.when(both, F.col("wasserstein")))
     return st.join(sd, "column").select(

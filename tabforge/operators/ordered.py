@@ -29,6 +29,11 @@ def to_number(df: DataFrame, c: str):
     return parse_number(col) if isinstance(df.schema[c].dataType, T.StringType) else col.try_cast("double")
 
 
+def numeric_copy(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The columns as numbers, staged: whatever they are derived from (measurements of whole texts, say) is computed once."""
+    return materialize(df.select(*[to_number(df, c).alias(c) for c in dict.fromkeys(cols)]), "numbers")
+
+
 def melt(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (), name: str = "column",
          value: str = "value") -> DataFrame:
     """Wide -> long: one row per (row, column) with the value as a number (text by the rule of F3)."""

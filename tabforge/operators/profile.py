@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import as_number, pearson
-from .ordered import exact_quantiles, melt
+from .ordered import exact_quantiles, melt, numeric_copy
 
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(column, count, mean, std, min, q25, q50, q75, max); sample std, exact quartiles."""
+    df = numeric_copy(df, cols)
     lng = melt(df, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
     mom = lng.groupBy("column").agg(
         F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
@@ -50,7 +51,7 @@ def crosstab(df: DataFrame, a: str, b: str) -> DataFrame:
 def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     """Equal-width bins over [min, max]; the max value falls in the last bin; empty bins are listed.
     A constant column gets the range [v - 0.5, v + 0.5], as numpy's histogram does. NaN is missing."""
-    x = as_number(col)
+    df, x = numeric_copy(df, [col]), as_number(col)
     lohi = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).collect()[0]
     lo, hi = lohi["lo"], lohi["hi"]
     spark = df.sparkSession
@@ -68,10 +69,9 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
 
 def density(df: DataFrame, col: str, points: int = 100) -> DataFrame:
     """Gaussian kernel density on an evenly spaced grid over [min, max], Scott's bandwidth
-    (n^-1/5 times the sample std). Distinct values are collapsed with weights first; each
-    distinct value then adds its kernel to every grid point (points x distinct work, no pairs).
-    NaN is missing."""
-    x = as_number(col)
+    (n^-1/5 times the sample std). Distinct values are collapsed with weights first; one aggregate
+    then sums the kernels at all grid points, combined before the shuffle. NaN is missing."""
+    df, x = numeric_copy(df, [col]), as_number(col)
     s = df.agg(F.count(x).alias("n"), F.stddev_samp(x).alias("sd"), F.min(x).alias("lo"), F.max(x).alias("hi")).collect()[0]
     n, sd, lo, hi = s["n"], s["sd"], s["lo"], s["hi"]
     spark = df.sparkSession
@@ -80,17 +80,16 @@ def density(df: DataFrame, col: str, points: int = 100) -> DataFrame:
     h = sd * n ** (-1.0 / 5)
     step = (hi - lo) / (points - 1) if points > 1 else 0.0
     vc = df.where(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("w"))
-    g = vc.select("v", "w", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
-    gx = F.lit(lo) + F.col("point") * F.lit(step)
-    z = (gx - F.col("v")) / F.lit(h)
-    contrib = F.col("w") * F.exp(-0.5 * z * z)
+    z = lambda i: (F.lit(lo + i * step) - F.col("v")) / F.lit(h)
     norm = 1.0 / (n * h * math.sqrt(2 * math.pi))
-    return g.groupBy("point").agg((F.sum(contrib) * F.lit(norm)).alias("density")).select(
-        "point", (F.lit(lo) + F.col("point") * F.lit(step)).alias("x"), "density")
+    one = vc.agg(F.array(*[F.sum(F.col("w") * F.exp(-0.5 * z(i) * z(i))) for i in range(points)]).alias("s"))
+    return one.select(F.posexplode("s").alias("point", "s")).select(
+        "point", (F.lit(lo) + F.col("point") * F.lit(step)).alias("x"), (F.col("s") * F.lit(norm)).alias("density"))
 
 
 def box_stats(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
     """Quartiles, whisker ends (furthest values inside the fences), number of fliers."""
+    df = numeric_copy(df, cols)
     q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], names=["q1", "median", "q3"])
     fences = {r["column"]: r for r in q.collect()}
     lng = melt(df, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))

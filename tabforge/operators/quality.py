@@ -15,7 +15,10 @@ from pyspark.sql import types as T
 
 from ..functions.scalars import parse_number, pearson
 from ..spec import QualitySpec
-from .ordered import approx_quantiles, exact_quantiles, to_number
+from ..session import materialize
+from .ordered import approx_quantiles, exact_quantiles, numeric_copy, to_number
+
+MAX_BROADCAST_BYTES = 64 << 20  # estimated size of a broadcast side
 
 _FLOATS = (T.DoubleType, T.FloatType)
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -81,14 +84,18 @@ def duplicate_count(df: DataFrame, cols: Sequence[str] | None = None, digest_str
 def drop_duplicates(df: DataFrame, cols: Sequence[str] | None = None, digest_strings: bool = True) -> DataFrame:
     """A4: keep one row of each group of identical rows.
 
-    Rows in a group are identical, so which one is kept does not matter; the
-    shuffle key uses digests of string columns, the payload rides along once
-    per map-side group."""
+    Rows in a group are identical, so which one is kept does not matter. A narrow
+    pass over the keys (digests of string columns) finds those that repeat. While these
+    fit a measured broadcast, all other rows pass through where they lie and only the
+    repeated ones are shuffled; beyond it every row is."""
     cols = list(cols or df.columns)
-    key = _dedup_key(df, cols, digest_strings)
-    keyed = df.select(*[F.col(f"`{c}`") for c in df.columns], *[k.alias(f"_k{i}") for i, k in enumerate(key)])
-    kcols = [f"_k{i}" for i in range(len(key))]
-    return keyed.dropDuplicates(kcols).drop(*kcols)
+    keyed = df.withColumn("_k", F.struct(*[k.alias(f"k{i}") for i, k in enumerate(_dedup_key(df, cols, digest_strings))]))
+    again = materialize(keyed.groupBy("_k").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_k"), "repeated-keys")
+    if again.count() * (80 * len(cols) + 24) > MAX_BROADCAST_BYTES:
+        return keyed.dropDuplicates(["_k"]).drop("_k")
+    single = keyed.join(F.broadcast(again), "_k", "left_anti")
+    repeated = keyed.join(F.broadcast(again), "_k", "left_semi").dropDuplicates(["_k"])
+    return single.unionByName(repeated).drop("_k")
 
 
 def value_counts(df: DataFrame, col: str, name: str = "n") -> DataFrame:
@@ -168,7 +175,8 @@ def collect_fences(df: DataFrame, cols: Sequence[str], k: float = 1.5, method: s
 def outlier_counts(df: DataFrame, cols: Sequence[str], k: float = 1.5, method: str = "exact",
                    fences: dict | None = None) -> DataFrame:
     """A10: outliers per column against fences computed independently over all rows.
-    One extra pass counts all columns at once."""
+    One extra pass over the staged numbers counts all columns at once."""
+    df = numeric_copy(df, cols)
     fences = fences or collect_fences(df, cols, k, method)
     aggs = []
     for c in cols:
