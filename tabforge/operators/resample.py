@@ -65,7 +65,7 @@ def smote(df: DataFrame, id_col: str, label: str, features: Sequence[str], k: in
             raise ValueError(f"class {cls!r} has {n} row(s): at least 2 are needed to interpolate")
         kk = min(k, n - 1)
         pts = base.where(F.col(label) == F.lit(cls))
-        nn = knn_exact(pts, id_col, feats, kk, checkpoint=checkpoint)
+        nn = knn_exact(pts, id_col, feats, kk)
         ranked = class_rank(pts, label, id_col, seed, draw_col="_d").select(
             F.col("_rank").alias("_r"), F.col(id_col).alias("_base"), *[F.col(c).alias(f"b_{c}") for c in feats])
         # neighbour pairs with the neighbour's values: n * kk rows

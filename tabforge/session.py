@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -83,3 +84,18 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     _STAGED.setdefault(id(spark.sparkContext), []).append(path)
     return spark.read.parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors once a session, for drivers that have it on their own path only."""
+    if getattr(spark, "_tabforge_shipped", False):
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="tabforge-ship-"), "tabforge.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in sorted(os.walk(top)):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    z.write(os.path.join(folder, n), os.path.relpath(os.path.join(folder, n), os.path.dirname(top)))
+    spark.sparkContext.addPyFile(path)
+    spark._tabforge_shipped = True

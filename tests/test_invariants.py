@@ -25,15 +25,17 @@ def _brute_knn(ids, X, k):
     return out
 
 
-@pytest.mark.parametrize("max_cell", [2048, 3])
-def test_knn_exact_matches_brute_force_with_duplicates(spark, max_cell):
+@pytest.mark.parametrize("per_cell", [4096, 3])
+def test_knn_exact_matches_brute_force_with_duplicates(spark, monkeypatch, per_cell):
+    from tabforge.operators import knn
+    monkeypatch.setattr(knn, "PER_CELL", per_cell)
     rng = np.random.default_rng(3)
     X = np.vstack([rng.normal(0, 1, (150, 3)), np.tile([[5.0, 5.0, 5.0]], (40, 1)),  # hot group of copies
                    rng.normal(20, 0.1, (3, 3))])                                      # isolated cluster
     X = np.round(X, 2)
     ids = list(range(100, 100 + len(X)))
     df = spark.createDataFrame([(i, *map(float, x)) for i, x in zip(ids, X)], "id bigint, a double, b double, c double")
-    got = knn_exact(df, "id", ["a", "b", "c"], k=5, max_cell=max_cell).toPandas()
+    got = knn_exact(df, "id", ["a", "b", "c"], k=5).toPandas()
     want = _brute_knn(ids, X, 5)
     for i in ids:
         g = got[got.id == i].sort_values("nbr_rank")["nbr_id"].tolist()
