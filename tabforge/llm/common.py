@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, scratch_path  # noqa: F401
+from ..session import ship_package as ship  # noqa: F401
 
 #: The white space of the contracts: space, tab, line feed, vertical tab, form feed, carriage return.
 WHITE_SPACE = " \t\n\u000b\f\r"
@@ -35,22 +36,3 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 def all_columns(df: DataFrame) -> list[Column]:
     """Every column of ``df``, whatever characters its name has."""
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
-
-
-def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors once a session, for drivers that have it on their own path only."""
-    import os
-    import tempfile
-    import zipfile
-
-    if getattr(spark, "_tabforge_shipped", False):
-        return
-    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    path = os.path.join(tempfile.mkdtemp(prefix="tabforge-ship-"), "tabforge.zip")
-    with zipfile.ZipFile(path, "w") as z:
-        for folder, _, names in sorted(os.walk(top)):
-            for n in sorted(names):
-                if n.endswith(".py"):
-                    z.write(os.path.join(folder, n), os.path.relpath(os.path.join(folder, n), os.path.dirname(top)))
-    spark.sparkContext.addPyFile(path)
-    spark._tabforge_shipped = True
