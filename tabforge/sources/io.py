@@ -12,7 +12,8 @@ import hashlib
 import uuid
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,13 +63,16 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
 
 
 def write_and_verify(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
-    """(rows_written, rows_read, count_ok). Rows are counted while they are written (no second pass over the
-    input); the read-back count comes from the file footers, less what was there before an append."""
+    """(rows_written, rows_read, count_ok). The input is computed once, into blocks that the count and the write
+    both read; the read-back count comes from the file footers, less what was there before an append."""
     spark = df.sparkSession
     before = spark.read.parquet(path).count() if mode == "append" and _exists(spark, path) else 0
-    seen = Observation()
-    write_table(df.observe(seen, F.count(F.lit(1)).alias("n")), path, mode)
-    n = int(seen.get["n"])
+    kept = df.persist(StorageLevel.DISK_ONLY)
+    try:
+        n = kept.count()
+        write_table(kept, path, mode)
+    finally:
+        kept.unpersist()
     back = spark.read.parquet(path).count() - before
     return spark.createDataFrame([(n, back, n == back)], "rows_written bigint, rows_read bigint, count_ok boolean")
 

@@ -50,7 +50,7 @@ def test_own_scoring_cases(spark):
     r = _checked(spark)
     assert r["5"]["errors"] == []                      # equality passes, yes/no aliases are strings
     assert "number:age" in r["6"]["errors"]            # '45d' is not a number
-    assert "number:age" in r["7"]["errors"]            # '1_000' is not a number
+    assert r["7"]["errors"] == ["range:age"]           # '1_000' is the number 1000
     assert r["8"]["age"] == 45.0                       # tab-padded text is trimmed
     assert "number:tumor_size" in r["8"]["errors"] and "missing:marital_status" in r["8"]["errors"]
 
@@ -89,7 +89,7 @@ def test_stream_equals_batch(spark, small_model):
     src.repartition(3).write.parquet(inbox)
     pred, quar = STR.run_scoring_stream(spark, inbox, src.schema, model, QP.DOC_SCORING, t.best,
                                         scratch_path(spark, "pred"), scratch_path(spark, "quar"))
-    cols = ["doc_id", "prediction", "confidence", "alive_prob", "dead_prob", "high_confidence"]
+    cols = ["doc_id", "prediction", "confidence", "high_prob", "low_prob", "high_confidence"]
     a = batch.select(*cols).toPandas().sort_values("doc_id").reset_index(drop=True)
     b = pred.select(*cols).toPandas().sort_values("doc_id").reset_index(drop=True)
     pd.testing.assert_frame_equal(a, b)
