@@ -11,8 +11,8 @@ from conftest import SF01
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
-# these need a trained model first (minutes); they are covered by test_pipeline.py on smaller data
-NEEDS_MODEL = {"l6_quarantine"}
+# these train for minutes; they are covered by test_pipeline.py on smaller data and by scripts/oracle_check.py
+NEEDS_MODEL = {"l5_train_compare", "m8_svm_rff"}
 
 
 def _norm(v):
