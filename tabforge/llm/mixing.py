@@ -108,10 +108,11 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     slots = points.select("source_no", slot.cast("long").alias("slot")).withColumn("chunk", F.floor(F.col("slot") / (4 * PER_RANGE)))
     stretch = slots.groupBy("source_no", "chunk").agg(F.count("*").alias("n"))
     stretch = stretch.withColumn("before", F.sum("n").over(Window.partitionBy("source_no").orderBy("chunk")) - F.col("n"))
-    slots = slots.withColumn("nth", F.row_number().over(Window.partitionBy("source_no", "chunk").orderBy("slot"))).join(
-        stretch.drop("n"), ["source_no", "chunk"]).select("source_no", "slot", (F.col("before") + F.col("nth") - 1).alias("rank"))
+    # slots come out of a table with a row for each source, whose size says nothing about theirs: no broadcast joins
+    slots = slots.withColumn("nth", F.row_number().over(Window.partitionBy("source_no", "chunk").orderBy("slot"))).hint("merge").join(
+        stretch.drop("n").hint("merge"), ["source_no", "chunk"]).select("source_no", "slot", (F.col("before") + F.col("nth") - 1).alias("rank"))
 
-    taken = pieces.join(slots, ["source_no", "rank"]).groupBy("row_no").agg(
+    taken = pieces.hint("merge").join(slots.hint("merge"), ["source_no", "rank"]).groupBy("row_no").agg(
         F.sum("words").alias("taken"), F.min("slot").alias("first_slot"), F.count("*").alias("blocks"))
     return known.join(taken, "row_no", "left").select(
         "doc_id", "text_key", "size", "source", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"),
