@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import WORD, all_columns, fresh, materialize, text_or_empty
 
 #: Rows that one hash range, and slots that one chunk, should hold.
-PER_RANGE = 4096
+PER_RANGE = 1024
 
 
 def source_targets(sizes: DataFrame, weights: tuple = (3, 1, 2), share: float = 1.5, cap: float = 2.0) -> DataFrame:
