@@ -134,7 +134,10 @@ def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
                      F.col("taken").alias(taken), F.col("first_slot").alias(slot))
     mix = mix.withColumn(nth, F.row_number().over(key.orderBy("row_no"))).drop("row_no")
     marked = docs.withColumns({i: F.struct(F.col(id_col).alias("doc_id")), t: F.xxhash64(text_or_empty(text_col))})
-    both = marked.withColumn(nth, F.row_number().over(key.orderBy(F.lit(1)))).join(mix, [i, t, nth])
+    both = marked.withColumn(nth, F.row_number().over(key.orderBy(F.lit(1))))
+    # the numbers as bounds, not as a third key: the texts lie by (id, text) already and are not shuffled again
+    mix = mix.select(F.col(i).alias("mix_i"), F.col(t).alias("mix_t"), F.col(nth).alias("mix_nth"), size, taken, slot)
+    both = both.join(mix, (both[i] == mix["mix_i"]) & (both[t] == mix["mix_t"]) & (both[nth] >= mix["mix_nth"]) & (both[nth] <= mix["mix_nth"]))
     whole = F.array_repeat(F.col(size), F.floor(F.col(taken) / F.col(size)).cast("int"))
     part = F.col(taken) % F.col(size)
     both = both.withColumn(words, F.explode(F.concat(whole, F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<bigint>")))))
