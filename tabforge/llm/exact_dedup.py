@@ -78,5 +78,6 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     text = text_or_empty(text_col)
     marked = docs.withColumns({d: F.unhex(F.sha2(F.translate(text, WHITE_SPACE, "").cast("binary"), 256)),
                                i: F.struct(F.col(id_col).alias("doc_id")), c: F.char_length(text).cast("long")})
-    same = (marked[d] == kept["kept_digest"]) & (marked[i] == kept["kept_id"]) & (marked[c] == kept["kept_points"])
+    # >=, as no row of a group is longer: an equality would be a third key, and the texts would be shuffled again for the last step
+    same = (marked[d] == kept["kept_digest"]) & (marked[i] == kept["kept_id"]) & (marked[c] >= kept["kept_points"])
     return marked.join(kept, same, "left_semi").dropDuplicates([d, i]).select(*all_columns(docs))
