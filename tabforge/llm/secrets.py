@@ -22,7 +22,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import materialize, text_or_empty
 
 
 @dataclass(frozen=True)
@@ -139,8 +139,10 @@ def scan_secrets(versions: DataFrame, ledger_path: str, rules: tuple[Rule, ...]
     mine = mine.groupBy("blob").agg(F.flatten(F.collect_list("findings")).alias("findings"))
     ordered = F.array_sort(F.transform("findings", lambda x: F.struct(
         x["start"].alias("start"), x["order"].alias("order"), x["end"].alias("end"), x["kind"].alias("kind"), x["base"].alias("base"))))
+    # stored, so that the join below has plain shuffles on both sides and Spark can split the rows of a hot blob
+    mine = materialize(mine.select("blob", ordered.alias("findings")), "secret-findings")
     paths = versions.select(F.col(id_col).alias("doc_id"), blob_of(text_col).alias("blob"))
-    return paths.join(mine.select("blob", ordered.alias("findings")), "blob", "left").select(
+    return paths.join(mine, "blob", "left").select(
         "doc_id", F.lower(F.hex("blob")).alias("blob"), "findings")
 
 
