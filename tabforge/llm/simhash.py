@@ -223,6 +223,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         groups = groups.join(named, "fp", "left").select(
             "fp", F.coalesce("root", "fp").alias("component_fp"),
             F.when(F.col("root").isNull(), F.col("least_id")).otherwise(F.col("linked_id")).alias("least_id"))
+        # stored, so that the join below has plain shuffles on both sides and Spark can split a hot fingerprint's rows
+        groups = materialize(groups, "simhash-components")
     return rows.join(groups, "fp").select("doc_id", "text_key", "fp", "component_fp", F.col("least_id").alias("component_id"))
 
 
