@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabforge.llm.common import read_table, scratch_path, ship
+from tabforge.llm.common import prepare, read_table, scratch_path
 from tabforge.llm.exact_dedup import drop_exact_copies
 from tabforge.llm.mixing import apply_mix
 from tabforge.llm.packing import pack
@@ -23,7 +23,7 @@ from tabforge.llm.toxicity import drop_toxic, fit_toxicity
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score under 0.5, by a model learnt from the labels of rows that are not held out."""
-    ship(spark)
+    prepare(spark)
     model = fit_toxicity(docs, read_table(spark, sf_dir, "labels"), learn=~held_out())
     return drop_toxic(docs, model)
 
@@ -35,7 +35,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component: 4-word shingles, at most 4 differing bits."""
-    ship(spark)
+    prepare(spark)
     return drop_near_copies(docs, words=4, max_bits=4, seed=42)
 
 
@@ -48,7 +48,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 2048 tokens."""
     from public_tokenizers import path
 
-    ship(spark)
+    prepare(spark)
     return pack(docs, path("word_bpe_49k.json"), size=2048, end_id=1)
 
 

@@ -18,6 +18,18 @@ WHITE_SPACE = " \t\n\u000b\f\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows of an Arrow batch, where the session has Spark's default: rows hold whole texts here.
+BATCH = 1000
+
+
+def prepare(spark: SparkSession) -> None:
+    """What a query that runs Python on the executors needs: the package, and batches that fit long rows."""
+    ship(spark)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, "10000") == "10000":
+        spark.conf.set(key, str(BATCH))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

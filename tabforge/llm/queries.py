@@ -17,7 +17,7 @@ from . import secrets as L
 from . import simhash as S
 from . import syncmers as Y
 from . import toxicity as X
-from .common import read_table, scratch_path, ship
+from .common import prepare, read_table, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -26,7 +26,7 @@ ORACLE: dict[str, str] = {}
 def register(name: str, sql: str | None = None):
     def add(f):
         def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ship(spark)
+            prepare(spark)
             return f(spark, sf_dir)
 
         QUERIES[name] = query

@@ -19,7 +19,7 @@ from unicodedata import is_normalized
 import numpy as np
 
 #: Chunks that a worker remembers; the table starts anew beyond it.
-CACHE = 400_000
+CACHE = 150_000
 #: Ends a word in the rank table.
 END = " "
 
