@@ -19,12 +19,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
-from .common import materialize, text_or_empty
+from .common import materialize, scratch_path, text_or_empty
 
 ROUNDS = 6
 #: Ends each record, and lets a reader check that it stands at a border.
@@ -139,6 +140,16 @@ def slot_column(number: Column, n: int, key: str) -> Column:
     return slot(number)
 
 
+@F.pandas_udf(BinaryType())
+def packed(ids: pd.Series) -> pd.Series:
+    return ids.map(zstandard.ZstdCompressor(level=3).compress)
+
+
+@F.pandas_udf(BinaryType())
+def unpacked(ids: pd.Series) -> pd.Series:
+    return ids.map(zstandard.ZstdDecompressor().decompress)
+
+
 def write_shards(docs: DataFrame, path: str, tokenizer: str, key: str = "epoch-0", id_col: str = "doc_id", text_col: str = "text",
                  size: int = 2048, per_shard: int = 4096, end_id: int = 50256, width: int = 2) -> DataFrame:
     """Writes the shards to ``path``/shards and the manifest to ``path``/manifest; returns the manifest.
@@ -149,7 +160,11 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, key: str = "epoch-0
     Defined cases: null and empty texts are an end id alone; repeated rows and null ids are taken one by one;
     long texts run over as many sequences as they need. An empty table gives an empty manifest. Other columns are ignored.
     """
-    staged = materialize(sequences(docs, tokenizer, id_col, text_col, size, end_id, width), "order-sequences")
+    # ids are stored, dealt out and written, so the first two are packed better than by the session's defaults
+    at = scratch_path(docs.sparkSession, "order-sequences")
+    (sequences(docs, tokenizer, id_col, text_col, size, end_id, width).write.option("compression", "zstd")
+     .option("parquet.compression.codec.zstd.level", "9").option("parquet.page.size", str(4 << 20)).parquet(at))
+    staged = docs.sparkSession.read.parquet(at)
     counts = staged.groupBy("part").agg(F.count("*").alias("n"))
     first = materialize(counts.withColumn("first", F.sum("n").over(Window.orderBy("part")) - F.col("n")), "order-counts")
     n = first.agg(F.sum("n")).first()[0] or 0
@@ -159,8 +174,9 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, key: str = "epoch-0
     stride = size * width + len(MARK)
     dealt.select("slot", "shard", ((F.col("slot") % per_shard) * stride).alias("byte_offset"), "n_tokens", "doc_ids",
                  F.crc32("ids").alias("ids_crc32")).write.parquet(f"{path}/manifest")
-    records = dealt.select("slot", "shard", F.col("ids").cast("string").alias("value"))
-    (records.repartitionByRange(shards, "shard").sortWithinPartitions("shard", "slot").select("value", "shard")
+    records = dealt.select("slot", "shard", packed("ids").alias("packed")).repartitionByRange(shards, "shard")
+    records = records.select("slot", "shard", unpacked("packed").cast("string").alias("value"))
+    (records.sortWithinPartitions("shard", "slot").select("value", "shard")
      .write.partitionBy("shard").option("lineSep", MARK.decode("latin-1")).text(f"{path}/shards"))
     return docs.sparkSession.read.parquet(f"{path}/manifest")
 
