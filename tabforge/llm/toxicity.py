@@ -310,7 +310,16 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = None
                   .agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
                   .where((F.col("t") >= 3) & ((F.col("t") + .5) * (nc + 1) >= MIN_ODDS * (F.col("c") + .5) * (nt + 1)))
                   .orderBy(F.desc("t"), "c", "entry").limit(8 * MAX_TERMS))
-        terms = choose_terms([tuple(r) for r in counts.collect()], nt, nc)
+        found = {r["entry"]: (r["t"], r["c"]) for r in counts.collect()}
+        # a passage that many texts share is no evidence: of a candidate's toxic texts, as many count as it has neighbours there
+        words = F.regexp_extract_all(F.lower("t"), F.lit(r"(\p{L}+)"), F.lit(1))
+        placed = sample.where("toxic = 1").select(words.alias("w")).select(F.explode(F.transform("w", lambda w, i: F.struct(
+            w.alias("word"), F.xxhash64(F.get("w", i - 1), F.get("w", i + 1)).alias("near")))).alias("x"))
+        forms = F.array("x.word", *[F.concat(F.substring("x.word", 1, n), F.lit("*")) for n in STEMS])
+        names = docs.sparkSession.createDataFrame([(e,) for e in found] or [("",)], "entry string")
+        near = placed.select(F.explode(forms).alias("entry"), "x.near").join(F.broadcast(names), "entry")
+        near = {r["entry"]: r["n"] for r in near.distinct().groupBy("entry").agg(F.count("*").alias("n")).collect()}
+        terms = choose_terms([(e, min(t, near.get(e, 0)), c) for e, (t, c) in found.items()], nt, nc)
     model = ToxicityModel(terms, build_automaton(terms), np.ones(3 * len(terms) + 1), PRIOR.copy())
     if not terms:
         return model
