@@ -221,9 +221,11 @@ def render(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn
     texts = messages.select(F.struct(F.col(conv_col).alias("id")).alias("conv"), F.struct(F.col(turn_col).alias("id")).alias("turn_"),
                             F.struct(F.col(role_col).alias("id")).alias("role_"), F.xxhash64(text).alias("key"), text.alias("t"))
     texts = texts.withColumn("n", F.row_number().over(same))
-    keyed = steps.withColumns({"conv": F.struct(F.col("conv_id").alias("id")), "turn_": F.struct(F.col("turn").alias("id")),
-                               "role_": F.struct(F.col("role").alias("id"))}).withColumnsRenamed({"text_key": "key", "nth": "n"})
-    both = keyed.join(texts, ["conv", "turn_", "role_", "key", "n"])
+    keyed = steps.select("*", F.struct(F.col("conv_id").alias("id")).alias("conv_s"), F.struct(F.col("turn").alias("id")).alias("turn_s"),
+                         F.struct(F.col("role").alias("id")).alias("role_s"))
+    # the number as bounds, not as a key: the texts lie by the other four already and are not shuffled again
+    both = texts.join(keyed, (texts["conv"] == keyed["conv_s"]) & (texts["turn_"] == keyed["turn_s"]) & (texts["role_"] == keyed["role_s"])
+                      & (texts["key"] == keyed["text_key"]) & (texts["n"] >= keyed["nth"]) & (texts["n"] <= keyed["nth"]))
     head = lambda role: F.replace(F.lit(opening), F.lit("{}"), role)
     empties = lambda c: F.array_join(F.transform(
         F.filter(F.split(c, ","), lambda r: r != ""), lambda r: F.concat(head(r), F.lit(closing))), "")
