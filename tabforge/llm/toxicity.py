@@ -1,8 +1,8 @@
 """Toxicity: Levenshtein automata over a learned lexicon trie, and scores of the context of each hit.
 
 1. Lexicon. From a bounded sample of labelled texts, words and word stems that
-   mark toxic texts are kept (Dunning's G2 and odds). Near copies of a text
-   count once.
+   mark toxic texts are kept (Dunning's G2 and odds). Near copies of a text with
+   the same label count once.
 2. Automaton. The terms form a trie; walking the trie with a budget of edits
    gives the states of a Levenshtein automaton over all terms at once, which is
    made deterministic. It reads each word of a text once and ends in the best
@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, DoubleType, LongType, StructField, StructType
 
 from .common import all_columns, fresh, materialize, text_or_empty
 
@@ -34,8 +34,8 @@ SAMPLE = 12_000
 MAX_TERMS = 256
 #: Evidence that a term needs: G2 (about ten times that of a 1 % test) and odds.
 MIN_G2, MIN_ODDS = 30.0, 8.0
-#: Texts are near copies of each other, for counting, if the least hash of their words of this length is the same.
-RARE = 9
+#: Texts of one label are near copies, for counting, if about this share of their words (Jaccard) is the same, by this many least hashes.
+ALIKE, MINIMA = 0.8, 64
 #: Stem lengths that are tried, and different words that a stem needs.
 STEMS = (4, 5, 6)
 #: Characters at either side of a hit that make its context.
@@ -282,6 +282,33 @@ def choose_terms(counts: list[tuple[str, int, int]], nt: int, nc: int) -> list[t
     return [(w, stem) for _, w, stem in ranked[:MAX_TERMS]]
 
 
+def _minima(hashes: np.ndarray) -> np.ndarray:
+    """``MINIMA`` least hashes of a set of word hashes; the share that two sets have in common estimates their Jaccard likeness."""
+    rng = np.random.default_rng(42)
+    odd, shift = rng.integers(0, 1 << 63, MINIMA, np.uint64) * np.uint64(2) + np.uint64(1), rng.integers(0, 1 << 63, MINIMA, np.uint64)
+    if not len(hashes):
+        return np.full(MINIMA, -1, np.int32)
+    h = hashes.view(np.uint64)
+    return np.array([int((h * a + b).min() >> np.uint64(33)) for a, b in zip(odd, shift)], np.int32)
+
+
+def first_of_copies(label: np.ndarray, minima: np.ndarray) -> np.ndarray:
+    """Which texts stay, in their order: those without an earlier one that stays, of the same label, ``ALIKE`` or more of the minima the same.
+
+    Texts are compared if four minima next to each other agree.
+    """
+    kept, seen = np.ones(len(label), bool), {}
+    for i in range(len(label)):
+        places = [(int(label[i]), b, minima[i, b:b + 4].tobytes()) for b in range(0, MINIMA, 4)]
+        near = sorted({j for p in places for j in seen.get(p, ())})
+        if near and ((minima[near] == minima[i]).mean(axis=1) >= ALIKE).any():
+            kept[i] = False
+            continue
+        for p in places:
+            seen.setdefault(p, []).append(i)
+    return kept
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
                  label_col: str = "toxic") -> ToxicityModel:
     """Fits lexicon and weights on labelled rows of ``docs`` (those of ``labels`` where ``learn`` holds).
@@ -297,11 +324,23 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = None
     texts = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("t")).join(F.broadcast(chosen), "doc_id")
     sample = materialize(
         texts.withColumn("words", F.array_distinct(F.regexp_extract_all(F.lower("t"), F.lit(r"(\p{L}+)"), F.lit(1))))
-        .withColumn("alike", F.coalesce(F.array_min(F.transform(F.filter("words", lambda w: F.length(w) >= RARE), lambda w: F.xxhash64(w))),
-                                        F.xxhash64("words"))), "toxicity-sample")
-    once = sample.groupBy("alike").agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic"))
-    sample = sample.join(F.broadcast(once.select("doc_id")), "doc_id", "left_semi")
-    nt, nc = (x or 0 for x in once.agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first())
+        .withColumn("row", F.monotonically_increasing_id()), "toxicity-sample")
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            minima = [_minima(np.array(h.as_py(), np.int64)) for h in b.column(4)]
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(4)), pa.array([m.tobytes() for m in minima], pa.binary())],
+                                             ["doc_id", "key", "row", "toxic", "minima"])
+
+    signed = sample.select("doc_id", F.xxhash64("t").alias("key"), "row", "toxic", F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
+    schema = StructType([*signed.schema.fields[:4], StructField("minima", BinaryType())])
+    rows = signed.mapInArrow(sign, schema).orderBy("doc_id", "key", "row").select("row", "toxic", "minima").toPandas()
+    minima = np.frombuffer(b"".join(rows["minima"]), np.int32).reshape(-1, MINIMA)
+    kept = rows[first_of_copies(rows["toxic"].to_numpy(), minima)]
+    once = docs.sparkSession.createDataFrame([(r,) for r in kept["row"].tolist()], "row long")
+    sample = sample.join(F.broadcast(once), "row", "left_semi")
+    nt = int(kept["toxic"].sum())
+    nc = len(kept) - nt
     terms = []
     if nt and nc:
         stem = lambda n: F.transform(F.filter("words", lambda w: F.length(w) > n), lambda w: F.concat(F.substring(w, 1, n), F.lit("*")))

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 from edge import edge_docs
 from pyspark.sql import functions as F
 
@@ -86,6 +87,27 @@ def test_held_out_accuracy_misspellings_and_quotation(spark):
     assert s[1][0] > s[2][0] and s[2][0] == s[3][0] == s[4][0] < .5 and s[5][1] == 1 and s[5][0] < s[1][0]
 
 
+def test_unlike_texts_that_share_a_long_word_all_count(spark):
+    docs, labels = labelled(spark)
+    long = docs.select(F.explode(F.split("text", " ")).alias("w")).where(F.length("w") >= 9)
+    least = long.orderBy(F.xxhash64("w")).first()["w"]
+    shared = docs.withColumn("text", F.concat("text", F.lit(" " + least)))
+    model = X.fit_toxicity(shared, labels)
+    assert {t for t, _ in model.terms} == {"numskull", "blockhead", "wretchful"}
+    got = X.score_toxicity(shared, model).join(labels, "doc_id").collect()
+    assert all((r["score"] >= .5) == (r["toxic"] == 1) for r in got)
+
+
+def test_only_near_copies_of_one_label_count_once():
+    rng = np.random.default_rng(3)
+    one, other = rng.integers(-1 << 62, 1 << 62, (2, 200))
+    near, half = np.append(one[:195], other[:5]), np.append(one[:100], other[:100])
+    sets = [one, near, half, other, one, one[:0], one[:0], other[::-1]]
+    minima = np.array([X._minima(s) for s in sets])
+    label = np.array([0, 0, 0, 0, 1, 1, 1, 0])
+    assert X.first_of_copies(label, minima).tolist() == [True, False, True, True, True, True, False, False]
+
+
 def test_toxicity_of_the_documents(spark):
     docs, labels = spark.read.parquet(f"{SF01}/documents.parquet"), spark.read.parquet(f"{SF01}/labels.parquet")
     model = X.fit_toxicity(docs, labels)
