@@ -89,6 +89,30 @@ def test_pii_adds_loose_formats_and_redacts(spark):
     assert red[1001] == "please call [phone] today" and red[1003] is None and "@" not in red[3]
 
 
+def test_numbers_side_by_side_are_candidates():
+    for one, other, kind in (("+1 (826) 555-4081", "190.137.223.204", 3), ("4111-1111-1111-1111", "5500-0000-0000-0004", 2),
+                             ("555-123-4567", "555-987-6543", 3), ("(415) 555-1234", "(415) 555-4321", 3)):
+        text = f"call {one} {other} now"
+        got = {(k, text[a:b]) for k, a, b in P.loose_spans(text)}
+        assert (kind, one) in got and (kind == 3 and "." in other or (kind, other) in got), text
+    many = " ".join(["555-123-4567"] * 40)
+    assert {(3, i * 13, i * 13 + 12) for i in range(40)} <= set(P.loose_spans(many))
+
+
+def test_pii_finds_numbers_side_by_side(spark):
+    rng = random.Random(8)
+    rows = [(i, f"call +1 ({rng.randrange(200, 999)}) 555-{rng.randrange(1000, 9999)} or pay by "
+                f"{rng.choice(['4111 1111 1111 1111', '5500 0000 0000 0004', '4012 8888 8888 1881'])} from 10.{rng.randrange(256)}.3.7 now") for i in range(600)]
+    more = {1000: ["+1 (826) 555-4081", "190.137.223.204"], 1001: ["4111-1111-1111-1111", "5500-0000-0000-0004"], 1002: ["555-123-4567", "555-987-6543"]}
+    rows += [(i, "send " + " ".join(n) + " today") for i, n in more.items()]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in P.find_pii(d, P.fit_pii(d)).collect()}
+    for i, (one, other) in more.items():
+        a = 5 + len(one) + 1
+        want = {1000: ("phone", "ip"), 1001: ("card", "card"), 1002: ("phone", "phone")}[i]
+        assert sorted(got[i].split(",")) == sorted([f"{want[0]}:5:{5 + len(one)}", f"{want[1]}:{a}:{a + len(other)}"])
+
+
 def test_pii_edge_rows(spark):
     d = edge_docs(spark)
     out = P.find_pii(d, P.fit_pii(d))
