@@ -7,7 +7,7 @@
    gives the states of a Levenshtein automaton over all terms at once, which is
    made deterministic. It reads each word of a text once and ends in the best
    (term, edits) it allows. Stems take any ending.
-3. Context. Each hit gets the window around it: within quotation marks, or
+3. Context. A hit within quotation marks, paired over the whole paragraph, or
    next to a word of reporting, it counts as quoted.
 4. Score. A logistic regression over the sample weighs direct and quoted hits.
 
@@ -17,6 +17,8 @@ through the automaton together as arrays.
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -38,7 +40,7 @@ MIN_G2, MIN_ODDS = 30.0, 8.0
 ALIKE, MINIMA = 0.8, 64
 #: Stem lengths that are tried, and different words that a stem needs.
 STEMS = (4, 5, 6)
-#: Characters at either side of a hit that make its context.
+#: Characters at either side of a hit in which words of reporting are looked for.
 WINDOW = 60
 #: Characters of text that step through the automaton together.
 SLICE = 1 << 20
@@ -47,6 +49,7 @@ SLICE = 1 << 20
 REPORTING = ("said", "says", "called", "calls", "quote", "quoted", "quoting", "wrote", "word", "words", "term", "slur",
              "sagte", "nannte", "zitat", "wort", "dit", "mot", "dijo", "palabra")
 QUOTES = {'"': '"', "“": "”", "„": "“", "«": "»", "‘": "’", "‹": "›"}
+_MARKS = re.compile(r'["“”„«»‘’‹›]|\n\s*\n')
 
 
 def edits_allowed(term: str, stem: bool) -> int:
@@ -184,15 +187,40 @@ def find_hits(texts: list[str], auto: Automaton) -> tuple[np.ndarray, np.ndarray
     return number, pos - begin[number] if len(number) else pos, match, words
 
 
-def is_quoted(text: str, at: int) -> bool:
-    """Context window of a hit: inside quotation marks, or next to a word of reporting."""
+def quoted_stretches(text: str) -> tuple[list[int], list[int]]:
+    """Starts and ends of the outermost stretches between paired quotation marks; a pair lies within a paragraph."""
+    pairs, stack, depth = [], [], dict.fromkeys(QUOTES.values(), 0)  # open marks by the mark that closes them
+    for m in _MARKS.finditer(text):
+        c, i = m.group(), m.start()
+        if c not in QUOTES and c not in depth:
+            stack, depth = [], dict.fromkeys(depth, 0)  # the paragraph ends
+        elif c == "’" and text[max(0, i - 1):i].isalpha() and text[i + 1:i + 2].isalpha():
+            continue  # an apostrophe
+        elif depth.get(c):
+            while True:  # marks left open inside are stray
+                closing, start = stack.pop()
+                depth[closing] -= 1
+                if closing == c:
+                    break
+            pairs.append((start, i))
+        elif c in QUOTES:
+            stack.append((QUOTES[c], i))
+            depth[QUOTES[c]] += 1
+    starts, ends = [], []
+    for start, end in sorted(pairs):
+        if not ends or end > ends[-1]:
+            starts.append(start)
+            ends.append(end)
+    return starts, ends
+
+
+def is_quoted(text: str, at: int, stretches: tuple[list[int], list[int]] | None = None) -> bool:
+    """Context of a hit: inside quotation marks (anywhere in the text), or next to a word of reporting."""
+    starts, ends = stretches or quoted_stretches(text)
+    i = bisect_right(starts, at)
+    if i and at < ends[i - 1]:
+        return True
     before, after = text[max(0, at - WINDOW):at], text[at:at + WINDOW]
-    for opening, closing in QUOTES.items():
-        if opening == closing:
-            if before.count(opening) % 2 and closing in after:
-                return True
-        elif before.rfind(opening) > before.rfind(closing) and closing in after:
-            return True
     near = [w.strip(".,:;!?'\"").lower() for w in before.split()[-3:] + after.split()[1:3]]
     return any(w in REPORTING for w in near)
 
@@ -219,8 +247,9 @@ class ToxicityModel:
     def _features(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[list[int]]]:
         x, n, seen = np.zeros((len(texts), 4)), np.zeros((len(texts), 2), np.int64), [[] for _ in texts]
         number, pos, match, words = find_hits(texts, self.automaton)
+        stretches = {t: quoted_stretches(texts[t]) for t in np.unique(number).tolist()}
         for t, p, m in zip(number.tolist(), pos.tolist(), match.tolist()):
-            w, q = self.weight[m], is_quoted(texts[t], p)
+            w, q = self.weight[m], is_quoted(texts[t], p, stretches[t])
             x[t, 1 if q else 0] += w
             x[t, 2] = max(x[t, 2], 0.0 if q else w)
             n[t] += (1, q)

@@ -59,6 +59,19 @@ def test_context():
     assert not X.is_quoted("you idiot go away", 4) and not X.is_quoted('"hi" you idiot "bye"', 9)
 
 
+def test_quotations_longer_than_the_window():
+    far = "well " * 30
+    quoted = f'He told them "{far}you idiot {far}" and left'
+    assert X.is_quoted(quoted, quoted.index("idiot"))
+    direct = f'They sang "{far}" and you idiot heard "nothing"'
+    assert not X.is_quoted(direct, direct.index("idiot"))
+    cut = 'An open " mark\n\nyou idiot go "away"'
+    assert not X.is_quoted(cut, cut.index("idiot"))
+    text = f"‘{far}don’t be an idiot {far}’ „Du idiot“ “a „b“ idiot” idiot"
+    assert [X.is_quoted(text, i) for i in range(len(text)) if text.startswith("idiot", i)] == [True, True, True, False]
+    X.quoted_stretches("“" * 200_000 + "\n" * 200_000 + "«”" * 100_000)
+
+
 def labelled(spark, n=1500):
     rng = random.Random(5)
     syl = ["an", "ter", "on", "li", "ro", "es", "ti", "mo", "ka", "ve"]
