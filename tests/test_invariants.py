@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF01
+from paths import SF01
 from tabforge.operators import drift as D
 from tabforge.operators import features as FE
 from tabforge.operators import metrics as M

@@ -4,7 +4,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from paths import SF001
 from tabforge.operators import clean as C
 from tabforge.operators import models as MO
 from tabforge.operators import score as SC

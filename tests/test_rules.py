@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from paths import SF001
 from tabforge.functions import scalars as S
 from tabforge.operators import clean as C
 from tabforge.operators import drift as D
