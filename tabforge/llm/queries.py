@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import chat as C
 from . import exact_dedup as E
+from . import licenses as G
 from . import mixing as M
 from . import order as O
 from . import packing as K
@@ -149,3 +150,43 @@ def op10_packing(spark, sf):
     from public_tokenizers import path
 
     return K.pack(read_table(spark, sf, "documents"), path("word_bpe_49k.json"), size=2048, end_id=1)
+
+
+def op11_sql() -> str:
+    """The scan in DuckDB: the same rules as values, matches by splitting, suppression by comparing the intervals of a text."""
+    quote = lambda v: "'" + v.replace("'", "''") + "'"
+    rules = ",\n".join(f"({i},{quote(r.label)},{r.tier},{str(r.base).lower()},{quote(r.pattern)},[{','.join(map(quote, r.keywords))}])"
+                       for i, r in enumerate(G.signature_rules()))
+    sure = " ".join(f"WHEN {t} THEN {s}" for t, s in G.SURE.items())
+    return rf"""
+WITH rules(no, label, tier, base, pattern, keywords) AS (VALUES {rules}),
+d AS (SELECT row_number() OVER () AS uid, doc_id, list_filter(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words FROM documents),
+k AS (SELECT DISTINCT unnest(keywords) AS word FROM rules),
+p AS (SELECT uid, list(DISTINCT word) AS present FROM (SELECT uid, unnest(words) AS word FROM d) SEMI JOIN k USING (word) GROUP BY uid),
+c AS (SELECT d.uid, ' ' || array_to_string(words, '  ') || ' ' AS padded, r.* FROM p JOIN rules AS r ON list_has_all(p.present, r.keywords)
+      JOIN d ON d.uid = p.uid),
+h AS (SELECT *, string_split_regex(padded, pattern) AS gaps, regexp_extract_all(padded, pattern) AS hits FROM c WHERE regexp_matches(padded, pattern)),
+m AS (SELECT uid, no, label, tier, base, unnest(hits) AS hit, unnest(gaps[:len(hits)]) AS gap, unnest(range(len(hits))) AS nth FROM h),
+w AS (SELECT *, CAST((len(hit) - len(replace(hit, ' ', ''))) / 2 AS BIGINT) AS n_hit, CAST((len(gap) - len(replace(gap, ' ', ''))) / 2 AS BIGINT) AS n_gap FROM m),
+f AS (SELECT uid, no, label, tier, base, CAST(sum(n_gap + n_hit) OVER (PARTITION BY uid, no ORDER BY nth) AS BIGINT) AS e, e - n_hit AS s FROM w),
+kept AS (SELECT f.*, NOT EXISTS (SELECT 1 FROM f AS g WHERE g.uid = f.uid AND g.s <= f.s AND g.e >= f.e
+           AND (g.tier > f.tier OR g.tier = f.tier AND (g.e - g.s > f.e - f.s OR g.e - g.s = f.e - f.s AND g.no < f.no))) AS kept FROM f),
+r AS (SELECT uid, count(*) FILTER (base) AS n_base, min(s) FILTER (base) AS first_word, max(s) FILTER (base) AS last_word,
+        array_to_string(list_sort(list(DISTINCT label) FILTER (base)), ',') AS base_labels,
+        array_to_string(list_sort(list(DISTINCT label) FILTER (base OR kept)), ',') AS labels,
+        max(CASE WHEN kept THEN CASE tier {sure} END END) AS score, count(*) FILTER (kept) AS n_kept FROM kept GROUP BY uid)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+       coalesce(labels, '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score, coalesce(n_kept, 0) AS n_kept
+FROM d LEFT JOIN r USING (uid)"""
+
+
+@register("op11_license_scan", op11_sql())
+def op11_license_scan(spark, sf):
+    found = G.scan_licenses(read_table(spark, sf, "documents"))
+    base, stay = F.filter("findings", lambda x: x["base"]), F.filter("findings", lambda x: x["base"] | x["kept"])
+    starts = F.transform(base, lambda x: x["start"].cast("long"))
+    return found.select("doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"),
+                        F.array_max(starts).alias("last_word"), G.labels_of(base).alias("base_labels"), G.labels_of(stay).alias("labels"),
+                        G.certainty(F.col("findings")).alias("score"),
+                        F.size(F.filter("findings", lambda x: x["kept"])).cast("long").alias("n_kept"))
