@@ -13,6 +13,7 @@ from . import licenses as G
 from . import mixing as M
 from . import order as O
 from . import packing as K
+from . import phrases as W
 from . import pii as P
 from . import secrets as L
 from . import simhash as S
@@ -190,3 +191,35 @@ def op11_license_scan(spark, sf):
                         F.array_max(starts).alias("last_word"), G.labels_of(base).alias("base_labels"), G.labels_of(stay).alias("labels"),
                         G.certainty(F.col("findings")).alias("score"),
                         F.size(F.filter("findings", lambda x: x["kept"])).cast("long").alias("n_kept"))
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT row_number() OVER () AS id, lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS words FROM d),
+u AS (SELECT id, lang, unnest(words) AS w1, unnest(range(len(words))) AS i FROM w),
+s AS (SELECT lang, w1, lead(w1) OVER o AS w2, lead(w1, 2) OVER o AS w3, lead(w1, 3) OVER o AS w4, lead(w1, 4) OVER o AS w5
+      FROM u WINDOW o AS (PARTITION BY id ORDER BY i)),
+g AS (SELECT lang, w1 AS phrase, 1 AS m FROM s UNION ALL SELECT lang, w1 || ' ' || w2, 2 FROM s WHERE w2 IS NOT NULL
+      UNION ALL SELECT lang, w1 || ' ' || w2 || ' ' || w3, 3 FROM s WHERE w3 IS NOT NULL
+      UNION ALL SELECT lang, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4, 4 FROM s WHERE w4 IS NOT NULL
+      UNION ALL SELECT lang, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 || ' ' || w5, 5 FROM s WHERE w5 IS NOT NULL),
+c AS (SELECT lang, phrase, any_value(m) AS m, count(*) AS f FROM g GROUP BY lang, phrase),
+n AS (SELECT lang, sum(f) AS n FROM c WHERE m = 1 GROUP BY lang),
+p AS (SELECT *, string_split(phrase, ' ') AS words FROM c WHERE m > 1 AND f >= 100),
+k AS (SELECT p.lang, p.phrase, p.f AS a, n.n, k, x.f AS l, y.f AS r,
+        1000::HUGEINT * p.f * n.n // (x.f::HUGEINT * y.f) AS score
+      FROM p, range(1, 5) AS q(k), c AS x, c AS y, n
+      WHERE k < p.m AND x.lang = p.lang AND x.phrase = array_to_string(words[1:k], ' ') AND y.lang = p.lang
+        AND y.phrase = array_to_string(words[k + 1:], ' ') AND n.lang = p.lang),
+b AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+i AS (SELECT lang, array_to_string(words[i:i + o - 1], ' ') AS phrase, max(f) AS longer
+      FROM (SELECT p.*, unnest(range(1, m - o + 2)) AS i, o FROM p, range(2, 5) AS q(o) WHERE o < m) GROUP BY ALL),
+z AS (SELECT b.* FROM b LEFT JOIN i USING (lang, phrase) WHERE i.longer IS NULL OR 100 * i.longer < 100 * b.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n,
+       CAST(score AS BIGINT) AS score FROM z QUALIFY rank <= 2000"""
+
+
+@register("op12_phrase_collocations", OP12_SQL)
+def op12_phrase_collocations(spark, sf):
+    return W.collocations(read_table(spark, sf, "documents"), least=100, share=100, top=2000)
