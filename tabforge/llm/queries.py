@@ -15,6 +15,7 @@ from . import order as O
 from . import packing as K
 from . import phrases as W
 from . import pii as P
+from . import prefix_trie as R
 from . import secrets as L
 from . import simhash as S
 from . import syncmers as Y
@@ -223,3 +224,38 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p
 @register("op12_phrase_collocations", OP12_SQL)
 def op12_phrase_collocations(spark, sf):
     return W.collocations(read_table(spark, sf, "documents"), least=100, share=100, top=2000)
+
+
+OP13_SQL = r"""
+WITH RECURSIVE t AS (SELECT conv_id AS conv, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+crc AS (SELECT i, i AS v, 0 AS step FROM range(256) AS r(i)
+        UNION ALL SELECT i, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END, step + 1 FROM crc WHERE step < 8),
+tab AS (SELECT list(v ORDER BY i) AS vs FROM crc WHERE step = 8),
+c AS (SELECT conv, conv - conv % 5 AS base, count(*) AS n FROM t GROUP BY conv),
+k AS (SELECT conv, CAST(conv AS VARCHAR) AS s, 0 AS i, 4294967295 AS v FROM c
+      UNION ALL SELECT conv, s, i + 1, xor(v // 256, vs[xor(v % 256, ascii(s[i + 1])) + 1]) FROM k, tab WHERE i < len(s)),
+h AS (SELECT c.conv, c.base, xor(k.v, 4294967295) % 9 AS h, coalesce(b.n, 0) AS base_n
+      FROM c JOIN k ON k.conv = c.conv AND k.i = len(k.s) LEFT JOIN c AS b ON b.conv = c.base),
+r AS (SELECT h.conv, t.pos AS depth, role, text FROM h JOIN t ON t.conv = h.base AND t.pos <= h.h
+      UNION ALL SELECT h.conv, least(h.h, base_n) + pos - h.h, role, text FROM h JOIN t ON t.conv = h.conv AND t.pos > h.h),
+p AS (SELECT conv, depth, strlen(text) AS bytes,
+        md5(string_agg(strlen(role) || ':' || role || strlen(text) || ':' || text, '') OVER (PARTITION BY conv ORDER BY depth)) AS node FROM r
+      UNION ALL SELECT conv, 0, 0, 'root' FROM c),
+n AS (SELECT node, depth, min(conv) AS owner, count(*) AS n_convs, max(bytes) AS bytes FROM p GROUP BY node, depth),
+e AS (SELECT n.*, q.node AS up FROM n LEFT JOIN p AS q ON q.conv = n.owner AND q.depth = n.depth - 1),
+ch AS (SELECT up, count(*) AS n_children FROM e WHERE up IS NOT NULL GROUP BY up),
+v AS (SELECT e.*, coalesce(n_children, 0) AS n_children FROM e LEFT JOIN ch ON ch.up = e.node),
+a AS (SELECT p.node, p.depth, sum(CASE WHEN v.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((v.n_convs - 1) * v.bytes) AS saved
+      FROM v JOIN p ON p.conv = v.owner AND p.depth <= v.depth GROUP BY p.node, p.depth),
+z AS (SELECT arg_max(node, depth) AS node, conv FROM p GROUP BY conv),
+x AS (SELECT node, sha256(string_agg(CAST(conv AS VARCHAR), ',' ORDER BY conv)) AS ends FROM z GROUP BY node)
+SELECT v.owner AS conv_id, CAST(v.depth AS BIGINT) AS depth, u.owner AS parent_conv_id, v.n_convs, v.n_children,
+       CAST(a.n_leaves AS BIGINT) AS n_leaves, CAST(a.saved AS BIGINT) AS saved_tokens, coalesce(x.ends, sha256('')) AS ends_sha256
+FROM v JOIN a ON a.node = v.node AND a.depth = v.depth LEFT JOIN n AS u ON u.node = v.up LEFT JOIN x ON x.node = v.node"""
+
+
+@register("op13_prefix_trie", OP13_SQL)
+def op13_prefix_trie(spark, sf):
+    return R.prefix_trie(read_table(spark, sf, "conversations"))
