@@ -75,7 +75,7 @@ def remove_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5, mode: st
     narrow = materialize(df.select(*[to_number(df, c).alias(c) for c in cols]), "fence-columns")
     cond, fences = F.lit(True), {}
     for c in cols:
-        lo, hi = collect_fences(narrow.where(cond), [c], k, method)[c]
+        lo, hi = collect_fences(narrow.where(cond), [c], k, method, staged=True)[c]
         cond = cond & F.col(c).between(F.lit(lo).cast("double"), F.lit(hi).cast("double"))
         fences[c] = (lo, hi)
     cond = F.lit(True)

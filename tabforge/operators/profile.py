@@ -19,7 +19,7 @@ def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     mom = lng.groupBy("column").agg(
         F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"))
-    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], names=["q25", "q50", "q75"]).drop("n")
+    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], names=["q25", "q50", "q75"], staged=True).drop("n")
     return mom.join(q, "column").select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
@@ -90,7 +90,7 @@ def density(df: DataFrame, col: str, points: int = 100) -> DataFrame:
 def box_stats(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
     """Quartiles, whisker ends (furthest values inside the fences), number of fliers."""
     df = numeric_copy(df, cols)
-    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], names=["q1", "median", "q3"])
+    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], names=["q1", "median", "q3"], staged=True)
     fences = {r["column"]: r for r in q.collect()}
     lng = melt(df, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
     lo_e = F.lit(None).cast("double")

@@ -153,10 +153,10 @@ def skewness(df: DataFrame, cols: Sequence[str], threshold: float = 1.0) -> Data
                       (F.abs(F.round("skewness", 2)) <= threshold).alias("passed"))
 
 
-def iqr_fences(df: DataFrame, cols: Sequence[str], k: float = 1.5, method: str = "exact") -> DataFrame:
+def iqr_fences(df: DataFrame, cols: Sequence[str], k: float = 1.5, method: str = "exact", staged: bool = False) -> DataFrame:
     """(column, q1, q3, iqr, lower, upper) with linear-interpolated quartiles."""
     if method == "exact":
-        q = exact_quantiles(df, cols, [0.25, 0.75], names=["q1", "q3"])
+        q = exact_quantiles(df, cols, [0.25, 0.75], names=["q1", "q3"], staged=staged)
     else:
         q = approx_quantiles(df, cols, [0.25, 0.75], names=["q1", "q3"])
     iqr = F.col("q3") - F.col("q1")
@@ -164,11 +164,11 @@ def iqr_fences(df: DataFrame, cols: Sequence[str], k: float = 1.5, method: str =
                     (F.col("q3") + k * iqr).alias("upper"))
 
 
-def collect_fences(df: DataFrame, cols: Sequence[str], k: float = 1.5, method: str = "exact") -> dict[str, tuple]:
+def collect_fences(df: DataFrame, cols: Sequence[str], k: float = 1.5, method: str = "exact", staged: bool = False) -> dict[str, tuple]:
     """Fences as a small dict {column: (lower, upper)} - two numbers per column.
     A column without any value gets (None, None), like NaN quartiles in pandas: no value
     compares as an outlier, and a filter between the fences keeps no row."""
-    got = {r["column"]: (r["lower"], r["upper"]) for r in iqr_fences(df, cols, k, method).collect()}
+    got = {r["column"]: (r["lower"], r["upper"]) for r in iqr_fences(df, cols, k, method, staged).collect()}
     return {c: got.get(c, (None, None)) for c in cols}
 
 

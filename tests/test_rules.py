@@ -178,3 +178,48 @@ def test_staged_copies_can_be_dropped(spark, monkeypatch):
     d = materialize(spark.range(5))
     path = d.inputFiles()[0]
     assert drop_staged(spark) > 0 and not IO._exists(spark, path.rsplit("/", 1)[0])
+
+
+@pytest.mark.parametrize("most", [0, 10_000])
+def test_split_and_folds_have_the_same_rows_however_many_classes(spark, monkeypatch, most):
+    """Quotas by table (no class fits the driver) and by numbers; against plain ranks."""
+    from tabforge.operators import split as SP
+    monkeypatch.setattr(SP, "MAX_CLASSES", most)
+    df = spark.range(900).selectExpr("id", "case when id % 11 = 0 then null else id % 7 end as y", "'x' as split")
+    rows = sorted((r["id"], r["y"]) for r in df.collect())
+    draws = {r["id"]: r["d"] for r in df.select("id", S.hash_draw("id", seed=42).alias("d")).collect()}
+    classes = {}
+    for i, y in rows:
+        classes.setdefault(y, []).append((draws[i], i))
+    quota = SP.split_quotas({y: len(v) for y, v in classes.items()}, 0.3)
+    folds = SP.fold_allocation({y: len(v) for y, v in classes.items()}, 4)
+    want_split, want_fold = {}, {}
+    for y, v in classes.items():
+        for n, (_, i) in enumerate(sorted(v)):
+            want_split[i] = "train" if n < quota[y][0] else "test"
+            want_fold[i] = next(f for f in range(4) if n < sum(folds[y][:f + 1]))
+    assert {r["id"]: r["split"] for r in SP.stratified_split(df, "y", "id", 0.3).collect()} == want_split
+    assert {r["id"]: r["fold"] for r in SP.stratified_folds(df, "y", "id", 4).collect()} == want_fold
+
+
+@pytest.mark.parametrize("bins, leaves", [(2, 1), (3, 4), (4096, 100_000)])
+def test_quantiles_by_selection_at_any_bins(spark, bins, leaves):
+    """Ties, both infinities, the widest range, a constant and an empty column."""
+    import numpy as np
+    from tabforge.operators import ordered as O
+    rng = np.random.default_rng(4)
+    a = rng.lognormal(0, 9, 500)
+    a[:120] = 7.0
+    b = np.concatenate((rng.normal(size=497) * 1e-300, [1.7e308, -1.7e308, 5e-324]))
+    rows = [(float(x), float(y), 2.0, None, float("inf") if i < 30 else float("-inf") if i < 200 else float(i)) for i, (x, y) in enumerate(zip(a, b))]
+    df = spark.createDataFrame([*rows, (None, float("nan"), None, None, None)], "a double, b double, c double, d double, e double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
+    got = {r["column"]: r for r in O.exact_quantiles(df, list("abcde"), probs, names=[f"q{i}" for i in range(7)], bins=bins, leaves=leaves).collect()}
+    assert set(got) == set("abce")
+    for c, v in (("a", a), ("b", b), ("c", np.full(500, 2.0))):
+        v = np.sort(v)
+        for i, p in enumerate(probs):
+            k = p * 499
+            lo, hi = v[int(np.floor(k))], v[int(np.ceil(k))]
+            assert got[c][f"q{i}"] == (lo if lo == hi else lo + (hi - lo) * (k - np.floor(k)))
+    assert got["e"]["q0"] == float("-inf") and got["e"]["q6"] == float("inf") and got["e"]["q3"] == 279.5
