@@ -151,7 +151,9 @@ def knn_exact(df: DataFrame, id_col: str, cols: Sequence[str], k: int = 5) -> Da
 
     nv = vecs.count()
     cells = min(SAMPLE // 16, -(-nv // PER_CELL))
-    rows = vecs.orderBy(F.xxhash64("x"), "x").limit(SAMPLE).select("x").collect() if cells > 1 else []
+    # a cut of the hashes: about SAMPLE rows arrive in all, however many partitions there are
+    share = min(1 << 30, SAMPLE * (1 << 30) // max(nv, 1))
+    rows = sorted(vecs.where(F.pmod(F.xxhash64("x"), F.lit(1 << 30)) < share).select("x").collect()) if cells > 1 else []
     tree = fit_cuts(np.array([r["x"] for r in rows]), cells) if rows else ()
 
     def matrix(column: pa.Array) -> np.ndarray:

@@ -69,8 +69,11 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
 
 def density(df: DataFrame, col: str, points: int = 100) -> DataFrame:
     """Gaussian kernel density on an evenly spaced grid over [min, max], Scott's bandwidth
-    (n^-1/5 times the sample std). Distinct values are collapsed with weights first; one aggregate
-    then sums the kernels at all grid points, combined before the shuffle. NaN is missing."""
+    (n^-1/5 times the sample std). NaN is missing.
+
+    Values are shared out linearly to bins of a thousandth of the bandwidth, which keeps their mean and moves the curve by about
+    one part in 10^7; a bin is then added to the grid points within eight bandwidths of it, beyond which a
+    kernel is under 10^-13. So the work after one narrow pass depends on bins and grid, not on distinct values."""
     df, x = numeric_copy(df, [col]), as_number(col)
     s = df.agg(F.count(x).alias("n"), F.stddev_samp(x).alias("sd"), F.min(x).alias("lo"), F.max(x).alias("hi")).collect()[0]
     n, sd, lo, hi = s["n"], s["sd"], s["lo"], s["hi"]
@@ -79,12 +82,24 @@ def density(df: DataFrame, col: str, points: int = 100) -> DataFrame:
         return spark.createDataFrame([], "point int, x double, density double")
     h = sd * n ** (-1.0 / 5)
     step = (hi - lo) / (points - 1) if points > 1 else 0.0
-    vc = df.where(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("w"))
-    z = lambda i: (F.lit(lo + i * step) - F.col("v")) / F.lit(h)
+    width = h / 1000
+    at = (x - F.lit(lo)) / F.lit(width)
+    low = F.floor(at)
+    shared = df.where(x.isNotNull()).select(low.alias("b"), (at - low).alias("up")).select(F.inline(F.array(
+        F.struct(F.col("b").alias("b"), (1 - F.col("up")).alias("w")), F.struct((F.col("b") + 1).alias("b"), F.col("up").alias("w")))))
+    bins = shared.groupBy("b").agg(F.sum("w").alias("w")).withColumn("v", F.col("b") * F.lit(width))  # from lo
+    near = lambda f, d: f((F.col("v") + F.lit(d * 8 * h)) / F.lit(step))
+    if step:
+        first, last = F.greatest(near(F.ceil, -1), F.lit(0)), F.least(near(F.floor, 1), F.lit(points - 1))
+        reach = F.when(first <= last, F.sequence(first, last))
+    else:
+        reach = F.array(F.lit(0).cast("bigint"))
     norm = 1.0 / (n * h * math.sqrt(2 * math.pi))
-    one = vc.agg(F.array(*[F.sum(F.col("w") * F.exp(-0.5 * z(i) * z(i))) for i in range(points)]).alias("s"))
-    return one.select(F.posexplode("s").alias("point", "s")).select(
-        "point", (F.lit(lo) + F.col("point") * F.lit(step)).alias("x"), (F.col("s") * F.lit(norm)).alias("density"))
+    z = (F.col("point") * F.lit(step) - F.col("v")) / F.lit(h)
+    sums = bins.select("v", "w", F.explode(reach).alias("point")).groupBy("point").agg(F.sum(F.col("w") * F.exp(-0.5 * z * z)).alias("s"))
+    grid = spark.range(points).select(F.col("id").alias("point")).join(F.broadcast(sums), "point", "left")  # a row for each point
+    return grid.select(F.col("point").cast("int").alias("point"), (F.lit(lo) + F.col("point") * F.lit(step)).alias("x"),
+                       (F.coalesce("s", F.lit(0.0)) * F.lit(norm)).alias("density"))
 
 
 def box_stats(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:

@@ -98,6 +98,10 @@ def transform(df: DataFrame, spec: TrainSpec, target_mapping: dict | None = None
     return Prepared(t, stage, levels, list(spec.features), info)
 
 
+#: Training rows that are worth a task of their own in each round of a fit.
+ROWS_PER_TASK = 50_000
+
+
 @dataclass
 class FeatureSet:
     train: DataFrame
@@ -133,8 +137,9 @@ def features(prep: Prepared, spec: TrainSpec) -> FeatureSet:
     exprs = [f"(CAST(`{c}` AS DOUBLE) - ({m!r})) / ({s!r}) AS `s_{c[2:]}`" for c, (m, s) in params.items()]
     stage = SQLTransformer(statement=f"SELECT *, {', '.join(exprs)} FROM __THIS__")
     train = SP.stratified_folds(stage.transform(train), spec.target, spec.id_col, spec.cv_folds, spec.seed)
-    # spread over the cluster: the fits read it many times
-    train = materialize(train.repartition(train.sparkSession.sparkContext.defaultParallelism, spec.id_col), "l4-train")
+    # spread over the cluster, but not into tasks of a few rows: the fits read it hundreds of times
+    parts = min(train.sparkSession.sparkContext.defaultParallelism, -(-t.count() // ROWS_PER_TASK))
+    train = materialize(train.repartition(max(parts, 1), spec.id_col), "l4-train")
     test = materialize(stage.transform(test), "l4-test")
     return FeatureSet(train, test, [c[2:] for c in selected_f], scores, stage, params)
 

@@ -223,3 +223,33 @@ def test_quantiles_by_selection_at_any_bins(spark, bins, leaves):
             lo, hi = v[int(np.floor(k))], v[int(np.ceil(k))]
             assert got[c][f"q{i}"] == (lo if lo == hi else lo + (hi - lo) * (k - np.floor(k)))
     assert got["e"]["q0"] == float("-inf") and got["e"]["q6"] == float("inf") and got["e"]["q3"] == 279.5
+
+
+def test_exact_ks_distribution_equals_enumeration():
+    from fractions import Fraction
+    from itertools import combinations
+    for n in range(1, 7):
+        for m in range(1, 7):
+            paths = []
+            for a in combinations(range(n + m), n):
+                i = j = 0
+                most = Fraction(0)
+                for k in range(n + m):
+                    i, j = (i + 1, j) if k in a else (i, j + 1)
+                    most = max(most, abs(Fraction(i, n) - Fraction(j, m)))
+                paths.append(most)
+            for d in set(paths):
+                assert D.ks_exact_p(float(d), n, m) == pytest.approx(sum(x >= d for x in paths) / len(paths), abs=1e-12)
+    assert D.ks_p(0.06, 1000, 1000) == pytest.approx(D.ks_asymptotic_p(0.06, 1000, 1000), abs=5e-3)
+    assert D.ks_p(None, 3, 3) is None and D.ks_p(0.5, 0, 3) is None and D.ks_exact_p(0.0, 3, 3) == 1.0
+
+
+def test_density_of_many_distinct_values_equals_the_kernel_sum(spark):
+    import numpy as np
+    from tabforge.operators import profile as PR
+    for v in (np.random.default_rng(2).normal(size=3000) * 5 + 1, np.concatenate((np.random.default_rng(3).lognormal(0, 2, 2000), [5.0] * 500))):
+        got = sorted((r["point"], r["x"], r["density"]) for r in PR.density(spark.createDataFrame([(float(x),) for x in v], "v double"), "v", 60).collect())
+        h = v.std(ddof=1) * len(v) ** -0.2
+        grid = np.linspace(v.min(), v.max(), 60)
+        want = np.exp(-0.5 * ((grid[:, None] - v[None]) / h) ** 2).sum(axis=1) / (len(v) * h * np.sqrt(2 * np.pi))
+        assert np.allclose([x for _, x, _ in got], grid) and np.abs(np.array([d for *_, d in got]) - want).max() < 1e-6
