@@ -133,10 +133,12 @@ def scan_secrets(versions: DataFrame, ledger_path: str, rules: tuple[Rule, ...]
     now = {r.kind: r.key for r in rules}
     current = F.create_map(*[F.lit(x) for kv in now.items() for x in kv])
     ledger = _ledger(versions, ledger_path)
-    # of each scan, the findings by the rule versions of this call
-    mine = ledger.select("blob", F.filter("findings", lambda x: F.array_contains(
-        F.array_intersect("rules", keys), F.try_element_at(current, x["kind"]))).alias("findings"))
-    mine = mine.groupBy("blob").agg(F.flatten(F.collect_list("findings")).alias("findings"))
+    # of each scan, the findings by rule version; of scans that repeat a pair (two runs at once, an append done twice) one counts
+    each = F.transform(F.array_intersect("rules", keys), lambda k: F.struct(
+        k.alias("rule"), F.filter("findings", lambda x: F.try_element_at(current, x["kind"]) == k).alias("f")))
+    mine = ledger.select("blob", each.alias("each")).groupBy("blob").agg(F.flatten(F.collect_list("each")).alias("each"))
+    mine = mine.select("blob", F.flatten(F.filter(F.transform(keys, lambda k: F.get(F.filter("each", lambda x: x["rule"] == k), 0)["f"]),
+                                                  lambda f: f.isNotNull())).alias("findings"))
     ordered = F.array_sort(F.transform("findings", lambda x: F.struct(
         x["start"].alias("start"), x["order"].alias("order"), x["end"].alias("end"), x["kind"].alias("kind"), x["base"].alias("base"))))
     # stored, so that the join below has plain shuffles on both sides and Spark can split the rows of a hot blob

@@ -176,8 +176,10 @@ def fingerprint_links(distinct: DataFrame, max_bits: int) -> DataFrame:
     depth = 0
     while (1 << depth) * PER_SHARD < n and (1 << depth) < SAMPLE // 16:
         depth += 1
-    rows = distinct.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).toPandas()["fp"] if depth else []
-    sample = np.array(rows, np.int64).view(np.uint64)
+    # a cut of the hashes: about SAMPLE rows arrive in all, however many partitions there are
+    order, share = F.pmod(F.xxhash64("fp"), F.lit(1 << 30)), min(1 << 30, SAMPLE * (1 << 30) // max(n, 1))
+    rows = sorted(distinct.where(order < share).select(order, "fp").collect()) if depth else []
+    sample = np.array([r[1] for r in rows], np.int64).view(np.uint64)
     trees = [fit_tree(sample, m, b, depth) for m, b in parts]
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

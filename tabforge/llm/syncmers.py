@@ -150,9 +150,12 @@ def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: st
     table gives an empty result. Other columns are ignored.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("t"))
-    parts = min(MAX_RANGES, -(-rows.count() // PER_RANGE))
-    some = rows.select("doc_id").where("doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(20 * parts if parts > 1 else 1)
-    some = sorted(r[0] for r in some.collect())
+    n = rows.count()
+    parts = min(MAX_RANGES, -(-n // PER_RANGE))
+    # a cut of the hashes: about 20 ids a range arrive in all, however many partitions there are
+    share = min(1 << 30, 20 * parts * (1 << 30) // n) if parts > 1 else 0
+    some = rows.select("doc_id").where(F.col("doc_id").isNotNull() & (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share)).distinct()
+    some = sorted(r[0] for r in some.collect()) if share else []
     cuts = sorted({some[len(some) * i // parts] for i in range(1, parts)}) if len(some) >= parts else []
     kind = rows.schema["doc_id"].dataType.simpleString()
     fixed = lambda values, t: F.from_json(F.lit(json.dumps(values)), f"array<{t}>")

@@ -171,3 +171,16 @@ def test_components_of_a_long_path_and_a_hub(spark):
     hub = [(1000, 1000 + i) for i in range(1, 500)] + [(5, 5), (None, 3)]
     got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(path + hub, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(1, 201)} | {1000 + i: 1000 for i in range(1, 500)}
+
+
+def test_the_sample_of_the_trees_does_not_grow_with_partitions(spark, monkeypatch):
+    from tabforge.llm import simhash as S
+    monkeypatch.setattr(S, "SAMPLE", 2000)
+    monkeypatch.setattr(S, "PER_SHARD", 500)
+    sent = []
+    fit = S.fit_tree
+    monkeypatch.setattr(S, "fit_tree", lambda sample, *a: (sent.append(len(sample)), fit(sample, *a))[1])
+    fps = spark.range(0, 60_000, numPartitions=200).selectExpr("xxhash64(id) as fp")
+    links = S.fingerprint_links(fps, 4)
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" not in plan and 1500 < max(sent) < 2500  # the tops; fits go on with parts of them

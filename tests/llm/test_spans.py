@@ -179,3 +179,14 @@ def test_ledger_scans_only_unseen_pairs(spark):
 
 def test_ledger_with_an_empty_table(spark):
     assert L.scan_secrets(edge_docs(spark).limit(0), scratch_path(spark, "test-ledger")).count() == 0
+
+
+def test_pairs_that_are_in_the_ledger_twice_count_once(spark):
+    docs = edge_docs(spark)
+    path = scratch_path(spark, "twice")
+    show = lambda df: sorted(map(str, df.select("doc_id", "blob", L.joined(F.col("findings")).alias("f")).collect()))
+    want = show(L.scan_secrets(docs, path))
+    again = spark.read.schema(L.LEDGER).parquet(path)
+    again.union(again.withColumn("rules", F.slice("rules", 1, 2)).withColumn("findings", F.filter("findings", lambda x: x["order"] < 2))).write.mode(
+        "append").parquet(path)  # a repeated append, and a run that overlaps in two rules
+    assert show(L.scan_secrets(docs, path)) == want and "assign:" in "".join(want)
