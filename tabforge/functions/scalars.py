@@ -64,11 +64,6 @@ def map_values(c: str | Column, mapping: dict) -> Column:
     return m[_c(c)]
 
 
-def round_to(c: str | Column, places: int) -> Column:
-    """F8: SQL half-up rounding (same as DuckDB ``round``; Python rounds half-even on binary doubles)."""
-    return F.round(_c(c), places)
-
-
 def percent_text(p: str | Column) -> Column:
     """probability in [0,1] -> text like '93.1%'."""
     return F.concat(F.round(_c(p) * 100.0, 2).cast("string"), F.lit("%"))
@@ -79,11 +74,6 @@ def parse_percent(c: str | Column) -> Column:
     return F.regexp_extract(_c(c), "(-?[0-9]+(\\.[0-9]+)?)", 1).try_cast("double")
 
 
-def now_text() -> Column:
-    """current time as 'yyyy-MM-dd HH:mm:ss'."""
-    return F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
-
-
 def hash_draw(*parts: str | Column, seed: int = 42) -> Column:
     """Repeatable 32-bit draw from the md5 of ``'p1:p2:...:seed'``.
 
@@ -95,16 +85,6 @@ def hash_draw(*parts: str | Column, seed: int = 42) -> Column:
     return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
 
 
-def unit_draw(*parts: str | Column, seed: int = 42) -> Column:
-    """``hash_draw / 2**32`` in [0, 1)."""
-    return hash_draw(*parts, seed=seed) / F.lit(4294967296.0)
-
-
-def fast_draw(*parts: str | Column, seed: int = 42) -> Column:
-    """Cheaper non-negative 63-bit draw (xxhash64) for when SQL parity is not needed."""
-    return F.xxhash64(*[_c(p) for p in parts], F.lit(seed)) & F.lit(0x7FFFFFFFFFFFFFFF)
-
-
 # --- text features (whole texts, JVM string functions) --------------------
 # Counting by length differences avoids materialising an array of matches per
 # text (``regexp_count`` is ``size(regexp_extract_all(..))`` in Spark).

@@ -1,14 +1,13 @@
 """Feature scoring, selection and scaling.
 
-Fitted state is a handful of numbers per feature. It is returned as a Spark ML
-``SQLTransformer`` so it can sit in a ``PipelineModel`` and be saved with it.
+Fitted state is a handful of numbers per feature; the feature pipeline (L4) writes it into a
+Spark ML ``SQLTransformer``, which is saved with the model.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,10 +89,3 @@ def apply_scaler(df: DataFrame, params: dict[str, tuple[float, float]]) -> DataF
     for c, (m, s) in params.items():
         out = out.withColumn(c, scaler_expr(c, m, s))
     return out
-
-
-def scaler_stage(params: dict[str, tuple[float, float]], passthrough: Sequence[str]) -> SQLTransformer:
-    """The fitted scaler as a persistable pipeline stage."""
-    parts = [f"`{c}`" for c in passthrough]
-    parts += [f"(CAST(`{c}` AS DOUBLE) - ({m!r})) / ({s!r}) AS `{c}`" for c, (m, s) in params.items()]
-    return SQLTransformer(statement=f"SELECT {', '.join(parts)} FROM __THIS__")

@@ -119,16 +119,6 @@ def _fold_f1(name, df, features, label, fold_col, f, seed):
     return float(r["f1"])
 
 
-def cross_validate(name: str, df: DataFrame, features: Sequence[str], label: str, fold_col: str = "fold",
-                   k: int = 5, seed: int = RANDOM_STATE, parallelism: int = 4) -> list[float]:
-    """M9: F1 of class 1 on each held-out fold. Fold fits are submitted from several driver
-    threads at once (like ``CrossValidator(parallelism=...)``); each fit is a distributed job."""
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, k))) as ex:
-        futs = [ex.submit(_fold_f1, name, df, features, label, fold_col, f, seed) for f in range(k)]
-        return [x.result() for x in futs]
-
-
 def train_all(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, models: Sequence[str] = DEFAULT_MODELS,
               fold_col: str | None = "fold", k: int = 5, seed: int = RANDOM_STATE, parallelism: int | None = None):
     """M11 + K3: cross-validate, fit, score train and test, diagnose; best = highest CV mean
