@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..spec import RANDOM_STATE
 from . import metrics as M
+from .boosting import BoostedTrees, fit_boosted
 from .features import fit_standard_scaler
 
 # Model parameters (same settings as the reference's model configuration).
@@ -27,6 +28,7 @@ MODEL_PARAMS = {
     "logistic_regression": {"max_iter": 1000, "C": 1.0},
     "random_forest": {"n_estimators": 100, "max_depth": 10},
     "gbt": {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 6},
+    "gbt_first_order": {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 6},
     "svm": {"C": 1.0, "components": 200},
 }
 DEFAULT_MODELS = ("random_forest", "gbt")
@@ -74,10 +76,12 @@ def build_pipeline(name: str, train: DataFrame, features: Sequence[str], label:
     if name == "svm":
         stages.append(_rff_stage(scale.transform(train), feats, p["components"], seed))
         feats = [f"_rff{j}" for j in range(p["components"])]
+    if name == "gbt":  # reads plain columns, missing values included
+        return Pipeline(stages=[BoostedTrees(feats, label, **p)])
     stages.append(VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep"))
     if name == "random_forest":
         est = RandomForestClassifier(labelCol=label, numTrees=p["n_estimators"], maxDepth=p["max_depth"], seed=seed)
-    elif name == "gbt":
+    elif name == "gbt_first_order":
         est = GBTClassifier(labelCol=label, maxIter=p["n_estimators"], stepSize=p["learning_rate"],
                             maxDepth=p["max_depth"], seed=seed)
     elif name == "svm":
@@ -111,10 +115,10 @@ def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str] | None = No
     return out.select(*cols, F.col("prediction").cast("int").alias("prediction"), p[1].alias("prob_1"))
 
 
-def _fold_f1(name, df, features, label, fold_col, f, seed):
-    tr = df.where(F.col(fold_col) != f)
+def _fold_f1(name, df, features, label, fold_col, f, seed, model=None):
+    """F1 on fold ``f`` of ``model``, or of one that is fitted here on the other folds."""
     te = df.where(F.col(fold_col) == f)
-    m = fit(name, tr, features, label, seed)
+    m = model or fit(name, df.where(F.col(fold_col) != f), features, label, seed)
     r = M.binary_metrics(predict(m, te, keep=[label]), label=label, places=None).collect()[0]
     return float(r["f1"])
 
@@ -138,12 +142,21 @@ def train_all(train: DataFrame, test: DataFrame, features: Sequence[str], label:
     best, best_score = None, -1.0
     with ThreadPoolExecutor(max_workers=workers) as ex:
         jobs = {}
+        if "gbt" in models and fold_col:  # its fold models grow in the same jobs as the final one
+            grown = ex.submit(fit_boosted, train, features, label, fold_col, k, **MODEL_PARAMS["gbt"])
         for name in models:
+            if name == "gbt" and fold_col:
+                continue
             jobs[name] = (ex.submit(fit, name, train, features, label, seed),
                           [ex.submit(_fold_f1, name, train, features, label, fold_col, f, seed) for f in range(k)]
                           if fold_col else [])
         for name in models:
-            full, cv_f = jobs[name]
+            if name not in jobs:
+                *by_fold, final = [PipelineModel(stages=[m]) for m in grown.result()]
+                full = ex.submit(lambda m: m, final)
+                cv_f = [ex.submit(_fold_f1, name, train, features, label, fold_col, f, seed, m) for f, m in enumerate(by_fold)]
+            else:
+                full, cv_f = jobs[name]
             cv = [x.result() for x in cv_f]
             m = full.result()
             cv_mean = round(sum(cv) / len(cv), 4) if cv else None

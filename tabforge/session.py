@@ -63,11 +63,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 _STAGED: dict[int, list[str]] = {}
 
 
-def drop_staged(spark: SparkSession) -> int:
-    """Delete the copies that ``materialize`` wrote in this session; tables that read them are no longer usable.
-    Returns their number."""
-    paths = _STAGED.pop(id(spark.sparkContext), [])
+def drop_staged(spark: SparkSession, prefix: str = "") -> int:
+    """Delete the copies that ``materialize`` wrote in this session, or those whose name starts with a prefix; tables
+    that read them are no longer usable. Returns their number."""
+    staged = _STAGED.get(id(spark.sparkContext), [])
+    paths = [x for x in staged if x.rsplit("/", 1)[1].startswith(prefix)]
     for path in paths:
+        staged.remove(path)
         p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
     return len(paths)
