@@ -101,8 +101,8 @@ def gradients(margin: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def best_splits(g: np.ndarray, h: np.ndarray, n: np.ndarray, reg_lambda: float, min_child_weight: float):
-    """The best split of each node from sums of shape (nodes, features, codes): gain, feature, bin, missing_left.
-    Ties go to the first feature, the lowest bin, and missing values to the left."""
+    """The best split of each node from sums of shape (nodes, features, codes): gain, feature, bin, missing_left, and the
+    sums of gradient and hessian of the left and the right side. Ties go to the first feature, the lowest bin, and missing values to the left."""
     g, h = g / SCALE, h / SCALE
     gt, ht, nt = (x[:, 0, :].sum(axis=1)[:, None, None, None] for x in (g, h, n))
     left = []
@@ -116,7 +116,9 @@ def best_splits(g: np.ndarray, h: np.ndarray, n: np.ndarray, reg_lambda: float,
     flat = gain.reshape(len(gain), -1)
     at = flat.argmax(axis=1)
     feature, b, side = np.unravel_index(at, gain.shape[1:])
-    return flat[np.arange(len(flat)), at], feature, b, side == 0
+    node = np.arange(len(flat))
+    sides = [(x[node, feature, b, side], y[node, feature, b, side]) for x, y in ((gl, hl), (gr, hr))]
+    return flat[node, at], feature, b, side == 0, sides
 
 
 def _unpack(batch: pa.RecordBatch, n_features: int, n_models: int):
@@ -236,7 +238,7 @@ def fit_boosted(df: DataFrame, features: Sequence[str], label: str = "label", fo
             drop_staged(spark, f"boost-{run}-{version - 1}-")
             start = t
         open_nodes = [(m, 0) for m in range(n_models)]
-        for level in range(max_depth + 1):
+        for level in range(max_depth):
             if not open_nodes:
                 break
             slots = [np.full(forest.feature.shape[2], -1, dtype=np.int64) for _ in range(n_models)]
@@ -250,23 +252,26 @@ def fit_boosted(df: DataFrame, features: Sequence[str], label: str = "label", fo
                 dense = np.zeros(len(open_nodes) * n_features * CODES, dtype=np.int64)
                 dense[at] = got.column(c).to_numpy()
                 sums.append(dense.reshape(len(open_nodes), n_features, CODES))
-            open_nodes = _grow(forest, t, open_nodes, *sums, level == max_depth, learning_rate, reg_lambda, min_child_weight)
+            open_nodes = _grow(forest, t, open_nodes, *sums, learning_rate, reg_lambda, min_child_weight)
     table.unpersist()
     drop_staged(spark, f"boost-{run}-{version}-")
     return [BoostedTreesModel.of(forest, m, cuts, features) for m in range(n_models)]
 
 
-def _grow(forest: _Trees, t: int, open_nodes, g, h, n, last: bool, learning_rate: float, reg_lambda: float, min_child_weight: float):
-    """Gives every open node its leaf value and, where a split gains, its split; returns the nodes of the next level."""
-    gain, feature, b, missing_left = best_splits(g, h, n, reg_lambda, min_child_weight)
-    total_g, total_h = g[:, 0, :].sum(axis=1) / SCALE, h[:, 0, :].sum(axis=1) / SCALE
+def _grow(forest: _Trees, t: int, open_nodes, g, h, n, learning_rate: float, reg_lambda: float, min_child_weight: float):
+    """Splits every open node where that gains and gives both children their leaf values, which hold unless they are
+    split in turn; returns the children."""
+    gain, feature, b, missing_left, sides = best_splits(g, h, n, reg_lambda, min_child_weight)
     children = []
     for i, (m, place) in enumerate(open_nodes):
-        forest.value[m, t, place] = -learning_rate * total_g[i] / (total_h[i] + reg_lambda)
-        if not last and gain[i] > MIN_GAIN:
+        if place == 0:
+            forest.value[m, t, 0] = -learning_rate * (g[i, 0].sum() / SCALE) / (h[i, 0].sum() / SCALE + reg_lambda)
+        if gain[i] > MIN_GAIN:
             forest.feature[m, t, place], forest.bin[m, t, place] = feature[i], b[i]
             forest.missing_left[m, t, place] = missing_left[i]
-            children += [(m, 2 * place + 1), (m, 2 * place + 2)]
+            for child, (gs, hs) in zip((2 * place + 1, 2 * place + 2), sides):
+                forest.value[m, t, child] = -learning_rate * gs[i] / (hs[i] + reg_lambda)
+                children.append((m, child))
     return children
 
 

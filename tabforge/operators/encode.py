@@ -11,6 +11,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml import Transformer
+from pyspark.ml.param.shared import HasInputCols
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,30 +45,36 @@ def collect_encoder(encoder: DataFrame) -> dict[str, dict[str, int]]:
     return out
 
 
+Known = tuple[dict[str, tuple[int, int]], dict[str, dict[str, int]]]
+
+
+def measure_encoder(encoder: DataFrame, cols: Sequence[str] | None = None) -> Known:
+    """Number and bytes of the levels of each column, and the levels of the columns that have few: all that reaches the driver."""
+    stats = {r["column"]: (int(r["n"]), int(r["b"] or 0)) for r in encoder.groupBy("column").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("value")).alias("b")).collect()}
+    few = [c for c in (cols or stats) if stats.get(c, (0, 0))[0] <= MAX_INLINE_LEVELS]
+    return stats, {c: {} for c in few} | collect_encoder(encoder.where(F.col("column").isin(few))) if few else {}
+
+
 def apply_label_encoder(df: DataFrame, encoder: DataFrame | Mapping[str, Mapping[str, int]],
                         cols: Sequence[str] | None = None, unknown: str = "minus_one",
-                        errors: str = "errors") -> DataFrame:
+                        errors: str = "errors", known: Known | None = None) -> DataFrame:
     """replace each category by its code.
 
     unknown='minus_one' -> -1 (monitoring path); 'null' -> null;
     'error' -> null plus an entry in the ``errors`` array (scoring path), which lists the valid
-    values when they are few and gives their number otherwise.
+    values when they are few and gives their number otherwise. ``known`` spares measuring an encoder table again.
     """
     from .clean import add_errors
-    small: dict[str, dict[str, int]] = {}
     if isinstance(encoder, DataFrame):
-        # one small job: levels and bytes per column; only the levels of columns with few reach the driver
-        stats = {r["column"]: (int(r["n"]), int(r["b"] or 0)) for r in encoder.groupBy("column").agg(
-            F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("value")).alias("b")).collect()}
+        stats, small = known or measure_encoder(encoder, cols)
         cols = list(cols or stats.keys())
-        few = [c for c in cols if stats.get(c, (0, 0))[0] <= MAX_INLINE_LEVELS]
-        if few:
-            small = {c: {} for c in few} | collect_encoder(encoder.where(F.col("column").isin(few)))
     else:
         cols = list(cols or encoder.keys())
         stats = {c: (len(encoder[c]), sum(len(str(v).encode()) for v in encoder[c])) for c in cols}
         small = {c: dict(encoder[c]) for c in cols if len(encoder[c]) <= MAX_INLINE_LEVELS}
     out = df
+    value_of = "_encoder_value"
     if unknown == "error" and errors not in out.columns:
         out = out.withColumn(errors, F.array().cast("array<string>"))
     for c in cols:
@@ -76,12 +85,12 @@ def apply_label_encoder(df: DataFrame, encoder: DataFrame | Mapping[str, Mapping
             valid = f"{sorted(small[c])}"
         else:
             if isinstance(encoder, DataFrame):
-                dim = encoder.where(F.col("column") == F.lit(c)).select(F.col("value").alias("_v"), F.col("code").cast("int").alias(code))
+                dim = encoder.where(F.col("column") == F.lit(c)).select(F.col("value").alias(value_of), F.col("code").cast("int").alias(code))
             else:
-                dim = df.sparkSession.createDataFrame(list(encoder[c].items()), f"_v string, `{code}` int")
+                dim = df.sparkSession.createDataFrame(list(encoder[c].items()), f"{value_of} string, `{code}` int")
             if size + 24 * n <= MAX_BROADCAST_BYTES:
                 dim = F.broadcast(dim)
-            out = out.join(dim, src == F.col("_v"), "left").drop("_v")
+            out = out.join(dim, src == F.col(value_of), "left").drop(value_of)
             valid = f"{n} known values"
         value = F.col(code)
         if unknown == "minus_one":
@@ -106,3 +115,50 @@ def one_hot(df: DataFrame, cols: Sequence[str], encoder: DataFrame | Mapping[str
         for v in sorted(enc[c], key=lambda x: enc[c][x]):
             out = out.withColumn(f"{c}={v}", (F.col(c).cast("string") == F.lit(v)).cast("int"))
     return out
+
+
+class LevelEncoder(Transformer, HasInputCols, MLReadable, MLWritable):
+    """F6 / F7 as a pipeline stage: adds ``f_<c>``, the code of each column ``c``; unknown and missing values are -1.
+
+    The levels are a table (column, value, code), not an expression, so a column may have any number of them: they are
+    joined, and stored as Parquet beside the stage. A fresh stage reads the table that it was given (a staged copy); a
+    loaded one reads its own folder."""
+
+    def __init__(self, inputCols: Sequence[str] | None = None, levels: DataFrame | None = None):
+        super().__init__()
+        self._set(inputCols=list(inputCols or []))
+        self.levels, self._known = levels, None
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        cols = [f"f_{c}" for c in self.getInputCols()]
+        levels = self.levels.withColumn("column", F.concat(F.lit("f_"), "column"))
+        if self._known is None:  # once a stage, not once a batch
+            self._known = measure_encoder(levels, cols)
+        out = dataset.withColumns({f"f_{c}": F.col(f"`{c}`").cast("string") for c in self.getInputCols()})
+        return apply_label_encoder(out, levels, cols, known=self._known)
+
+    def write(self) -> "_LevelWriter":
+        return _LevelWriter(self)
+
+    @classmethod
+    def read(cls) -> "_LevelReader":
+        return _LevelReader()
+
+
+class _LevelWriter(MLWriter):
+    def __init__(self, stage: LevelEncoder):
+        super().__init__()
+        self.stage = stage
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(self.stage, path, self.sparkSession)
+        self.stage.levels.write.parquet(f"{path}/levels")
+
+
+class _LevelReader(MLReader):
+    def load(self, path: str) -> LevelEncoder:
+        meta = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        stage = LevelEncoder(levels=self.sparkSession.read.parquet(f"{path}/levels"))
+        stage._resetUid(meta["uid"])
+        DefaultParamsReader.getAndSetParams(stage, meta)
+        return stage

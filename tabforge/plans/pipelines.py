@@ -46,28 +46,23 @@ def validate(df: DataFrame, spec: QualitySpec) -> DataFrame:
 @dataclass
 class Prepared:
     table: DataFrame                    # id, label, f_<c>..., is_synthetic
-    prep_stage: SQLTransformer          # raw -> f_<c>
-    levels: dict                        # category levels
+    prep_stage: PipelineModel           # raw -> f_<c>
+    levels: DataFrame | None            # category levels (column, value, code)
     features: list[str]                 # candidate feature names (raw names)
     info: dict = field(default_factory=dict)
 
 
-def _prep_sql(spec: TrainSpec, levels: dict, integers: set[str]) -> str:
+def _prep_sql(spec: TrainSpec, integers: set[str]) -> str:
     exprs = []
     for c in spec.features:
-        if c in spec.categorical:
-            cases = " ".join(f"WHEN {_q(v)} THEN {code}" for v, code in sorted(levels[c].items(), key=lambda kv: kv[1]))
-            e = f"CAST(CASE CAST(`{c}` AS STRING) {cases} ELSE -1 END AS INT)" if levels.get(c) else "-1"
-        elif c in spec.skewed_cols:
+        if c in spec.categorical:  # LevelEncoder has added it
+            continue
+        if c in spec.skewed_cols:
             e = f"CASE WHEN CAST(`{c}` AS DOUBLE) > -1 THEN log1p(CAST(`{c}` AS DOUBLE)) END"
         else:
             e = f"CAST(`{c}` AS BIGINT)" if c in integers else f"CAST(`{c}` AS DOUBLE)"
         exprs.append(f"{e} AS `f_{c}`")
-    return f"SELECT *, {', '.join(exprs)} FROM __THIS__"
-
-
-def _q(v: str) -> str:
-    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"SELECT {', '.join(['*', *exprs])} FROM __THIS__"
 
 
 def transform(df: DataFrame, spec: TrainSpec, target_mapping: dict | None = None) -> Prepared:
@@ -83,9 +78,10 @@ def transform(df: DataFrame, spec: TrainSpec, target_mapping: dict | None = None
     if target_mapping:
         x = EN.encode_target(x, spec.target, target_mapping)
     x = x.where(F.col(spec.target).isNotNull())
-    levels = EN.collect_encoder(EN.fit_label_encoder(x, spec.categorical)) if spec.categorical else {}
+    cats = [c for c in spec.features if c in spec.categorical]
+    levels = materialize(EN.fit_label_encoder(x, cats), "l3-levels") if cats else None
     integers = {c for c in spec.features if isinstance(x.schema[c].dataType, T.IntegralType)}
-    stage = SQLTransformer(statement=_prep_sql(spec, levels, integers))
+    stage = PipelineModel(stages=[*([EN.LevelEncoder(cats, levels)] if cats else []), SQLTransformer(statement=_prep_sql(spec, integers))])
     t = stage.transform(x).select(F.col(spec.id_col), F.col(spec.target).cast("int").alias(spec.target),
                                   *[F.col(f"f_{c}") for c in spec.features])
     t = materialize(t, "l3-prepared")

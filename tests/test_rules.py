@@ -18,7 +18,7 @@ from tabforge.plans import q_pipeline as QP
 from tabforge import session
 from tabforge.session import drop_staged, ensure_checkpoint_dir, materialize, scratch_path
 from tabforge.sources import io as IO
-from tabforge.spec import ScoringSpec
+from tabforge.spec import ScoringSpec, TrainSpec
 from tabforge.streaming import scoring as STR
 
 
@@ -253,3 +253,20 @@ def test_density_of_many_distinct_values_equals_the_kernel_sum(spark):
         grid = np.linspace(v.min(), v.max(), 60)
         want = np.exp(-0.5 * ((grid[:, None] - v[None]) / h) ** 2).sum(axis=1) / (len(v) * h * np.sqrt(2 * np.pi))
         assert np.allclose([x for _, x, _ in got], grid) and np.abs(np.array([d for *_, d in got]) - want).max() < 1e-6
+
+
+def test_transform_with_100000_levels_saved_and_reloaded(spark):
+    n = 100_000
+    d = spark.range(n).select("id", (F.col("id") % 2).cast("int").alias("y"), F.format_string("v%07d", "id").alias("cat"),
+                              F.when(F.col("id") % 3 > 0, F.concat(F.lit("k"), F.col("id") % 3)).alias("few"), F.col("id").cast("double").alias("x"))
+    prep = PL.transform(d, TrainSpec(id_col="id", target="y", features=["cat", "x", "few"], categorical=["cat", "few"], outlier_cols=[],
+                                     drop_cols=[], skewed_cols=[]))
+    assert prep.table.columns[:5] == ["id", "y", "f_cat", "f_x", "f_few"]
+    bad = "f_cat <> id OR f_cat IS NULL OR f_few <> CASE id % 3 WHEN 0 THEN -1 ELSE id % 3 - 1 END"
+    assert prep.table.count() == n and prep.table.where(bad).count() == 0
+    path = scratch_path(spark, "prep")
+    MO.save(prep.prep_stage, path)
+    new = spark.createDataFrame([(1, "v0000007", "k2", 0.0), (2, "unseen", None, 0.0)], "id int, cat string, few string, x double")
+    again = MO.load(path).transform(new).orderBy("id").collect()
+    assert [(r["f_cat"], r["f_few"]) for r in again] == [(7, 1), (-1, -1)]
+    assert "v0099999" not in prep.prep_stage.transform(d)._jdf.queryExecution().toString()  # no branch a level
