@@ -32,8 +32,8 @@ from .common import all_columns, fresh, materialize, text_or_empty
 
 #: Labelled texts that the lexicon and the weights are fitted on, about and at most by hash share.
 SAMPLE = 12_000
-#: Terms of the lexicon, at most.
-MAX_TERMS = 256
+#: Terms that one automaton reads; a larger lexicon has several, and loses none.
+TERMS_PER_AUTOMATON = 256
 #: Evidence that a term needs: G2 (about ten times that of a 1 % test) and odds.
 MIN_G2, MIN_ODDS = 30.0, 8.0
 #: Texts of one label are near copies, for counting, if about this share of their words (Jaccard) is the same, by this many least hashes.
@@ -145,6 +145,13 @@ def build_automaton(terms: list[tuple[str, bool]]) -> Automaton:
                      np.array([accept[i] for i in range(len(accept))], np.int32))
 
 
+def build_automata(terms: list[tuple[str, bool]]) -> list[tuple[np.ndarray, Automaton]]:
+    """Automata over neighbours in the alphabet, each with the numbers of its terms."""
+    by_text = sorted(range(len(terms)), key=lambda i: terms[i])
+    parts = [sorted(by_text[i:i + TERMS_PER_AUTOMATON]) for i in range(0, len(terms), TERMS_PER_AUTOMATON)] or [[]]
+    return [(np.array(p, np.int64), build_automaton([terms[i] for i in p])) for p in parts]
+
+
 _CLASSES: dict[str, np.ndarray] = {}
 
 
@@ -187,6 +194,21 @@ def find_hits(texts: list[str], auto: Automaton) -> tuple[np.ndarray, np.ndarray
     return number, pos - begin[number] if len(number) else pos, match, words
 
 
+def find_best(texts: list[str], terms: list[tuple[str, bool]], automata: list[tuple[np.ndarray, Automaton]]):
+    """``find_hits`` over all automata: of the matches of a word the best stands, by the rule of ``build_automaton``."""
+    found = []
+    for numbers, auto in automata:
+        number, pos, match, words = find_hits(texts, auto)
+        found.append((number, pos, numbers[match // 3] * 3 + match % 3 if len(match) else match))
+    number, pos, match = (np.concatenate(x).astype(np.int64) for x in zip(*found))
+    length = np.array([len(t) for t, _ in terms] or [0], np.int64)
+    order = np.lexsort((match // 3, -length[match // 3], match % 3, pos, number))
+    number, pos, match = number[order], pos[order], match[order]
+    first = np.ones(len(number), bool)
+    first[1:] = (number[1:] != number[:-1]) | (pos[1:] != pos[:-1])
+    return number[first], pos[first], match[first], words
+
+
 def quoted_stretches(text: str) -> tuple[list[int], list[int]]:
     """Starts and ends of the outermost stretches between paired quotation marks; a pair lies within a paragraph."""
     pairs, stack, depth = [], [], dict.fromkeys(QUOTES.values(), 0)  # open marks by the mark that closes them
@@ -228,7 +250,7 @@ def is_quoted(text: str, at: int, stretches: tuple[list[int], list[int]] | None
 @dataclass
 class ToxicityModel:
     terms: list[tuple[str, bool]]
-    automaton: Automaton
+    automata: list[tuple[np.ndarray, Automaton]]
     weight: np.ndarray  # of each match
     coef: np.ndarray  # constant and features
 
@@ -246,7 +268,7 @@ class ToxicityModel:
 
     def _features(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[list[int]]]:
         x, n, seen = np.zeros((len(texts), 4)), np.zeros((len(texts), 2), np.int64), [[] for _ in texts]
-        number, pos, match, words = find_hits(texts, self.automaton)
+        number, pos, match, words = find_best(texts, self.terms, self.automata)
         stretches = {t: quoted_stretches(texts[t]) for t in np.unique(number).tolist()}
         for t, p, m in zip(number.tolist(), pos.tolist(), match.tolist()):
             w, q = self.weight[m], is_quoted(texts[t], p, stretches[t])
@@ -287,6 +309,13 @@ def _g2(t: float, c: float, nt: float, nc: float) -> float:
     return 2 * (h(t, nt) + h(c, nc) - h(t + c, nt + nc))
 
 
+def _g2_column(t: Column, c: Column, nt: int, nc: int) -> Column:
+    def h(k: Column, n: int) -> Column:
+        part = lambda x: F.when(x > 0, x * F.log(x / F.lit(n))).otherwise(0.0)
+        return part(k) + part(F.lit(n) - k)
+    return 2 * (h(t, nt) + h(c, nc) - h(t + c, nt + nc))
+
+
 def choose_terms(counts: list[tuple[str, int, int]], nt: int, nc: int) -> list[tuple[str, bool]]:
     """Terms from (entry, toxic texts, clean texts); an entry that ends in * is a stem.
 
@@ -308,7 +337,7 @@ def choose_terms(counts: list[tuple[str, int, int]], nt: int, nc: int) -> list[t
     stems = {s: v for s, v in stems.items() if not any(o != s and s.startswith(o) for o in stems)}
     words = {w: v for w, v in words.items() if not any(w.startswith(s) for s in stems)}
     ranked = sorted([(-g, w, False) for w, (_, g) in words.items()] + [(-g, s, True) for s, (_, g) in stems.items()])
-    return [(w, stem) for _, w, stem in ranked[:MAX_TERMS]]
+    return [(w, stem) for _, w, stem in ranked]
 
 
 def _minima(hashes: np.ndarray) -> np.ndarray:
@@ -377,7 +406,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = None
         counts = (sample.select("toxic", F.explode(entries).alias("entry")).groupBy("entry")
                   .agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
                   .where((F.col("t") >= 3) & ((F.col("t") + .5) * (nc + 1) >= MIN_ODDS * (F.col("c") + .5) * (nt + 1)))
-                  .orderBy(F.desc("t"), "c", "entry").limit(8 * MAX_TERMS))
+                  # what follows can only lower t, and G2 with it: nothing that could pass goes here
+                  .where(_g2_column(F.col("t"), F.col("c"), nt, nc) >= MIN_G2 - 1e-6))
         found = {r["entry"]: (r["t"], r["c"]) for r in counts.collect()}
         # a passage that many texts share is no evidence: of a candidate's toxic texts, as many count as it has neighbours there
         words = F.regexp_extract_all(F.lower("t"), F.lit(r"(\p{L}+)"), F.lit(1))
@@ -388,7 +418,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = None
         near = placed.select(F.explode(forms).alias("entry"), "x.near").join(F.broadcast(names), "entry")
         near = {r["entry"]: r["n"] for r in near.distinct().groupBy("entry").agg(F.count("*").alias("n")).collect()}
         terms = choose_terms([(e, min(t, near.get(e, 0)), c) for e, (t, c) in found.items()], nt, nc)
-    model = ToxicityModel(terms, build_automaton(terms), np.ones(3 * len(terms) + 1), PRIOR.copy())
+    model = ToxicityModel(terms, build_automata(terms), np.ones(3 * len(terms) + 1), PRIOR.copy())
     if not terms:
         return model
 

@@ -136,3 +136,25 @@ def test_toxicity_edge_rows(spark):
     out = X.drop_toxic(d, model)
     assert out.columns == d.columns and X.score_toxicity(d, model).count() == d.count()
     assert X.score_toxicity(d.limit(0), X.fit_toxicity(d.limit(0), labels.limit(0))).count() == 0
+
+
+def test_a_large_lexicon_has_several_automata_and_loses_no_term(monkeypatch):
+    rng = random.Random(4)
+    make = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(3, 10)))
+    terms = [(w, i % 7 == 0 and len(w) >= 4) for i, w in enumerate(dict.fromkeys(make() for _ in range(60)))]
+    texts = [" ".join([make() for _ in range(40)] + [t for t, _ in terms[i::5]]) for i in range(5)] + ["", "zz 9"]
+    one = X.find_best(texts, terms, X.build_automata(terms))
+    monkeypatch.setattr(X, "TERMS_PER_AUTOMATON", 7)
+    split = X.build_automata(terms)
+    assert len(split) == -(-len(terms) // 7)
+    for a, b in zip(one, X.find_best(texts, terms, split)):
+        assert a.tolist() == b.tolist()
+    counts = [(f"w{i:04d}x", 40, 0) for i in range(700)]
+    assert len(X.choose_terms(counts, 100, 900)) == 700
+
+
+def test_the_filter_of_candidates_equals_the_formula(spark):
+    cases = [(t, c) for t in range(1, 101, 9) for c in (0, 1, 7, 400, 900)]
+    rows = spark.createDataFrame(cases, "t long, c long").select("t", "c", X._g2_column(F.col("t"), F.col("c"), 100, 900).alias("g")).collect()
+    for r in rows:
+        assert abs(r["g"] - X._g2(r["t"], r["c"], 100, 900)) < 1e-9
