@@ -122,7 +122,10 @@ def category_shares(reference: DataFrame, current: DataFrame, cols: Sequence[str
     t = _tagged(reference, current, cols)
     pairs = ", ".join(f"'{c}', cast(`{c}` as string)" for c in cols)
     lng = t.selectExpr(f"stack({len(cols)}, {pairs}) as (`column`, `value`)", "_a", "_b").where(F.col("value").isNotNull())
-    g = lng.groupBy("column", "value").agg(F.sum("_a").cast("bigint").alias("a"), F.sum("_b").cast("bigint").alias("b"))
+    return _shares(lng.groupBy("column", "value").agg(F.sum("_a").cast("bigint").alias("a"), F.sum("_b").cast("bigint").alias("b")))
+
+
+def _shares(g: DataFrame) -> DataFrame:
     tot = g.groupBy("column").agg(F.sum("a").alias("na"), F.sum("b").alias("nb"))
     return g.join(F.broadcast(tot), "column").select(
         "column", "value", "a", "b", F.try_divide(F.col("a"), F.col("na")).alias("p"),
@@ -132,7 +135,15 @@ def category_shares(reference: DataFrame, current: DataFrame, cols: Sequence[str
 
 def js_distance(reference: DataFrame, current: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(column, js_distance, n_levels, chi2, n_ref, n_cur) with natural logs."""
-    s = category_shares(reference, current, cols)
+    return _distances(category_shares(reference, current, cols))
+
+
+def js_of_counts(counts: DataFrame) -> DataFrame:
+    """D2 of counts (column, value, a, b) that are at hand: a of the reference, b of the current set."""
+    return _distances(_shares(counts))
+
+
+def _distances(s: DataFrame) -> DataFrame:
     mid = (F.col("p") + F.col("q")) / 2.0
     kl_p = F.when(F.col("p") > 0, F.col("p") * F.log(F.col("p") / mid)).otherwise(0.0)
     kl_q = F.when(F.col("q") > 0, F.col("q") * F.log(F.col("q") / mid)).otherwise(0.0)

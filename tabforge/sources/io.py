@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import hashlib
+import time
 import uuid
 from collections.abc import Callable, Mapping
 
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
+from . import publish
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, header: bool = True,
@@ -87,23 +89,36 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> N
     write_table(df, path, "append", partition_by)
 
 
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Deletes a folder and what is in it; whether there was one."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True))
+
+
+def _cache_path(spark: SparkSession, name: str = "", version: str = "") -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/cache/{name}{('-' + version) if version else ''}"
+
+
 def cached(spark: SparkSession, name: str, build: Callable[[], DataFrame], max_age_s: float = 24 * 3600,
            version: str = "") -> DataFrame:
     """Named materialization with expiry. A fresh copy under the shared checkpoint folder is
-    read back; otherwise the table is rebuilt, written and read. ``version`` keys the copy to its
-    input so a changed input never hits a stale copy."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/cache/{name}{('-' + version) if version else ''}"
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    done = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-    if fs.exists(done):
-        age = (_dt.datetime.now().timestamp() * 1000 - fs.getFileStatus(done).getModificationTime()) / 1000.0
-        if age <= max_age_s:
-            return spark.read.parquet(path)
-    build().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    read back; otherwise the table is rebuilt, published and read. ``version`` keys the copy to its
+    input so a changed input never hits a stale copy. Two jobs that miss together write folders of their own; the later one stays."""
+    path = _cache_path(spark, name, version)
+    _, runs = publish.entries(spark, path)
+    if not runs or time.time() - runs[-1]["at"] > max_age_s:
+        publish.publish(build(), path, "copy", mode="overwrite")
+    return publish.read_published(spark, path)
+
+
+def flush_cached(spark: SparkSession) -> int:
+    """Deletes all named copies of the shared folder; returns their number. Jobs that read one at the time fail."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_cache_path(spark))
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    copies = [s.getPath() for s in fs.listStatus(p)] if fs.exists(p) else []
+    for c in copies:
+        fs.delete(c, True)
+    return len(copies)
 
 
 def input_version(spark: SparkSession, *paths: str) -> str:
@@ -128,12 +143,7 @@ def input_version(spark: SparkSession, *paths: str) -> str:
 
 def drop_cached(spark: SparkSession, name: str, version: str = "") -> bool:
     """Delete one named copy."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/cache/{name}{('-' + version) if version else ''}"
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.delete(hpath, True))
+    return delete_path(spark, _cache_path(spark, name, version))
 
 
 def write_splits(df: DataFrame, path: str, split_col: str = "split") -> None:
