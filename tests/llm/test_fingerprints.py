@@ -45,20 +45,34 @@ def test_likeness_tracks_the_common_share():
     assert (Y.from_text(Y.to_text(Y.sketch(a))) == Y.sketch(a)).all()
 
 
+def brute_aligned(a, b):
+    (ha, pa), (hb, pb) = (tuple(x.tolist() for x in Y.text_anchors(t)) for t in (a, b))
+    if not ha or not hb:
+        return float(len(ha) == len(hb))
+    shifts = [pb[hb.index(h)] - p for h, p in zip(ha, pa) if h in hb]
+    return max((shifts.count(x) for x in set(shifts)), default=0) / len(ha)
+
+
 def brute(rows):
-    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
+    """Rows are (id, text, hash of the text)."""
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[2]), reverse=True)
     out = []
-    for k, (i, t) in enumerate(order):
+    for k, (i, t, _) in enumerate(order):
         t, nxt = t or "", order[(k + 1) % len(order)][1] or ""
         m = len(t) // 3
         e = t[:len(t) - m] + nxt[:m]
         f = [Y.sketch(x) for x in (t, e, nxt)]
-        out.append((i, len(t), hashlib.sha256(e.encode()).hexdigest(), Y.to_text(f[0]), Y.to_text(f[1]), Y.likeness(f[0], f[1]), Y.likeness(f[0], f[2])))
+        out.append((i, len(t), hashlib.sha256(e.encode()).hexdigest(), Y.to_text(f[0]), Y.to_text(f[1]), Y.likeness(f[0], f[1]), Y.likeness(f[0], f[2]),
+                    brute_aligned(t, e) if len(t) < 5000 else Y.aligned_share(t, e), brute_aligned(t, nxt) if len(t) + len(nxt) < 5000 else Y.aligned_share(t, nxt)))
     return sorted(out, key=str)
 
 
+def hashed(docs):
+    return [tuple(r) for r in docs.selectExpr("doc_id", "text", "xxhash64(coalesce(text, ''))").collect()]
+
+
 def test_neighbour_query_matches_brute_force(spark, monkeypatch):
-    rows = [tuple(r) for r in spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text").collect()]
+    rows = hashed(spark.read.parquet(f"{SF001}/documents.parquet"))
     for per in (2048, 16):
         monkeypatch.setattr(Y, "PER_RANGE", per)
         monkeypatch.setattr(Y, "STRIDE", 4 if per == 16 else 256)
@@ -68,7 +82,7 @@ def test_neighbour_query_matches_brute_force(spark, monkeypatch):
 
 def test_neighbours_of_edge_rows(spark, monkeypatch):
     d = edge_docs(spark)
-    rows = [tuple(r) for r in d.select("doc_id", "text").collect()]
+    rows = hashed(d)
     for per in (2048, 2):
         monkeypatch.setattr(Y, "PER_RANGE", per)
         assert sorted((tuple(r) for r in Y.neighbour_fingerprints(d).collect()), key=str) == brute(rows)
@@ -76,3 +90,34 @@ def test_neighbours_of_edge_rows(spark, monkeypatch):
     one = Y.neighbour_fingerprints(d.where("doc_id = 11")).collect()
     assert len(one) == 1 and one[0]["near_next"] == 1.0
     assert Y.fingerprints(d).count() == d.count()
+
+
+def test_null_and_repeated_ids_are_split(spark, monkeypatch):
+    d = spark.range(3000).selectExpr("case when id % 3 = 0 then id when id % 3 = 1 then 7 end as doc_id", "concat('a text of its own, number ', id) as text")
+    want = brute(hashed(d))
+    for per in (64, 2048):
+        monkeypatch.setattr(Y, "PER_RANGE", per)
+        assert sorted((tuple(r) for r in Y.neighbour_fingerprints(d).collect()), key=str) == want
+    sizes = [r["count"] for r in Y.ranges(d.selectExpr("doc_id", "text as t"), 64)[0].groupBy("part").count().collect()]
+    assert len(sizes) > 20 and max(sizes) <= 3 * 64
+
+
+def test_ids_of_other_types(spark, monkeypatch):
+    monkeypatch.setattr(Y, "PER_RANGE", 32)
+    for kind in ("date_add(date'2024-01-01', cast(id as int))", "timestamp_micros(id * 1234567)", "cast(id / 7 as decimal(9,3))",
+                 "cast(cast(id as string) as binary)", "concat('k', id)"):
+        d = spark.range(300).selectExpr(f"{kind} as doc_id", "concat('text number ', id, ' of three hundred') as text")
+        got = Y.neighbour_fingerprints(d).select("doc_id", "edited_sha256").collect()
+        assert len({bytes(r[0]) if isinstance(r[0], bytearray) else r[0] for r in got}) == len(got) == 300
+        monkeypatch.setattr(Y, "PER_RANGE", 2048)  # one range gives the same neighbours
+        assert sorted(map(str, got)) == sorted(map(str, Y.neighbour_fingerprints(d).select("doc_id", "edited_sha256").collect()))
+        monkeypatch.setattr(Y, "PER_RANGE", 32)
+
+
+def test_short_texts_keep_some_of_their_anchors():
+    for t in ("hello there", "twelve chars", "a short line of text", "x" * 3 + "0123456789"):
+        m = len(t) // 3
+        e = t[:len(t) - m] + "ZQWVY#!JKLU"[:m]
+        assert 0 < Y.likeness(Y.sketch(t), Y.sketch(e)) < 1
+        assert .3 < Y.aligned_share(t, e) < 1
+    assert Y.aligned_share("", "") == 1 and Y.aligned_share("", "abc") == 0 and Y.aligned_share("ab", "ab") == 1
