@@ -1,4 +1,4 @@
-"""Registered queries: tables that grow while they are read (S4, ST1, ST2, D5)."""
+"""Registered queries: tables that grow while they are read (S4, ST1, ST2, D5, L5 across jobs)."""
 
 from __future__ import annotations
 
@@ -7,12 +7,16 @@ from pyspark.sql import functions as F
 from ..operators import drift as D
 from ..operators import summaries as SU
 from ..session import materialize, scratch_path
+from ..sources import io as IO
 from ..sources import publish as PB
+from ..spec import TrainSpec
 from ..streaming import events as EV
 from ..streaming import scoring as STR
-from .q_pipeline import FIXED_SCORING, _scored_sql, fixed_model, raw_scoring_input
+from . import pipelines as PL
+from . import stages as ST
+from .q_pipeline import DOC_TRAIN, FIXED_SCORING, _l3_sql, _scored_sql, fixed_model, raw_scoring_input
 from .registry import register
-from .tables import DOC_NUMERIC, read
+from .tables import DOC_NUMERIC, doc_raw, read
 
 CUT = "2024-01-16 00:00:00"
 
@@ -88,7 +92,6 @@ def st2_live_drift(spark, sf):
         src.where(F.col("doc_id") % 4 == part).write.mode("append").parquet(inbox)
         live, _ = STR.run_scoring_stream(spark, inbox, src.schema, model, FIXED_SCORING, "fixed", predictions, scratch_path(spark, "live-quarantine"),
                                          summary_path=summaries, summary_columns=(DOC_NUMERIC, _LIVE_CATS))
-    from ..plans import pipelines as PL
     reference = materialize(PL.score_batch(src.where(F.col("doc_id") % 2 == 0), model, FIXED_SCORING, "fixed")[0], "live-reference")
     stored = materialize(SU.summarize(reference, [], DOC_NUMERIC, _LIVE_CATS), "reference-summary")
     return _against_rows(stored, STR.read_days(spark, summaries), reference, live, DOC_NUMERIC)
@@ -115,3 +118,18 @@ def s4_publish_rerun(spark, sf):
     o.write.parquet(f"{table}/data/died")
     PB.publish(o.where(half == 1), table, "odd")
     return PB.read_published(spark, table)
+
+
+@register("l5_stage_handover", _l3_sql())
+def l5_stage_handover(spark, sf):
+    """The transformed table as a job sees it that took over from two others: one ingested, one transformed."""
+    spec = TrainSpec(**{**DOC_TRAIN.__dict__, "resample_after_split": False})
+    base, store = sf.rstrip("/"), scratch_path(spark, "stage-store")
+    version = IO.input_version(spark, f"{base}/documents.parquet", f"{base}/labels.parquet")
+
+    def none():
+        raise RuntimeError("the input is read again")
+
+    ST.run_stages(spark, lambda: doc_raw(spark, sf), spec, store, version, ["ingest"])
+    ST.run_stages(spark, none, spec, store, version, ["transform"])
+    return ST.run_stages(spark, none, spec, store, version, [])[0].prep.table
