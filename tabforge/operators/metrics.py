@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..spec import OVERFIT_GAP, UNDERFIT_LEVEL
+from ..spec import DIAGNOSIS_TEXTS, OVERFIT_GAP, UNDERFIT_LEVEL
 from .ordered import running_sum
 
 
@@ -98,11 +98,16 @@ def cv_summary(scores: DataFrame, by: str = "model", score: str = "score") -> Da
                                   F.round(F.stddev_pop(score), 4).alias("cv_std"))
 
 
-def diagnose(train_acc: Column, test_acc: Column) -> Column:
-    """OVERFIT when the gap > 0.10, UNDERFIT when both < 0.80, else GOOD FIT."""
+def fit_verdict(train_acc: Column, test_acc: Column) -> Column:
+    """M10 as data: struct (code, gap); code is a key of ``spec.DIAGNOSIS_TEXTS``. A missing accuracy has no code."""
     gap = train_acc - test_acc
-    gap_txt = F.format_string("%.4f", gap)
-    return (F.when(gap > OVERFIT_GAP, F.concat(F.lit("OVERFIT — train/test gap: "), gap_txt))
-            .when((train_acc < UNDERFIT_LEVEL) & (test_acc < UNDERFIT_LEVEL),
-                  F.lit(f"UNDERFIT — both scores below {UNDERFIT_LEVEL}"))
-            .otherwise(F.concat(F.lit("GOOD FIT — train/test gap: "), gap_txt)))
+    best = F.greatest(train_acc, test_acc)
+    code = F.when(gap.isNull(), F.lit(None).cast("string")).when(gap > OVERFIT_GAP, "overfit").when(best < UNDERFIT_LEVEL, "underfit").otherwise("good")
+    return F.struct(code.alias("code"), gap.alias("gap"))
+
+
+def diagnose(train_acc: Column, test_acc: Column) -> Column:
+    """The verdict's text."""
+    verdict = fit_verdict(train_acc, test_acc)
+    texts = F.create_map(*[F.lit(x) for pair in DIAGNOSIS_TEXTS.items() for x in pair])
+    return F.replace(texts[verdict["code"]], F.lit("{gap}"), F.format_string("%.4f", verdict["gap"]))

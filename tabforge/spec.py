@@ -21,6 +21,12 @@ CV_FOLDS = 5
 CONFIDENCE_THRESHOLD = 0.50
 OVERFIT_GAP = 0.10
 UNDERFIT_LEVEL = 0.80
+#: Texts of the fit diagnosis; {gap} is the train accuracy less the test accuracy, to 4 places.
+DIAGNOSIS_TEXTS = {
+    "overfit": "OVERFIT — train/test gap: {gap}",
+    "underfit": f"UNDERFIT — both scores below {UNDERFIT_LEVEL}",
+    "good": "GOOD FIT — train/test gap: {gap}",
+}
 DRIFT_SHARE = 0.5
 MIN_LIVE_ROWS = 30
 SMOTE_NEIGHBOURS = 5

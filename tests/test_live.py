@@ -146,3 +146,11 @@ def test_flush_of_cached_copies(spark):
     assert IO.flush_cached(spark) >= 1
     assert IO.cached(spark, "flushed", build).count() == 2 and len(calls) == 3
     assert IO.drop_cached(spark, "flushed") and not IO.drop_cached(spark, "flushed")
+
+
+def test_fit_verdict_is_data_and_text(spark):
+    from tabforge.operators import metrics as M
+    d = spark.createDataFrame([(0.95, 0.8), (0.7, 0.75), (0.9, 0.85), (0.79, 0.8), (None, 0.8)], "a double, b double")
+    got = [tuple(r) for r in d.select(M.fit_verdict(F.col("a"), F.col("b"))["code"], M.diagnose(F.col("a"), F.col("b"))).collect()]
+    assert got == [("overfit", "OVERFIT — train/test gap: 0.1500"), ("underfit", "UNDERFIT — both scores below 0.8"),
+                   ("good", "GOOD FIT — train/test gap: 0.0500"), ("good", "GOOD FIT — train/test gap: -0.0100"), (None, None)]

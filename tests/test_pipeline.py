@@ -17,6 +17,7 @@ from tabforge.streaming import scoring as STR
 FIELDS = ["age", "race", "marital_status", "differentiate", "a_stage", "tumor_size", "estrogen_status",
           "progesterone_status", "regional_node_examined", "regional_node_positive"]
 CASES = [
+    # FIXED VALUES (the reference's four scoring records)
     ("1", "45", "WHITE", "married", "well", "regional", "30", "pos", "+", "12", "1"),
     ("2", "45", "Unknown", "Married", "Well differentiated", "Regional", "30", "Positive", "Positive", "12", "1"),
     ("3", "60", "Black", "Widowed", "Poorly differentiated", "Distant", "50", "Negative", "Negative", "5", "10"),
