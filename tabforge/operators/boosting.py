@@ -1,17 +1,20 @@
 """Second-order gradient boosted trees for 0/1 labels (M7).
 
 Training is a chain of Spark jobs over one narrow staged table: the bins of a row's features as bytes, its label, its
-fold and its margins. A level of a tree is one job. Every task walks its rows down the tree so far and adds up
+fold and its margins, by blocks of rows, as the jobs are many and would otherwise spend most of their time on handing
+single rows to Python. A level of a tree is one job. Every task walks its rows down the growing tree and adds up
 gradient, hessian and count by (model, node, feature, bin); Spark sums the tables of the tasks; the driver receives at
 most models x nodes x features x 256 sums, whatever the number of rows, and picks the split of highest gain of each
-node. Leaves are Newton steps, -G / (H + lambda).
+node. Of two children only the one with fewer rows is summed; the other is their parent less that one, exactly, as all
+sums are whole numbers. Leaves are Newton steps, -G / (H + lambda).
 
 The models of all folds and the final one grow side by side in the same jobs, so k-fold validation reads the table
 once a level and not k + 1 times.
 
 Gradients are rounded to multiples of 2^-20, so that their sums are whole numbers: given the cuts, the trees do not
-depend on partitioning, on the order of rows or on retries. Margins are written back every ``REFRESH`` trees, and a job
-never walks more than those; a lost executor costs its own tasks only.
+depend on partitioning, on the order of rows or on retries. Each tree is added to the margins once, in the pass that
+sums the root of the next one, so a job walks one tree, however many there are. The new margins are kept in the cache
+and written every ``REFRESH`` trees; a lost executor costs its own tasks, at most those trees again.
 
 Defined cases: rows with a null label are not trained on; null and NaN features are missing values, and each split
 learns the side that they go to; labels other than 0 and 1, and a table without rows, are errors; a feature without
@@ -47,6 +50,12 @@ REFRESH = 10
 MAX_DEPTH = 12
 #: Rows that are worth a task of their own.
 ROWS_PER_TASK = 50_000
+#: Bytes of a block of rows.
+BLOCK_BYTES = 16_384
+#: Rows that a task sums at once (hessian and count share a number, see ``PACK``).
+CHUNK = 32_768
+#: Hessian sums of a chunk are counted in multiples of this, so that its row counts fit below them (2^18 x 2^15 x 2^16 < 2^53).
+PACK = 1 << 16
 #: Gain that a split must go beyond.
 MIN_GAIN = 1e-6
 SUMS = "slot bigint, g bigint, h bigint, n bigint"
@@ -82,15 +91,19 @@ class _Trees:
             setattr(out, k, v[:, start:end].copy())
         return out
 
-    def walk(self, bins: np.ndarray, m: int, t: int, steps: int) -> np.ndarray:
-        """The place of each row in tree ``t`` of model ``m`` after so many steps."""
-        feature, cut, missing_left = self.feature[m, t], self.bin[m, t], self.missing_left[m, t]
-        rows, place = np.arange(len(bins)), np.zeros(len(bins), dtype=np.int64)
+    def walk(self, bins: np.ndarray, start: np.ndarray, m: int, t: int, steps: int) -> np.ndarray:
+        """The place of rows in tree ``t`` of model ``m`` after so many steps; the bins of a row begin at its ``start``."""
+        place = np.zeros(len(start), dtype=np.int64)
+        if not steps:
+            return place
+        inner = np.arange(2 ** steps - 1)  # the places that a step can leave
+        feature, cut, missing_left = (x[m, t][:len(inner)] for x in (self.feature, self.bin, self.missing_left))
+        code = np.arange(CODES)
+        left = np.where(code == MISSING, missing_left[:, None], code <= cut[:, None])
+        child = np.where(feature[:, None] >= 0, 2 * inner[:, None] + 2 - left, inner[:, None]).ravel()
+        feature = np.maximum(feature, 0).astype(np.int64)
         for _ in range(steps):
-            f = feature[place]
-            b = bins[rows, f]
-            left = np.where(b == MISSING, missing_left[place], b <= cut[place])
-            place = np.where(f >= 0, 2 * place + 2 - left, place)
+            place = child[place * CODES + bins[start + feature[place]]]
         return place
 
 
@@ -102,7 +115,7 @@ def gradients(margin: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def best_splits(g: np.ndarray, h: np.ndarray, n: np.ndarray, reg_lambda: float, min_child_weight: float):
     """The best split of each node from sums of shape (nodes, features, codes): gain, feature, bin, missing_left, and the
-    sums of gradient and hessian of the left and the right side. Ties go to the first feature, the lowest bin, and missing values to the left."""
+    sums of gradient, hessian and count of the left and the right side. Ties go to the first feature, the lowest bin, and missing values to the left."""
     g, h = g / SCALE, h / SCALE
     gt, ht, nt = (x[:, 0, :].sum(axis=1)[:, None, None, None] for x in (g, h, n))
     left = []
@@ -117,76 +130,117 @@ def best_splits(g: np.ndarray, h: np.ndarray, n: np.ndarray, reg_lambda: float,
     at = flat.argmax(axis=1)
     feature, b, side = np.unravel_index(at, gain.shape[1:])
     node = np.arange(len(flat))
-    sides = [(x[node, feature, b, side], y[node, feature, b, side]) for x, y in ((gl, hl), (gr, hr))]
+    sides = [tuple(x[node, feature, b, side] for x in one) for one in (left, (gr, hr, nr))]
     return flat[node, at], feature, b, side == 0, sides
 
 
+def _block_rows(n_features: int, n_models: int) -> int:
+    """Rows of a block, at most a chunk."""
+    return min(max(BLOCK_BYTES // (n_features + 12 + 8 * n_models), 1), CHUNK)
+
+
+def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all blocks of a binary column, in order, uncopied, and where each block begins and ends in them."""
+    kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    at = np.frombuffer(column.buffers()[1], dtype=kind)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], dtype=np.uint8)[at[0]:at[-1]], at - at[0]
+
+
+def _blocks(rows: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """A binary column with the bytes of the rows from each edge to the next."""
+    rows = np.ascontiguousarray(rows)
+    at = (edges * (rows.nbytes // len(rows))).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(at), pa.py_buffer(rows)])
+
+
 def _unpack(batch: pa.RecordBatch, n_features: int, n_models: int):
-    """bins (rows, features), labels, folds and margins (rows, models) of a batch."""
-    bins = np.frombuffer(b"".join(batch.column("bins").to_pylist()), dtype=np.uint8).reshape(-1, n_features)
-    margin = batch.column("margin").flatten().to_numpy(zero_copy_only=False).reshape(-1, n_models)
-    return bins, batch.column("y").to_numpy(zero_copy_only=False), batch.column("fold").to_numpy(zero_copy_only=False), margin
+    """bins (rows, features), labels, folds and margins (rows, models) of a batch of blocks."""
+    bins, y, fold, margin = (_bytes(batch.column(c))[0] for c in ("bins", "y", "fold", "margin"))
+    return bins.reshape(-1, n_features), y.view(np.float64), fold.view(np.int32), margin.view(np.float64).reshape(-1, n_models)
+
+
+def _slices(batches: Iterable[pa.RecordBatch], n_features: int, n_models: int) -> Iterator[pa.RecordBatch]:
+    """The blocks by parts of at most ``CHUNK`` rows."""
+    step = CHUNK // _block_rows(n_features, n_models)
+    for batch in batches:
+        for i in range(0, batch.num_rows, step):
+            yield batch.slice(i, step)
+
+
+def _chunks(batches: Iterable[pa.RecordBatch], n_features: int, n_models: int):
+    """The rows by parts of ``CHUNK`` (fewer at the end), however small or large the batches are."""
+    held, n = [], 0
+    for part in _slices(batches, n_features, n_models):
+        held.append(_unpack(part, n_features, n_models))
+        n += len(held[-1][0])
+        if n >= CHUNK:
+            whole = [np.concatenate(x) for x in zip(*held)]
+            yield [x[:CHUNK] for x in whole]
+            held, n = [tuple(x[CHUNK:] for x in whole)], n - CHUNK
+    if n:
+        yield [np.concatenate(x) for x in zip(*held)]
 
 
 def _bin_rows(cuts: list[np.ndarray], n_models: int):
+    size = _block_rows(len(cuts), n_models)
+
     def bin_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not batch.num_rows:
+                continue
             codes = np.empty((batch.num_rows, len(cuts)), dtype=np.uint8)
             for j, c in enumerate(cuts):
                 x = batch.column(f"x{j}").to_numpy(zero_copy_only=False).astype(np.float64)
                 codes[:, j] = np.where(np.isnan(x), MISSING, np.searchsorted(c, x, side="left"))
-            margin = pa.array([[0.0] * n_models] * batch.num_rows, type=pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in codes], type=pa.binary()), batch.column("y"),
-                                              batch.column("fold"), margin], names=["bins", "y", "fold", "margin"])
+            y, fold = (batch.column(c).to_numpy(zero_copy_only=False).astype(kind) for c, kind in (("y", np.float64), ("fold", np.int32)))
+            edges = np.append(np.arange(0, len(codes), size), len(codes))
+            columns = [_blocks(x, edges) for x in (codes, y, fold, np.zeros((len(codes), n_models)))]
+            yield pa.RecordBatch.from_arrays(columns, names=["bins", "y", "fold", "margin"])
     return bin_rows
 
 
-def _new_margins(trees: _Trees, n_features: int, depth: int):
-    n_models, n_trees = trees.feature.shape[:2]
+def _new_margins(tree: _Trees, n_features: int, depth: int):
+    n_models = len(tree.feature)
 
     def new_margins(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bins, _, _, margin = _unpack(batch, n_features, n_models)
-            margin = margin.copy()
+        for part in _slices(batches, n_features, n_models):
+            bins, _, _, margin = _unpack(part, n_features, n_models)
+            margin, start = margin.copy(), np.arange(len(bins)) * n_features
             for m in range(n_models):
-                for t in range(n_trees):
-                    margin[:, m] += trees.value[m, t][trees.walk(bins, m, t, depth)]
-            col = pa.ListArray.from_arrays(pa.array(np.arange(len(margin) + 1, dtype=np.int32) * n_models), pa.array(margin.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column("bins"), batch.column("y"), batch.column("fold"), col],
+                margin[:, m] += tree.value[m, 0][tree.walk(bins.ravel(), start, m, 0, depth)]
+            edges = _bytes(part.column("bins"))[1] // n_features
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("bins", "y", "fold")), _blocks(margin, edges)],
                                              names=["bins", "y", "fold", "margin"])
     return new_margins
 
 
-def _level_sums(trees: _Trees, slots: list[np.ndarray], level: int, n_features: int, depth: int):
-    """Sums of the rows of a task by slot (model and node, feature, code); the last tree of ``trees`` is the growing one.
-    ``slots[m]`` gives the number of an open node of model m, -1 elsewhere."""
-    n_models, n_trees = trees.feature.shape[:2]
+def _level_sums(tree: _Trees, slots: list[np.ndarray], level: int, n_features: int):
+    """Sums of the rows of a task by slot (model and node, feature, code) in the growing tree. ``slots[m]`` gives the
+    number of a node of model m that is summed, -1 elsewhere; the numbers of a model follow each other."""
+    n_models = len(tree.feature)
     width = n_features * CODES
     size = (max((int(s.max()) for s in slots), default=-1) + 1) * width
 
     def level_sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g, h, n = (np.zeros(size, dtype=np.int64) for _ in range(3))
-        for batch in batches:
-            bins, y, fold, margin = _unpack(batch, n_features, n_models)
+        for bins, y, fold, margin in _chunks(batches, n_features, n_models):
+            flat, start = bins.ravel(), np.arange(len(bins)) * n_features
+            codes = bins + np.arange(n_features) * CODES
             for m in range(n_models):
                 if (slots[m] < 0).all():
                     continue
                 mine = np.nonzero(fold != m)[0]  # model m leaves fold m out; the last model has no fold
-                b = bins[mine]
-                open_ = slots[m][trees.walk(b, m, n_trees - 1, level)]
-                mine, b, open_ = mine[open_ >= 0], b[open_ >= 0], open_[open_ >= 0]
-                z = margin[mine, m]
-                for t in range(n_trees - 1):
-                    z = z + trees.value[m, t][trees.walk(b, m, t, depth)]
-                gq, hq = gradients(z, y[mine])
+                open_ = slots[m][tree.walk(flat, start[mine], m, 0, level)]
+                mine, open_ = mine[open_ >= 0], open_[open_ >= 0]
+                gq, hq = gradients(margin[mine, m], y[mine])
                 low = int(slots[m][slots[m] >= 0].min())
                 span = (int(slots[m].max()) + 1 - low) * width
-                for f in range(n_features):
-                    code = (open_ - low) * width + f * CODES + b[:, f]
-                    at = slice(low * width, low * width + span)
-                    g[at] += np.bincount(code, gq, span).astype(np.int64)
-                    h[at] += np.bincount(code, hq, span).astype(np.int64)
-                    n[at] += np.bincount(code, minlength=span)
+                code = (codes[mine] + ((open_ - low) * width)[:, None]).ravel()
+                at = slice(low * width, low * width + span)
+                g[at] += np.bincount(code, np.repeat(gq, n_features), span).astype(np.int64)
+                both = np.bincount(code, np.repeat(hq * PACK + 1, n_features), span).astype(np.int64)
+                h[at] += both // PACK
+                n[at] += both % PACK
         used = np.nonzero(n)[0]
         for i in range(0, len(used), 100_000):
             u = used[i:i + 100_000]
@@ -198,7 +252,7 @@ def fit_boosted(df: DataFrame, features: Sequence[str], label: str = "label", fo
                 n_estimators: int = 100, learning_rate: float = 0.1, max_depth: int = 6, reg_lambda: float = 1.0,
                 min_child_weight: float = 1.0, cuts: list[np.ndarray] | None = None) -> list["BoostedTreesModel"]:
     """k + 1 models grown side by side: model i < k without the rows of fold i, the last one with all rows.
-    Cuts are taken from all rows. The driver and each task hold at most models x 2^(depth-1) x features x 256 sums."""
+    Cuts are taken from all rows. The driver holds at most models x 2^(depth-1) x features x 256 sums, a task half of them."""
     features = list(features)
     if not 1 <= max_depth <= MAX_DEPTH:
         raise ValueError(f"max_depth must lie between 1 and {MAX_DEPTH}")
@@ -218,7 +272,7 @@ def fit_boosted(df: DataFrame, features: Sequence[str], label: str = "label", fo
     # a row of the last model's number would be left out of it
     fold = F.when(fold.between(0, k - 1), fold).otherwise(-1)
     narrow = rows.select(*[_number(c).alias(f"x{j}") for j, c in enumerate(features)], F.col(label).cast("double").alias("y"), fold.alias("fold"))
-    schema = "bins binary, y double, fold int, margin array<double>"
+    schema = "bins binary, y binary, fold binary, margin binary"
     run, version = uuid.uuid4().hex[:8], 0
 
     def stage(table: DataFrame) -> DataFrame:
@@ -226,53 +280,66 @@ def fit_boosted(df: DataFrame, features: Sequence[str], label: str = "label", fo
         # one small task needs no exchange of its sums (a plan choice only)
         return (out.coalesce(1) if seen["n"] <= ROWS_PER_TASK else out).persist()
 
-    table = stage(narrow.mapInArrow(_bin_rows(cuts, n_models), schema))
+    table, before = stage(narrow.mapInArrow(_bin_rows(cuts, n_models), schema)), None
     forest = _Trees(n_models, n_estimators, max_depth)
-    start = 0
     for t in range(n_estimators):
-        if t - start == REFRESH:
-            old, version = table, version + 1
-            table = stage(old.mapInArrow(_new_margins(forest.part(start, t), n_features, max_depth), schema))
-            table.count()
-            old.unpersist()
-            drop_staged(spark, f"boost-{run}-{version - 1}-")
-            start = t
-        open_nodes = [(m, 0) for m in range(n_models)]
+        nodes, counted, parents = [(m, 0) for m in range(n_models)], np.arange(n_models), None
         for level in range(max_depth):
-            if not open_nodes:
+            if not nodes:
                 break
             slots = [np.full(forest.feature.shape[2], -1, dtype=np.int64) for _ in range(n_models)]
-            for i, (m, place) in enumerate(open_nodes):
-                slots[m][place] = i
-            job = _level_sums(forest.part(start, t + 1), slots, level, n_features, max_depth)
+            for i, at in enumerate(counted):
+                slots[nodes[at][0]][nodes[at][1]] = i
+            job = _level_sums(forest.part(t, t + 1), slots, level, n_features)
             got = table.mapInArrow(job, SUMS).groupBy("slot").agg(*[F.sum(c).alias(c) for c in ("g", "h", "n")]).toArrow()
+            if before is not None:  # the first pass over the new margins has filled their cache
+                before.unpersist()
+                before = None
             sums = []
             at = got.column("slot").to_numpy()
-            for c in ("g", "h", "n"):
-                dense = np.zeros(len(open_nodes) * n_features * CODES, dtype=np.int64)
+            for j, c in enumerate(("g", "h", "n")):
+                dense = np.zeros(len(counted) * n_features * CODES, dtype=np.int64)
                 dense[at] = got.column(c).to_numpy()
-                sums.append(dense.reshape(len(open_nodes), n_features, CODES))
-            open_nodes = _grow(forest, t, open_nodes, *sums, learning_rate, reg_lambda, min_child_weight)
+                dense = dense.reshape(len(counted), n_features, CODES)
+                if parents is not None:  # siblings are neighbours in ``nodes``
+                    some, dense = dense, np.empty((len(nodes), n_features, CODES), dtype=np.int64)
+                    dense[counted], dense[counted ^ 1] = some, parents[j] - some
+                sums.append(dense)
+            nodes, counted, split = _grow(forest, t, nodes, *sums, learning_rate, reg_lambda, min_child_weight)
+            parents = [x[split] for x in sums]
+        if t + 1 < n_estimators:
+            before, table = table, table.mapInArrow(_new_margins(forest.part(t, t + 1), n_features, max_depth), schema)
+            if (t + 1) % REFRESH:
+                table = table.persist()
+            else:
+                version += 1
+                table = stage(table)
+                before.unpersist()
+                before = None
+                drop_staged(spark, f"boost-{run}-{version - 1}-")
     table.unpersist()
     drop_staged(spark, f"boost-{run}-{version}-")
     return [BoostedTreesModel.of(forest, m, cuts, features) for m in range(n_models)]
 
 
-def _grow(forest: _Trees, t: int, open_nodes, g, h, n, learning_rate: float, reg_lambda: float, min_child_weight: float):
+def _grow(forest: _Trees, t: int, nodes, g, h, n, learning_rate: float, reg_lambda: float, min_child_weight: float):
     """Splits every open node where that gains and gives both children their leaf values, which hold unless they are
-    split in turn; returns the children."""
+    split in turn. Returns the children by pairs, the position of the one with fewer rows in each pair, and the
+    positions of the nodes that were split."""
     gain, feature, b, missing_left, sides = best_splits(g, h, n, reg_lambda, min_child_weight)
-    children = []
-    for i, (m, place) in enumerate(open_nodes):
+    children, fewer, split = [], [], []
+    for i, (m, place) in enumerate(nodes):
         if place == 0:
             forest.value[m, t, 0] = -learning_rate * (g[i, 0].sum() / SCALE) / (h[i, 0].sum() / SCALE + reg_lambda)
         if gain[i] > MIN_GAIN:
             forest.feature[m, t, place], forest.bin[m, t, place] = feature[i], b[i]
             forest.missing_left[m, t, place] = missing_left[i]
-            for child, (gs, hs) in zip((2 * place + 1, 2 * place + 2), sides):
+            split.append(i)
+            fewer.append(len(children) + int(sides[0][2][i] > sides[1][2][i]))
+            for child, (gs, hs, _) in zip((2 * place + 1, 2 * place + 2), sides):
                 forest.value[m, t, child] = -learning_rate * gs[i] / (hs[i] + reg_lambda)
                 children.append((m, child))
-    return children
+    return children, np.array(fewer, dtype=np.int64), np.array(split, dtype=np.int64)
 
 
 class BoostedTrees(Estimator, HasInputCols, HasLabelCol, HasPredictionCol, HasProbabilityCol):

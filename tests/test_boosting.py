@@ -1,6 +1,7 @@
 """Second-order boosting (M7) against a plain numpy version, and its defined cases."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
@@ -116,3 +117,57 @@ def test_defined_cases(spark):
     a, b = B.fit_boosted(nulls, ["a", "b", "c"], "y", "fold", 1, n_estimators=2)
     assert a.getOrDefault(a.trees) == b.getOrDefault(b.trees)
     assert B.fit_boosted(t, ["a"], "y", n_estimators=1)[0].transform(t.limit(0)).count() == 0
+
+
+def test_a_job_walks_one_tree_and_sums_one_child_of_two(spark, monkeypatch):
+    x, y = _rows(600, 11)
+    seen, staged, level_sums, materialize = [], [], B._level_sums, B.materialize
+
+    def spy(trees, slots, level, *rest):
+        seen.append((trees.feature.shape[1], level, sum(int((s >= 0).sum()) for s in slots)))
+        return level_sums(trees, slots, level, *rest)
+
+    def stage(df, name):
+        staged.append((out := materialize(df, name)).count())
+        return out
+
+    monkeypatch.setattr(B, "_level_sums", spy)
+    monkeypatch.setattr(B, "materialize", stage)
+    B.fit_boosted(_table(spark, x, y).coalesce(1), ["a", "b", "c"], "y", "fold", 1, n_estimators=12, max_depth=3)
+    assert {trees for trees, _, _ in seen} == {1}  # the trees before it are in the margins
+    assert all(nodes <= (2 if level == 0 else 2 ** level) for _, level, nodes in seen)  # of two models
+    assert max(staged) <= 3  # blocks, not single rows
+
+
+def test_sums_of_blocks_are_those_of_rows(monkeypatch):
+    monkeypatch.setattr(B, "CHUNK", 50)  # parts that begin and end within blocks and batches
+    monkeypatch.setattr(B, "BLOCK_BYTES", 7 * (2 + 12 + 16))
+    rng = np.random.default_rng(1)
+    n, cuts = 333, [np.array([-0.5, 0.0, 0.7]), np.array([0.1])]
+    x, y, fold = rng.normal(size=(n, 2)), (rng.random(n) < 0.4).astype(float), rng.integers(-1, 1, n).astype(np.int32)
+    x[::9, 1] = np.nan
+    batch = pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1]), pa.array(y), pa.array(fold)], names=["x0", "x1", "y", "fold"])
+    blocks = list(B._bin_rows(cuts, 2)([batch.slice(0, 100), batch.slice(100, 0), batch.slice(100)]))
+    tree = B._Trees(2, 1, 2)
+    for m in range(2):
+        tree.feature[m, 0, :3], tree.bin[m, 0, :3], tree.missing_left[m, 0, :3] = [1, 0, -1], [0, m, 0], [False, True, True]
+        tree.value[m, 0] = rng.normal(size=7)
+    blocks = list(B._new_margins(tree, 2, 2)(blocks))
+    right = ~(x[:, 1] <= 0.1)  # missing ones too
+    place = [np.where(right, 2, np.where(x[:, 0] <= cuts[0][m], 3, 4)) for m in range(2)]
+    margin = np.stack([tree.value[m, 0][place[m]] for m in range(2)], axis=1)
+    got = np.concatenate([B._unpack(b, 2, 2)[3] for b in blocks])
+    assert np.array_equal(got, margin)
+    slots = [np.full(7, -1) for _ in range(2)]
+    slots[0][3], slots[1][3], slots[1][2 * 2] = 0, 1, 2
+    out = [r for b in B._level_sums(tree, slots, 2, 2)(blocks) for r in b.to_pylist()]
+    want = {}
+    for m in range(2):
+        g, h = B.gradients(margin[:, m], y)
+        for i in np.nonzero(fold != m)[0]:
+            if (s := int(slots[m][place[m][i]])) >= 0:
+                for f in range(2):
+                    code = B.MISSING if np.isnan(x[i, f]) else int(np.searchsorted(cuts[f], x[i, f]))
+                    e = want.setdefault((s * 2 + f) * B.CODES + code, [0, 0, 0])
+                    e[0], e[1], e[2] = e[0] + int(g[i]), e[1] + int(h[i]), e[2] + 1
+    assert {r["slot"]: [r["g"], r["h"], r["n"]] for r in out} == want
