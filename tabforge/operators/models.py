@@ -80,7 +80,10 @@ def build_pipeline(name: str, train: DataFrame, features: Sequence[str], label:
         return Pipeline(stages=[BoostedTrees(feats, label, **p)])
     stages.append(VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep"))
     if name == "random_forest":
-        est = RandomForestClassifier(labelCol=label, numTrees=p["n_estimators"], maxDepth=p["max_depth"], seed=seed)
+        # a level starts from the rows' cached nodes instead of walking all trees again; the trees are the same, and
+        # their few levels need no checkpoint between them
+        est = RandomForestClassifier(labelCol=label, numTrees=p["n_estimators"], maxDepth=p["max_depth"], seed=seed,
+                                     cacheNodeIds=True, checkpointInterval=-1)
     elif name == "gbt_first_order":
         est = GBTClassifier(labelCol=label, maxIter=p["n_estimators"], stepSize=p["learning_rate"],
                             maxDepth=p["max_depth"], seed=seed)

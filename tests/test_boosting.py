@@ -1,4 +1,4 @@
-"""Second-order boosting (M7) against a plain numpy version, and its defined cases."""
+"""Second-order boosting (M7) against a plain numpy version, and its defined cases; the work of a forest's levels."""
 
 import numpy as np
 import pyarrow as pa
@@ -171,3 +171,15 @@ def test_sums_of_blocks_are_those_of_rows(monkeypatch):
                     e = want.setdefault((s * 2 + f) * B.CODES + code, [0, 0, 0])
                     e[0], e[1], e[2] = e[0] + int(g[i]), e[1] + int(h[i]), e[2] + 1
     assert {r["slot"]: [r["g"], r["h"], r["n"]] for r in out} == want
+
+
+def test_forest_does_not_walk_its_trees_again_at_every_level(spark):
+    x, y = _rows(400, 13)
+    t = _table(spark, x, y).na.fill(0.0).coalesce(2).persist()
+    pipe = MO.build_pipeline("random_forest", t, ["a", "b", "c"], "y", params={"n_estimators": 8, "max_depth": 6})
+    *_, est = pipe.getStages()
+    assert est.getCacheNodeIds()
+    cached = pipe.fit(t).stages[-1].toDebugString.split("\n")[1:]  # the first line has the name of the run
+    est.setCacheNodeIds(False)
+    assert cached == pipe.fit(t).stages[-1].toDebugString.split("\n")[1:]
+    t.unpersist()
